@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from txnrisk.config import RiskConfig
 from txnrisk.functions.features import event_seconds, risk_flags, zscore
 from txnrisk.operators.rolling import Trailing, with_trailing_stats
-from txnrisk.session import broadcast_if_small
 
 SECOND = "event_sec"
 
@@ -62,20 +61,27 @@ def touched_spans(*positions: DataFrame) -> DataFrame:
     return every.groupBy("customer_id").agg(F.min("sec").alias("first_sec"), F.max("sec").alias("last_sec"))
 
 
-def refreshed(silver: DataFrame, spans: DataFrame, cfg: RiskConfig) -> DataFrame:
-    """Features of every row that a change within ``spans`` can affect.
+def _reach(cfg: RiskConfig) -> int:
+    return max(cfg.baseline_seconds, cfg.velocity_seconds)
+
+
+def reach_of(spans: DataFrame, cfg: RiskConfig) -> tuple[int, int]:
+    """Event times (epoch seconds) that :func:`in_reach` can keep, over all customers."""
+    first, last = spans.agg(F.min("first_sec"), F.max("last_sec")).first()
+    return first - _reach(cfg), last + _reach(cfg)
+
+
+def in_reach(silver: DataFrame, spans: DataFrame, cfg: RiskConfig) -> DataFrame:
+    """Rows needed to refresh what a change within ``spans`` affects, with the span joined on.
 
     A change at time t alters the frames of that customer's rows in [t, t + look-back]; to
-    compute those, rows from t - look-back on are needed. ``silver`` is the current table.
+    compute those, rows from t - look-back on are needed.
     """
-    reach = max(cfg.baseline_seconds, cfg.velocity_seconds)
-    sec = event_seconds()
-    small = broadcast_if_small(spans, cfg.broadcast_rows)
-    scope = silver.join(small, "customer_id").where(
-        sec.between(F.col("first_sec") - reach, F.col("last_sec") + reach)
-    )
-    return (
-        features(scope, cfg)
-        .where(sec.between(F.col("first_sec"), F.col("last_sec") + reach))
-        .drop("first_sec", "last_sec")
-    )
+    near = event_seconds().between(F.col("first_sec") - _reach(cfg), F.col("last_sec") + _reach(cfg))
+    return silver.join(spans, "customer_id").where(near)
+
+
+def refreshed(reached: DataFrame, cfg: RiskConfig) -> DataFrame:
+    """Features of the affected rows among those :func:`in_reach` of the current Silver table."""
+    affected = event_seconds().between(F.col("first_sec"), F.col("last_sec") + _reach(cfg))
+    return features(reached, cfg).where(affected).drop("first_sec", "last_sec")

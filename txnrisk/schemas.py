@@ -59,7 +59,7 @@ def gold(record: T.StructType = RECORD) -> T.StructType:
 
 
 MODEL = _struct(
-    "tree_id int, node_id int, feature int, split double, left int, right int, "
+    "tree_id int, node_id int, feature string, split double, left int, right int, "
     "size bigint, depth int, sample_size bigint"
 )
 

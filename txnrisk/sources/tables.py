@@ -7,7 +7,9 @@ to; batch readers see the current view, one row per key.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -84,36 +86,41 @@ def current_view(
     spark: SparkSession,
     table: str,
     schema: StructType,
-    only: Column | None = None,
+    narrow: Callable[[DataFrame], DataFrame] | None = None,
     seconds: tuple[int, int] | None = None,
-    key: str = KEY,
+    keys: DataFrame | None = None,
 ) -> DataFrame:
-    """Latest version of every key, optionally limited to rows that satisfy ``only`` and lie
-    between two event times (epoch seconds, both included).
+    """Latest version of every key, optionally a part of the table only.
 
-    The limits are applied to the snapshot's scan, where they skip whole days and row groups, but
-    after picking the latest version from the log: an older version may satisfy them where the
-    latest does not.
+    ``seconds`` limits the event time (both ends included) and ``narrow`` is any row filter. They
+    apply to the snapshot's scan, where they skip whole days and row groups, but to the log only
+    after picking the latest versions: an older version may pass where the latest does not.
+    ``keys`` limits the keys, which is safe to do before.
     """
-    wanted = F.lit(True) if only is None else only
-    if seconds is not None:
-        low, high = (F.timestamp_seconds(F.lit(s)) for s in (seconds[0], seconds[1] + 1))
-        wanted = wanted & (F.col("transaction_time") >= low) & (F.col("transaction_time") < high)
-    if not path_exists(spark, log_path(table)):
-        return spark.createDataFrame([], schema)
 
+    def limited(rows: DataFrame) -> DataFrame:
+        if seconds is not None:
+            low, high = (F.timestamp_seconds(F.lit(s)) for s in (seconds[0], seconds[1] + 1))
+            rows = rows.where((F.col("transaction_time") >= low) & (F.col("transaction_time") < high))
+        return rows if narrow is None else narrow(rows)
+
+    def keyed(rows: DataFrame) -> DataFrame:
+        return rows if keys is None else rows.join(keys, KEY, "left_semi")
+
+    if not path_exists(spark, log_path(table)):
+        return limited(spark.createDataFrame([], schema))
     log = spark.read.schema(_with(schema, LOG_ID)).parquet(log_path(table))
     covered = _latest_snapshot_id(spark, table)
     if covered is None:
-        return latest_per_key(log, key, LOG_ID).drop(LOG_ID).where(wanted)
+        return limited(latest_per_key(keyed(log), KEY, LOG_ID).drop(LOG_ID))
 
-    newer = latest_per_key(log.where(F.col(LOG_ID) > covered), key, LOG_ID).drop(LOG_ID)
+    newer = latest_per_key(keyed(log.where(F.col(LOG_ID) > covered)), KEY, LOG_ID).drop(LOG_ID)
     snapshot = spark.read.schema(_with(schema, COVERED, DAY)).parquet(snapshot_path(table))
     older = snapshot.where(F.col(COVERED) == covered)
     if seconds is not None:
         older = older.where(F.col(DAY).between(seconds[0] // DAY_SECONDS, seconds[1] // DAY_SECONDS))
-    older = older.where(wanted).drop(COVERED, DAY)
-    return older.join(newer.select(key), key, "left_anti").unionByName(newer.where(wanted))
+    older = limited(keyed(older.drop(COVERED, DAY)))
+    return older.join(newer.select(KEY), KEY, "left_anti").unionByName(limited(newer))
 
 
 def mart_or_gold(spark: SparkSession, mart_table: str, gold: DataFrame, to_mart) -> DataFrame:

@@ -90,16 +90,19 @@ def gold_batch(
         spark = batch.sparkSession
         changed = latest_per_key(batch, KEY, LOG_ID)
         keys = broadcast_if_small(changed.select(KEY), cfg.broadcast_rows)
-        earlier = current_view(spark, layout.gold, schemas.gold(record)).join(keys, KEY, "left_semi")
+        earlier = current_view(spark, layout.gold, schemas.gold(record), keys=keys)
         spans = gold.touched_spans(changed, earlier).persist()
         try:
-            first, last = spans.agg(F.min("first_sec"), F.max("last_sec")).first()
-            reach = max(cfg.baseline_seconds, cfg.velocity_seconds)
-            now = current_view(
-                spark, layout.silver, schemas.silver(record), seconds=(first - reach, last + reach)
+            near = broadcast_if_small(spans, cfg.broadcast_rows)
+            reached = current_view(
+                spark,
+                layout.silver,
+                schemas.silver(record),
+                narrow=lambda rows: gold.in_reach(rows, near, cfg),
+                seconds=gold.reach_of(spans, cfg),
             )
             written = Observation(f"gold-{batch_id}")
-            fresh = gold.stamped(gold.refreshed(now, spans, cfg)).observe(written, F.count(F.lit(1)).alias("n_rows"))
+            fresh = gold.stamped(gold.refreshed(reached, cfg)).observe(written, F.count(F.lit(1)).alias("n_rows"))
             upsert_batch(fresh.select(*schemas.gold(record).fieldNames()), layout.gold, batch_id)
         finally:
             spans.unpersist()
