@@ -57,6 +57,8 @@ class RiskConfig:
     topic: str = _env("KAFKA_TOPIC", "transactions")
     starting_offsets: str = "earliest"
     max_offsets_per_trigger: int = 1000
+    # More read tasks than queue partitions: a partition with a hot key is read in pieces.
+    queue_min_partitions: int | None = None
     max_files_per_trigger: int | None = None
 
     min_amount: float = MIN_AMOUNT

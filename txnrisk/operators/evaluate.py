@@ -11,10 +11,6 @@ def _ratio(top: Column, bottom: Column) -> Column:
     return F.coalesce(F.try_divide(top, bottom), F.lit(0.0))
 
 
-def label_rate(df: DataFrame, label: str) -> DataFrame:
-    return df.agg(F.avg(F.col(label).cast("int")).alias("label_rate"))
-
-
 def sample_counts(df: DataFrame, label: str) -> DataFrame:
     y = F.col(label).cast("int")
     return df.agg(
@@ -59,14 +55,12 @@ def roc_auc(df: DataFrame, label: str, risk: str) -> float | None:
     Equal scores collapse into weighted points before the evaluator sorts them, so a score
     shared by many rows is one point. ``numBins=0`` keeps every distinct score.
     """
-    points = (
-        df.select(F.col(label).cast("double").alias("label"), F.col(risk).cast("double").alias("risk"))
-        .where("label is not null and risk is not null")
-        .groupBy("risk", "label")
-        .agg(F.count(F.lit(1)).cast("double").alias("weight"))
-    )
-    if points.agg(F.count_distinct("label")).first()[0] < 2:
+    rows = df.select(F.col(label).cast("double").alias("label"), F.col(risk).cast("double").alias("risk"))
+    rows = rows.where("label is not null and risk is not null")
+    lowest, highest = rows.agg(F.min("label"), F.max("label")).first()
+    if lowest == highest:
         return None
+    points = rows.groupBy("risk", "label").agg(F.count(F.lit(1)).cast("double").alias("weight"))
     evaluator = BinaryClassificationEvaluator(
         rawPredictionCol="risk", labelCol="label", weightCol="weight", metricName="areaUnderROC", numBins=0
     )

@@ -95,39 +95,43 @@ def train_forest(df: DataFrame, row_id: str, features: tuple[str, ...], n_rows:
 
 
 class Forest:
-    """A trained model as dense arrays: one row per tree, one column per node."""
+    """A trained model as arrays over complete binary trees: one row per tree, one column per node.
+
+    Below a leaf everything goes left, and the leftmost descendant carries the leaf's path length.
+    So all rows take the same number of steps, without a test for leaves.
+    """
 
     def __init__(self, nodes: pd.DataFrame, features: tuple[str, ...]):
         tree_of = {t: i for i, t in enumerate(sorted(nodes["tree_id"].unique()))}
-        row = nodes["tree_id"].map(tree_of).to_numpy()
-        node = nodes["node_id"].to_numpy()
-        shape = (len(tree_of), int(node.max()) + 1)
+        row, node = nodes["tree_id"].map(tree_of).to_numpy(), nodes["node_id"].to_numpy()
         self.height = int(nodes["depth"].max())
-        self.feature = np.full(shape, -1, dtype=np.int32)
-        self.split = np.zeros(shape)
-        self.path = np.zeros(shape)
+        shape = (len(tree_of), 2 ** (self.height + 1))
         position = {name: i for i, name in enumerate(features)}
-        self.feature[row, node] = nodes["feature"].map(position).fillna(-1).astype(int)
-        self.split[row, node] = nodes["split"].fillna(0.0)
+
+        self.feature = np.zeros(shape, dtype=np.int64)
+        self.feature[row, node] = nodes["feature"].map(position).fillna(0).astype(int)
+        self.split = np.full(shape, np.inf)
+        self.split[row, node] = nodes["split"].fillna(np.inf)
+        self.path = np.zeros(shape)
         self.path[row, node] = nodes["depth"] + average_path(nodes["size"].to_numpy())
+        for parent in range(1, 2**self.height):
+            ends = np.isinf(self.split[:, parent])
+            self.path[ends, 2 * parent] = self.path[ends, parent]
         self.scale = float(average_path(int(nodes["sample_size"].iloc[0])))
 
     def score(self, points: np.ndarray) -> np.ndarray:
         """-2^(-E[path] / c(sample size)), in [-1, 0); lower = more anomalous."""
+        if self.scale <= 0:
+            return np.full(len(points), -1.0)
         total = np.zeros(len(points))
-        rows = np.arange(len(points))
+        values = np.ascontiguousarray(points).ravel()
+        first = np.arange(len(points)) * points.shape[1]
         for feature, split, path in zip(self.feature, self.split, self.path):
             at = np.ones(len(points), dtype=np.int64)
             for _ in range(self.height):
-                f = feature[at]
-                inner = f >= 0
-                if not inner.any():
-                    break
-                goes_right = points[rows, f] > split[at]
-                at = np.where(inner, 2 * at + goes_right, at)
-            total += path[at]
-        mean = total / len(self.feature)
-        return -np.exp2(-mean / self.scale) if self.scale > 0 else np.full(len(points), -1.0)
+                at = 2 * at + (values.take(first + feature.take(at)) > split.take(at))
+            total += path.take(at)
+        return -np.exp2(-total / len(self.feature) / self.scale)
 
 
 def load_forest(nodes: DataFrame, features: tuple[str, ...], cfg: RiskConfig) -> Forest:

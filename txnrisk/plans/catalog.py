@@ -27,7 +27,7 @@ from txnrisk.sinks.runs import read_runs, record_run
 from txnrisk.sinks.upsert import upsert_batch
 from txnrisk.sources import events
 from txnrisk.sources.queue import queue_files
-from txnrisk.sources.tables import LOG_ID, current_view, log_path, mart_or_gold, scan_tree
+from txnrisk.sources.tables import LOG_ID, current_view, mart_or_gold, read_log, scan_tree
 from txnrisk.streaming import layers
 from txnrisk.streaming.dedupe import deduplicated_stream
 
@@ -216,12 +216,11 @@ def gold_burst_60s(spark, sf_dir):
 def _write_layers(spark, sf_dir, layout):
     """Feed the arrival batches through the Silver and Gold batch writers, one after the other."""
     rows = _ingested(spark, sf_dir)
-    log = schemas.silver().add(LOG_ID, "long")
     to_silver, to_gold = layers.silver_batch(layout, CFG), layers.gold_batch(layout, CFG)
     for batch_id in ARRIVALS:
         to_silver(_arrival(rows, batch_id), batch_id)
-        fresh = spark.read.schema(log).parquet(log_path(layout.silver)).where(F.col(LOG_ID) == batch_id)
-        to_gold(fresh, batch_id)
+        log = read_log(spark, layout.silver, schemas.silver())
+        to_gold(log.where(F.col(LOG_ID) == batch_id), batch_id)
 
 
 @query
@@ -282,7 +281,7 @@ def change_log_latest(spark, sf_dir):
     table = new_folder(spark, "log")
     for _ in _silver_log(spark, sf_dir, table):
         pass
-    log = spark.read.schema(schemas.silver().add(LOG_ID, "long")).parquet(log_path(table))
+    log = read_log(spark, table, schemas.silver())
     return latest_per_key(log, "transaction_id", LOG_ID).select("transaction_id", "amount", "offset", LOG_ID)
 
 
@@ -452,7 +451,7 @@ def train_and_score(spark, sf_dir):
 def training_run_log(spark, sf_dir):
     """Parameters and evaluation that a training run records."""
     layout = Layout(new_folder(spark, "runs"))
-    training.training_job(spark, _mart(spark, sf_dir), layout, CFG, "train-1")
+    training.training_job(spark, stage(_mart(spark, sf_dir), "mart"), layout, CFG, "train-1")
     return read_runs(spark, layout.run_metrics).select("run_id", "kind", "name", "value")
 
 

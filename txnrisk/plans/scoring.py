@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass, fields
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,9 +11,8 @@ from txnrisk.config import FEATURES, SAMPLE_ROWS, Layout, RiskConfig
 from txnrisk.functions.labels import label, predicted_fraud, risk_tier
 from txnrisk.operators.forest import anomaly_score, load_forest
 from txnrisk.operators.quantiles import exact_percentiles
-from txnrisk.session import stage
 from txnrisk.sinks.append import append_batch
-from txnrisk.sinks.runs import load_model, record_run
+from txnrisk.sinks.runs import load_model, read_runs, record_run
 
 SCORE = "anomaly_score"
 
@@ -75,14 +74,25 @@ def score_mart(spark: SparkSession, mart: DataFrame, nodes: DataFrame, cfg: Risk
 
 
 def scored_rows(spark: SparkSession, layout: Layout, run_id: str) -> DataFrame:
-    return spark.read.parquet(layout.scored).where(F.col("run_id") == run_id)
+    """A run's rows with their predictions, from the stored scores and the cuts of the run."""
+    run = (F.col("run_id") == run_id) & (F.col("kind") == "metric")
+    values = {r["name"]: r["value"] for r in read_runs(spark, layout.run_metrics).where(run).collect()}
+    cuts = Cuts(*[float(values[f"cut_{f.name}"]) for f in fields(Cuts)])
+    return with_predictions(spark.read.parquet(layout.scored).where(F.col("run_id") == run_id), cuts)
 
 
 def scoring_job(spark: SparkSession, mart: DataFrame, layout: Layout, cfg: RiskConfig, run_id: str) -> DataFrame:
-    """Load the latest model, score, flag, tier, store the rows and record the run."""
-    scored = stage(score_mart(spark, mart, load_model(spark, layout.models), cfg), "scores")
-    flagged = with_predictions(scored, score_cuts(scored, cfg))
-    append_batch(flagged.withColumn("run_id", F.lit(run_id)), layout.scored, "run_id")
-    stored = scored_rows(spark, layout, run_id)
-    record_run(spark, layout.run_metrics, run_id, "metric", run_summary(stored).first().asDict())
-    return stored
+    """Load the latest model, score, store, find the cuts, record the run.
+
+    The scored rows are written once. Flags and tiers depend on percentiles of all the scores, so
+    they would need a second write of every row; instead the cuts are stored with the run and
+    applied on reading.
+    """
+    scored = score_mart(spark, mart, load_model(spark, layout.models), cfg)
+    append_batch(scored.withColumn("run_id", F.lit(run_id)), layout.scored, "run_id")
+    stored = spark.read.parquet(layout.scored).where(F.col("run_id") == run_id)
+    cuts = score_cuts(stored, cfg)
+    summary = run_summary(with_predictions(stored, cuts)).first().asDict()
+    summary.update({f"cut_{name}": value for name, value in asdict(cuts).items()})
+    record_run(spark, layout.run_metrics, run_id, "metric", summary)
+    return scored_rows(spark, layout, run_id)

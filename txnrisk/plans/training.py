@@ -43,9 +43,13 @@ def evaluation(scored: DataFrame) -> dict:
 
 
 def training_job(spark: SparkSession, mart: DataFrame, layout: Layout, cfg: RiskConfig, run_id: str) -> Trained:
+    """``mart`` should be a stored table: it is read to count, to sample and to score.
+
+    Only the scores and labels are written out for the measures, two narrow columns.
+    """
     if not has_rows(mart, cfg.min_training_rows):
         raise TooFewRows(f"training needs at least {cfg.min_training_rows} rows")
-    matrix = stage(mart.select("transaction_id", *FEATURES, "is_fraud"), "matrix")
+    matrix = mart.select("transaction_id", *FEATURES, "is_fraud")
     parameters = {
         "model_type": "IsolationForest",
         "contamination": cfg.contamination,
@@ -58,7 +62,8 @@ def training_job(spark: SparkSession, mart: DataFrame, layout: Layout, cfg: Risk
     record_run(spark, layout.run_metrics, run_id, "param", parameters)
 
     version = save_model(train_forest(matrix, "transaction_id", FEATURES, matrix.count(), cfg), layout.models)
-    scored = stage(score_mart(spark, matrix, load_model(spark, layout.models, version), cfg), "train-scores")
+    scores = score_mart(spark, matrix, load_model(spark, layout.models, version), cfg)
+    scored = stage(scores.select("is_fraud", SCORE), "train-scores")
     (cut,) = exact_percentiles(scored, SCORE, [cfg.contamination])
     report = evaluation(decided(scored, cut))
     record_run(spark, layout.run_metrics, run_id, "metric", report)

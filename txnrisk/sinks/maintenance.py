@@ -14,7 +14,7 @@ from txnrisk.sources.tables import (
     DAY_SECONDS,
     LOG_ID,
     current_view,
-    log_path,
+    read_log,
     snapshot_index_path,
     snapshot_path,
 )
@@ -35,8 +35,7 @@ def compact(
     customer filters skip most of it. It becomes visible only when its id is entered in the
     index, after all files are written; readers then ignore the log up to that id.
     """
-    log = spark.read.schema(StructType(schema.fields).add(LOG_ID, "long")).parquet(log_path(table))
-    newest = log.agg(F.max(LOG_ID)).first()[0]
+    newest = read_log(spark, table, schema).agg(F.max(LOG_ID)).first()[0]
     if newest is None:
         return None
     rows = current_view(spark, table, schema)
@@ -44,10 +43,9 @@ def compact(
         rows = retained(rows, as_of, days)
     day = F.floor(F.col("transaction_time").cast("long") / DAY_SECONDS)
     laid_out = (
-        rows.withColumn(DAY, day)
+        rows.withColumns({COVERED: F.lit(newest).cast("bigint"), DAY: day})
         .repartitionByRange(DAY, "customer_id", "transaction_id")
-        .sortWithinPartitions(DAY, "customer_id")
-        .withColumn(COVERED, F.lit(newest).cast("bigint"))
+        .sortWithinPartitions(COVERED, DAY, "customer_id")
     )
     (
         laid_out.write.mode("overwrite")

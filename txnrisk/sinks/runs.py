@@ -40,7 +40,7 @@ def _models(spark: SparkSession, path: str) -> DataFrame:
 def save_model(nodes: DataFrame, path: str) -> int:
     """Register a node table under the next version number."""
     version = (latest_version(nodes.sparkSession, path) or 0) + 1
-    append_batch(nodes.coalesce(1).withColumn(VERSION, F.lit(version).cast("bigint")), path, VERSION)
+    append_batch(nodes.repartition(1).withColumn(VERSION, F.lit(version).cast("bigint")), path, VERSION)
     return version
 
 

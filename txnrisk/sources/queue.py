@@ -12,14 +12,16 @@ from txnrisk.schemas import QUEUE, RECORD
 
 def queue_stream(spark: SparkSession, cfg: RiskConfig) -> DataFrame:
     """Subscribe to the topic; needs the Kafka connector on the classpath."""
-    return (
+    reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", cfg.bootstrap_servers)
         .option("subscribe", cfg.topic)
         .option("startingOffsets", cfg.starting_offsets)
         .option("maxOffsetsPerTrigger", cfg.max_offsets_per_trigger)
-        .load()
     )
+    if cfg.queue_min_partitions:
+        reader = reader.option("minPartitions", cfg.queue_min_partitions)
+    return reader.load()
 
 
 def queue_files(spark: SparkSession, path: str, cfg: RiskConfig) -> DataFrame:

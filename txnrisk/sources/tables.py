@@ -59,6 +59,11 @@ def _with(schema: StructType, *partitions: str) -> StructType:
     return StructType(schema.fields + [StructField(name, LongType()) for name in partitions])
 
 
+def read_log(spark: SparkSession, table: str, schema: StructType) -> DataFrame:
+    """All versions of all rows, with the id of the batch that wrote them."""
+    return spark.read.schema(_with(schema, LOG_ID)).parquet(log_path(table))
+
+
 def layer_stream(spark: SparkSession, path: str, schema: StructType, max_files: int | None = None) -> DataFrame:
     """Stream a layer's files as they are appended.
 
@@ -109,7 +114,7 @@ def current_view(
 
     if not path_exists(spark, log_path(table)):
         return limited(spark.createDataFrame([], schema))
-    log = spark.read.schema(_with(schema, LOG_ID)).parquet(log_path(table))
+    log = read_log(spark, table, schema)
     covered = _latest_snapshot_id(spark, table)
     if covered is None:
         return limited(latest_per_key(keyed(log), KEY, LOG_ID).drop(LOG_ID))
