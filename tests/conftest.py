@@ -11,6 +11,10 @@ def spark(tmp_path_factory):
         .config("spark.driver.memory", "4g")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
+        # Untruncated plans, for the tests that read them.
+        .config("spark.sql.maxMetadataStringLength", "100000")
+        .config("spark.sql.debug.maxToStringFields", "1000")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
         .getOrCreate()
     )

@@ -86,6 +86,8 @@ class RiskConfig:
 
     # Sides with more rows than this are joined by shuffle, never by broadcast.
     broadcast_rows: int = 500_000
+    # Pieces a customer's rows are cut into when such a join is on the customer.
+    salts: int = 16
 
 
 @dataclass(frozen=True)

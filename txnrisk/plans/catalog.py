@@ -336,21 +336,21 @@ def sample_counts(spark, sf_dir):
 # -- scoring ---------------------------------------------------------------------------------
 
 
+def _cuts_row(spark, cuts):
+    # Scores have six decimals, so values interpolated between two of them need more.
+    row = spark.createDataFrame([(cuts.fraud, cuts.high, cuts.medium)], "p2 double, p10 double, p25 double")
+    return row.select(*[(F.round(c, 9) + F.lit(0.0)).alias(c) for c in row.columns])
+
+
 @query
 def score_thresholds(spark, sf_dir):
-    cuts = scoring.score_cuts(_scored(spark, sf_dir), CFG)
-    return spark.createDataFrame([(cuts.fraud, cuts.high, cuts.medium)], "p2 double, p10 double, p25 double").select(
-        six("p2"), six("p10"), six("p25")
-    )
+    return _cuts_row(spark, scoring.score_cuts(_scored(spark, sf_dir), CFG))
 
 
 @query
 def score_thresholds_by_bins(spark, sf_dir):
     """The same cuts by repeated binning, the way they are found on large tables."""
-    cuts = scoring.score_cuts(_scored(spark, sf_dir), CFG, bins=64, builtin_rows=0)
-    return spark.createDataFrame([(cuts.fraud, cuts.high, cuts.medium)], "p2 double, p10 double, p25 double").select(
-        six("p2"), six("p10"), six("p25")
-    )
+    return _cuts_row(spark, scoring.score_cuts(_scored(spark, sf_dir), CFG, bins=64, builtin_rows=0))
 
 
 @query

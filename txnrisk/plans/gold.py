@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from txnrisk.config import RiskConfig
 from txnrisk.functions.features import event_seconds, risk_flags, zscore
+from txnrisk.operators.keyed import join_per_entity
 from txnrisk.operators.rolling import Trailing, with_trailing_stats
 
 SECOND = "event_sec"
@@ -78,7 +79,8 @@ def in_reach(silver: DataFrame, spans: DataFrame, cfg: RiskConfig) -> DataFrame:
     compute those, rows from t - look-back on are needed.
     """
     near = event_seconds().between(F.col("first_sec") - _reach(cfg), F.col("last_sec") + _reach(cfg))
-    return silver.join(spans, "customer_id").where(near)
+    joined = join_per_entity(silver, spans, "customer_id", "transaction_id", cfg.broadcast_rows, cfg.salts)
+    return joined.where(near)
 
 
 def refreshed(reached: DataFrame, cfg: RiskConfig) -> DataFrame:

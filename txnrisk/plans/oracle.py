@@ -103,7 +103,7 @@ def _with(*parts: str) -> str:
 _MART_ROWS = _with(SILVER, GOLD, MART) + "select * from mart"
 _CUTS = (
     _with(SILVER, GOLD, SCORED)
-    + "select round(p2, 6) + 0.0 as p2, round(p10, 6) + 0.0 as p10, round(p25, 6) + 0.0 as p25 from cuts"
+    + "select round(p2, 9) + 0.0 as p2, round(p10, 9) + 0.0 as p10, round(p25, 9) + 0.0 as p25 from cuts"
 )
 _GOLD_ROWS = _with(SILVER, GOLD) + f"select {FIELDS}, {GOLD_FIELDS} from gold"
 _UPSERTED_ROWS = _with(UPSERTED) + f'select {FIELDS}, offset_no as "offset" from silver'

@@ -97,12 +97,14 @@ def current_view(
 ) -> DataFrame:
     """Latest version of every key, optionally a part of the table only.
 
-    ``seconds`` limits the event time (both ends included) and ``narrow`` is any row filter. They
-    apply to the snapshot's scan, where they skip whole days and row groups, but to the log only
-    after picking the latest versions: an older version may pass where the latest does not.
-    ``keys`` limits the keys, which is safe to do before.
+    ``seconds`` limits the event time (both ends included), ``narrow`` is any row filter and
+    ``keys`` names the wanted keys. All of them apply to the scans, where time limits skip whole
+    days and row groups; a row of the log that passes is still dropped if its key has a newer
+    version, whether or not that one passes.
     """
 
+    whole = narrow is None and seconds is None
+
     def limited(rows: DataFrame) -> DataFrame:
         if seconds is not None:
             low, high = (F.timestamp_seconds(F.lit(s)) for s in (seconds[0], seconds[1] + 1))
@@ -114,18 +116,34 @@ def current_view(
 
     if not path_exists(spark, log_path(table)):
         return limited(spark.createDataFrame([], schema))
-    log = read_log(spark, table, schema)
     covered = _latest_snapshot_id(spark, table)
+    log = keyed(read_log(spark, table, schema))
+    if covered is not None:
+        log = log.where(F.col(LOG_ID) > covered)
+
+    # Only keys and batch ids are shuffled to find the latest versions, not whole rows; a key
+    # occurs once per batch. A whole view is better off picking them in one pass over the rows.
+    versions = log.groupBy(KEY).agg(F.max(LOG_ID).alias(LOG_ID))
+    if whole:
+        newer = latest_per_key(log, KEY, LOG_ID).drop(LOG_ID)
+    else:
+        newer = limited(log).join(versions, [KEY, LOG_ID], "left_semi").drop(LOG_ID)
+    newer = newer.select(*_column_order(newer, schema))
     if covered is None:
-        return limited(latest_per_key(keyed(log), KEY, LOG_ID).drop(LOG_ID))
+        return newer
 
-    newer = latest_per_key(keyed(log.where(F.col(LOG_ID) > covered)), KEY, LOG_ID).drop(LOG_ID)
     snapshot = spark.read.schema(_with(schema, COVERED, DAY)).parquet(snapshot_path(table))
     older = snapshot.where(F.col(COVERED) == covered)
     if seconds is not None:
         older = older.where(F.col(DAY).between(seconds[0] // DAY_SECONDS, seconds[1] // DAY_SECONDS))
     older = limited(keyed(older.drop(COVERED, DAY)))
-    return older.join(newer.select(KEY), KEY, "left_anti").unionByName(limited(newer))
+    return older.join(versions.select(KEY), KEY, "left_anti").unionByName(newer)
+
+
+def _column_order(rows: DataFrame, schema: StructType) -> list[str]:
+    """The table's columns first, then whatever ``narrow`` added."""
+    named = schema.fieldNames()
+    return named + [c for c in rows.columns if c not in named]
 
 
 def mart_or_gold(spark: SparkSession, mart_table: str, gold: DataFrame, to_mart) -> DataFrame:

@@ -93,12 +93,11 @@ def gold_batch(
         earlier = current_view(spark, layout.gold, schemas.gold(record), keys=keys)
         spans = gold.touched_spans(changed, earlier).persist()
         try:
-            near = broadcast_if_small(spans, cfg.broadcast_rows)
             reached = current_view(
                 spark,
                 layout.silver,
                 schemas.silver(record),
-                narrow=lambda rows: gold.in_reach(rows, near, cfg),
+                narrow=lambda rows: gold.in_reach(rows, spans, cfg),
                 seconds=gold.reach_of(spans, cfg),
             )
             written = Observation(f"gold-{batch_id}")
