@@ -123,7 +123,7 @@ def test_counters_are_reported(spark, layout):
     layers.bronze_batch(layout, report=report)(envelope(spark, [record(is_fraud=True), "{bad"]), 4)
     layers.silver_batch(layout, CFG, report)(bronze(spark, txn(1), txn(1), txn(2, currency="USD")), 4)
     assert seen[0] == ("bronze", 4, {"n_rows": 2, "n_valid": 1, "n_quarantined": 1, "fraud_rate": 1.0})
-    assert seen[1] == ("silver", 4, {"n_merged": 1, "n_invalid": 1})
+    assert seen[1] == ("silver", 4, {"n_rows": 3, "n_invalid": 1, "n_merged": 1})
 
 
 def test_empty_batch_writes_nothing(spark, layout):
@@ -170,3 +170,35 @@ def test_a_widened_record_schema_reaches_bronze_and_old_rows_read_null(spark, la
     layers.bronze_batch(layout, wide)(envelope(spark, [record(transaction_id="B", device="phone")], 1), 1)
     rows = spark.read.schema(schemas.bronze(wide)).parquet(layout.bronze)
     assert {r.transaction_id: r.device for r in rows.collect()} == {"A": None, "B": "phone"}
+
+
+def test_processing_time_trigger_and_stop(spark, layout, tmp_path):
+    queue = str(tmp_path / "queue")
+    envelope(spark, [record()]).write.parquet(queue)
+    query = layers.start_bronze(queue_files(spark, queue, CFG), layout, "1 second")
+    query.processAllAvailable()
+    assert query.isActive
+    query.stop()
+    assert not query.isActive
+    assert spark.read.schema(schemas.bronze()).parquet(layout.bronze).count() == 1
+
+
+def test_interrupt_stops_streams_and_session(spark, layout, tmp_path):
+    queue = str(tmp_path / "queue")
+    envelope(spark, [record()]).write.parquet(queue)
+    query = layers.start_bronze(queue_files(spark, queue, CFG), layout, "1 hour")
+
+    class Session:
+        stopped = False
+
+        class streams:
+            @staticmethod
+            def awaitAnyTermination():
+                raise KeyboardInterrupt
+
+        def stop(self):
+            self.stopped = True
+
+    session = Session()
+    layers.run_until_stopped(session, query)
+    assert session.stopped and not query.isActive

@@ -28,8 +28,18 @@ def rules(cfg: RiskConfig) -> dict[str, Column]:
     }
 
 
+def split_typed(rows: DataFrame, cfg: RiskConfig) -> tuple[DataFrame, DataFrame]:
+    return validation.split(rows, rules(cfg))
+
+
 def split(bronze: DataFrame, cfg: RiskConfig) -> tuple[DataFrame, DataFrame]:
-    return validation.split(typed(bronze), rules(cfg))
+    """(valid, invalid with the names of the broken rules)"""
+    return split_typed(typed(bronze), cfg)
+
+
+def counters(cfg: RiskConfig) -> list[Column]:
+    holds = F.coalesce(validation.all_hold(rules(cfg)), F.lit(False))
+    return [F.count(F.lit(1)).alias("n_rows"), F.count_if(~holds).alias("n_invalid")]
 
 
 def deduplicated(valid: DataFrame) -> DataFrame:

@@ -40,14 +40,12 @@ def bronze_batch(layout: Layout, record: StructType = schemas.RECORD, report: Re
         if batch.isEmpty():
             return
         seen = Observation(f"bronze-{batch_id}")
+        rows = bronze.parsed(batch, batch_id, record)
         counters = batch_counters(bronze.required_present())
-        # Two writes share one fetch and one JSON parse; the rate limit bounds what is kept.
-        rows = bronze.parsed(batch, batch_id, record).observe(seen, *counters).persist()
-        try:
-            append_batch(bronze.accepted(rows), layout.bronze)
+        append_batch(bronze.accepted(rows.observe(seen, *counters)), layout.bronze)
+        # Counted while writing: messages are fetched and parsed again only if some were rejected.
+        if seen.get["n_quarantined"]:
             quarantine_batch(bronze.quarantined(rows), layout.bronze_quarantine)
-        finally:
-            rows.unpersist()
         report("bronze", batch_id, seen.get)
 
     return write
@@ -57,20 +55,17 @@ def silver_batch(layout: Layout, cfg: RiskConfig, report: Report = log_counters)
     def write(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        valid, invalid = silver.split(silver.stamped(batch), cfg)
-        merged, rejected = Observation(f"silver-{batch_id}"), Observation(f"silver-invalid-{batch_id}")
-        upsert_batch(
-            silver.deduplicated(valid).observe(merged, F.count(F.lit(1)).alias("n_merged")), layout.silver, batch_id
-        )
+        seen, merged = Observation(f"silver-{batch_id}"), Observation(f"silver-merged-{batch_id}")
+        rows = silver.typed(silver.stamped(batch))
+        valid, _ = silver.split_typed(rows.observe(seen, *silver.counters(cfg)), cfg)
+        deduplicated = silver.deduplicated(valid).observe(merged, F.count(F.lit(1)).alias("n_merged"))
+        upsert_batch(deduplicated, layout.silver, batch_id)
         # Rejected rows are kept even when a batch has no valid row at all.
-        quarantine_batch(
-            invalid.withColumn(LOG_ID, F.lit(batch_id).cast("bigint")).observe(
-                rejected, F.count(F.lit(1)).alias("n_invalid")
-            ),
-            layout.silver_quarantine,
-            LOG_ID,
-        )
-        report("silver", batch_id, {**merged.get, **rejected.get})
+        if seen.get["n_invalid"]:
+            _, invalid = silver.split_typed(rows, cfg)
+            marked = invalid.withColumn(LOG_ID, F.lit(batch_id).cast("bigint"))
+            quarantine_batch(marked, layout.silver_quarantine, LOG_ID)
+        report("silver", batch_id, {**seen.get, **merged.get})
 
     return write
 
