@@ -9,7 +9,7 @@ def spark(tmp_path_factory):
         .appName("txnrisk-tests")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "4g")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
         # Untruncated plans, for the tests that read them.
         .config("spark.sql.maxMetadataStringLength", "100000")

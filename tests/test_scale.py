@@ -37,7 +37,7 @@ def test_a_large_refresh_never_partitions_by_customer_alone(spark, no_broadcast)
     assert re.search(r"hashpartitioning\(customer_id#\d+, _salt", plan)
     assert re.search(r"hashpartitioning\(customer_id#\d+, event_sec", plan)
     assert re.search(r"hashpartitioning\(customer_id#\d+, _tile", plan)
-    joined_on = re.findall(r"hashpartitioning\(customer_id#\d+, 8\)", plan)
+    joined_on = re.findall(r"hashpartitioning\(customer_id#\d+, 4\)", plan)
     # Customer alone: only the spans themselves, which are combined to a row per task and customer.
     assert len(joined_on) <= len(re.findall("partial_min", plan))
     assert fresh.count() == 50

@@ -56,8 +56,9 @@ def _mean(prefix: str) -> Column:
 def _stddev(prefix: str) -> Column:
     """Sample standard deviation from exact sums.
 
-    With s1 = q*n + r the sum of squared deviations is s2 - q*(q*n + 2r) - r*r/n. All but the
-    last term are integers, so equal values give exactly zero.
+    For any integer q and r = s1 - q*n the sum of squared deviations is s2 - q*(s1 + r) - r*r/n.
+    All but the last term are integers, so equal values give exactly zero; with q next to the
+    mean r is small and the subtraction loses nothing.
     """
     n, s1, s2, q, r = (F.col(f"{prefix}_{part}") for part in ("n", "s1", "s2", "q", "r"))
     whole = (s2 - (q * (s1 + r)).cast(_WIDE)).cast("double")
@@ -116,12 +117,10 @@ def trailing_stats(
     framed = tiled.select(*columns).where("_own = _tile")
 
     for t in moments:
-        n = F.nullif(F.col(f"{t.name}_n"), F.lit(0)).cast("decimal(19,0)")
-        s1 = F.col(f"{t.name}_s1")
-        framed = framed.withColumn(f"{t.name}_q", F.floor(s1 / n).cast("decimal(19,0)"))
-        framed = framed.withColumn(
-            f"{t.name}_r", (s1 - (F.col(f"{t.name}_q") * n).cast(_WIDE)).cast(_WIDE)
-        )
+        n, s1, q = (F.col(f"{t.name}_{part}") for part in ("n", "s1", "q"))
+        near_mean = F.round(s1.cast("double") / F.nullif(n, F.lit(0))).cast("bigint").cast("decimal(19,0)")
+        framed = framed.withColumn(f"{t.name}_q", near_mean)
+        framed = framed.withColumn(f"{t.name}_r", (s1 - (q * n.cast("decimal(19,0)")).cast(_WIDE)).cast(_WIDE))
 
     out = [F.col(entity), F.col(second)] + [F.col(t.name) for t in counts]
     for t in moments:
