@@ -65,6 +65,7 @@ def main() -> None:
     run("gold_features")
     only = sys.argv[1:] or HEADLINE
     times = {name: run(name) for name in only}
+    rows = spark.read.parquet(f"{sf_dir}/events.parquet").count()
     spark.stop()
     print(
         json.dumps(
@@ -73,6 +74,7 @@ def main() -> None:
                 "value": round(sum(times.values()), 3),
                 "unit": "sec",
                 "queries": times,
+                "rows_per_sec": {name: round(rows / sec) for name, sec in times.items()},
                 "sf": sf_dir.rstrip("/").rsplit("sf", 1)[-1],
             }
         )

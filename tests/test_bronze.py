@@ -1,5 +1,6 @@
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from rows import envelope, record
+from rows import envelope, node_lines, record
 
 from txnrisk.plans import bronze
 from txnrisk.schemas import RECORD
@@ -36,3 +37,15 @@ def test_a_widened_schema_keeps_new_fields(spark):
     wide = T.StructType(RECORD.fields + [T.StructField("device", T.StringType())])
     rows = bronze.parsed(envelope(spark, [record(device="phone"), record()]), 0, wide)
     assert [r.device for r in rows.orderBy("offset").collect()] == ["phone", None]
+
+
+def test_each_message_is_parsed_once(spark):
+    rows = bronze.parsed(envelope(spark, [record()]).repartition(2), 0)
+    for part in (bronze.accepted(rows), bronze.quarantined(rows), bronze.batch_metrics(rows)):
+        assert "\n".join(node_lines(part)).count("from_json") == 1
+
+
+def test_a_message_without_value_is_quarantined(spark):
+    empty = envelope(spark, [record()]).withColumn("value", F.lit(None).cast("binary"))
+    rows = bronze.quarantined(bronze.parsed(empty, 0)).collect()
+    assert len(rows) == 1 and rows[0].transaction_id is None and rows[0].raw_value is None

@@ -34,7 +34,9 @@ def upsert(target: DataFrame, updates: DataFrame, key: str) -> DataFrame:
     return kept.unionByName(updates, allowMissingColumns=True)
 
 
-def join_per_entity(rows: DataFrame, facts: DataFrame, entity: str, spread_by: str, max_rows: int, salts: int) -> DataFrame:
+def join_per_entity(
+    rows: DataFrame, facts: DataFrame, entity: str, spread_by: str, max_rows: int, salts: int
+) -> DataFrame:
     """Inner join of many rows with facts that are unique per entity.
 
     Few facts are broadcast, after counting them. Otherwise both sides are shuffled on the entity
@@ -45,5 +47,6 @@ def join_per_entity(rows: DataFrame, facts: DataFrame, entity: str, spread_by: s
     if facts.limit(max_rows + 1).count() <= max_rows:
         return rows.join(F.broadcast(facts), entity)
     salted = rows.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)))
-    copies = facts.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
+    every = F.sequence(*[F.lit(salt).cast("bigint") for salt in (0, salts - 1)])
+    copies = facts.withColumn("_salt", F.explode(every))
     return salted.join(copies, [entity, "_salt"]).drop("_salt")

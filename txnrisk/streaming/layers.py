@@ -17,7 +17,6 @@ from pyspark.sql.types import StructType
 
 from txnrisk import schemas
 from txnrisk.config import TRIGGERS, Layout, RiskConfig
-from txnrisk.operators.keyed import latest_per_key
 from txnrisk.operators.monitor import batch_counters
 from txnrisk.plans import bronze, gold, silver
 from txnrisk.session import broadcast_if_small, prepare
@@ -83,10 +82,9 @@ def gold_batch(
         if batch.isEmpty():
             return
         spark = batch.sparkSession
-        changed = latest_per_key(batch, KEY, LOG_ID)
-        keys = broadcast_if_small(changed.select(KEY), cfg.broadcast_rows)
+        keys = broadcast_if_small(batch.select(KEY).distinct(), cfg.broadcast_rows)
         earlier = current_view(spark, layout.gold, schemas.gold(record), keys=keys)
-        spans = gold.touched_spans(changed, earlier).persist()
+        spans = gold.touched_spans(batch, earlier).persist()
         try:
             reached = current_view(
                 spark,
