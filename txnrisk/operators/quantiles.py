@@ -13,7 +13,7 @@ def exact_percentiles(
     column: str,
     fractions: list[float],
     bins: int = 4096,
-    builtin_rows: int = 1_000_000,
+    builtin_rows: int = 100_000,
 ) -> list[float | None]:
     """Percentiles of a numeric column; nulls are ignored, and no rows give ``None`` each.
 
