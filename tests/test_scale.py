@@ -1,6 +1,10 @@
 """Plans that must hold when one key has a third of all rows, and the command line."""
 
+import os
 import re
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -116,3 +120,25 @@ def test_command_line_runs_all_jobs(spark, tmp_path, capsys, monkeypatch):
     main(["compact", "--root", root])
     # All rows are years old by now, hence past retention.
     assert current_view(spark, Layout(root).gold, schemas.gold()).count() == 0
+
+
+def test_tasks_do_not_need_the_package(tmp_path):
+    """A session started elsewhere, with the package importable on the driver only."""
+    repo = Path(__file__).resolve().parent.parent
+    script = tmp_path / "elsewhere.py"
+    script.write_text(
+        "import sys\n"
+        f"sys.path.insert(0, {str(repo)!r})\n"
+        "from pyspark.sql import SparkSession\n"
+        "spark = (SparkSession.builder.master('local[4]').config('spark.ui.enabled', 'false')\n"
+        "         .config('spark.sql.shuffle.partitions', '4')\n"
+        f"         .config('spark.checkpoint.dir', {str(tmp_path / 'shared')!r}).getOrCreate())\n"
+        "import __spark_entry__ as contract\n"
+        "print('rows', contract.queries()['forest_scores'](spark, '/root/testdata/sf0.001').count())\n"
+    )
+    ours = ("PYTHONPATH", "PYSPARK_GATEWAY_PORT", "PYSPARK_GATEWAY_SECRET")
+    env = {k: v for k, v in os.environ.items() if k not in ours}
+    done = subprocess.run(
+        [sys.executable, str(script)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300
+    )
+    assert "rows 960" in done.stdout, done.stderr[-2000:]

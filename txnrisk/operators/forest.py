@@ -104,34 +104,45 @@ class Forest:
     def __init__(self, nodes: pd.DataFrame, features: tuple[str, ...]):
         tree_of = {t: i for i, t in enumerate(sorted(nodes["tree_id"].unique()))}
         row, node = nodes["tree_id"].map(tree_of).to_numpy(), nodes["node_id"].to_numpy()
-        self.height = int(nodes["depth"].max())
-        shape = (len(tree_of), 2 ** (self.height + 1))
+        height = int(nodes["depth"].max())
+        shape = (len(tree_of), 2 ** (height + 1))
         position = {name: i for i, name in enumerate(features)}
 
-        self.feature = np.zeros(shape, dtype=np.int64)
-        self.feature[row, node] = nodes["feature"].map(position).fillna(0).astype(int)
-        self.split = np.full(shape, np.inf)
-        self.split[row, node] = nodes["split"].fillna(np.inf)
-        self.path = np.zeros(shape)
-        self.path[row, node] = nodes["depth"] + average_path(nodes["size"].to_numpy())
-        for parent in range(1, 2**self.height):
-            ends = np.isinf(self.split[:, parent])
-            self.path[ends, 2 * parent] = self.path[ends, parent]
-        self.scale = float(average_path(int(nodes["sample_size"].iloc[0])))
+        feature = np.zeros(shape, dtype=np.int64)
+        feature[row, node] = nodes["feature"].map(position).fillna(0).astype(int)
+        split = np.full(shape, np.inf)
+        split[row, node] = nodes["split"].fillna(np.inf)
+        path = np.zeros(shape)
+        path[row, node] = nodes["depth"] + average_path(nodes["size"].to_numpy())
+        for parent in range(1, 2**height):
+            ends = np.isinf(split[:, parent])
+            path[ends, 2 * parent] = path[ends, parent]
+        scale = float(average_path(int(nodes["sample_size"].iloc[0])))
+        self.arrays = {"height": height, "feature": feature, "split": split, "path": path, "scale": scale}
 
     def score(self, points: np.ndarray) -> np.ndarray:
+        return scorer()(self.arrays, points)
+
+
+def scorer():
+    """The scoring function. As a local function it reaches the tasks by value, so that executors
+    need numpy and pandas but not this package; the model goes along as plain arrays."""
+
+    def score(model: dict, points: np.ndarray) -> np.ndarray:
         """-2^(-E[path] / c(sample size)), in [-1, 0); lower = more anomalous."""
-        if self.scale <= 0:
+        if model["scale"] <= 0:
             return np.full(len(points), -1.0)
         total = np.zeros(len(points))
         values = np.ascontiguousarray(points).ravel()
         first = np.arange(len(points)) * points.shape[1]
-        for feature, split, path in zip(self.feature, self.split, self.path):
+        for feature, split, path in zip(model["feature"], model["split"], model["path"]):
             at = np.ones(len(points), dtype=np.int64)
-            for _ in range(self.height):
+            for _ in range(model["height"]):
                 at = 2 * at + (values.take(first + feature.take(at)) > split.take(at))
             total += path.take(at)
-        return -np.exp2(-total / len(self.feature) / self.scale)
+        return -np.exp2(-total / len(model["feature"]) / model["scale"])
+
+    return score
 
 
 def load_forest(nodes: DataFrame, features: tuple[str, ...], cfg: RiskConfig) -> Forest:
@@ -146,13 +157,14 @@ def load_forest(nodes: DataFrame, features: tuple[str, ...], cfg: RiskConfig) ->
 
 def anomaly_score(spark, forest: Forest, features: tuple[str, ...]) -> Column:
     """Score column for rows that carry the feature columns, computed in Arrow batches."""
-    shipped = spark.sparkContext.broadcast(forest)
+    shipped = spark.sparkContext.broadcast(forest.arrays)
+    score_points = scorer()
 
     @F.pandas_udf("double")
     def score(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
         model = shipped.value
         for batch in batches:
             points = np.column_stack([c.to_numpy(dtype=float) for c in batch])
-            yield pd.Series(model.score(points))
+            yield pd.Series(score_points(model, points))
 
     return score(*[F.col(c).cast("double") for c in features])
