@@ -102,7 +102,8 @@ class Phrases:
         nth = np.arange(cuts.sum()) - np.repeat(np.cumsum(cuts) - cuts, cuts)
         place = np.repeat(first, cuts) + nth * WIDEST
         strings = np.minimum(np.repeat(strings, cuts) - nth * WIDEST, WIDEST)
-        total = np.concatenate([[0], np.cumsum(letter * _FORWARD[: len(a)], dtype=np.uint64)]).astype(np.uint64)
+        total = np.zeros(len(a) + 1, dtype=np.uint64)
+        np.cumsum(letter * _FORWARD[: len(a)], out=total[1:])
         content = common.mix((total[place + strings + length - 1] - total[place]) * _INVERSE[place])
         which = np.searchsorted(starts, place, side="right") - 1
         text = np.array([i for i, *_ in group])[which]
