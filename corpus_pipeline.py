@@ -10,8 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnrisk.llm import decontaminate, langid, lines, mixing, neardup
-from txnrisk.llm.common import crc_fold, table
-from txnrisk.session import stage
+from txnrisk.llm.common import crc_fold, stage, table
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

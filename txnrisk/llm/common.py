@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from txnrisk.session import stage
+from txnrisk import session
 
 SPACES = b"\t\n\x0b\x0c\r "
 WORD = r"[^\x20\x09-\x0D]+"
@@ -49,12 +49,27 @@ def partitions(spark: SparkSession, n_bytes: int = 0, target: int = 32 << 20) ->
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(n_bytes) // target))
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark drop the shuffle files of queries whose results are already written."""
-    import gc
+def stage(df: DataFrame, label: str) -> DataFrame:
+    """Write once to the shared folder and read back; the shuffle files of the query go at its end.
 
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    Without that they would stay until the driver happens to collect its garbage. A write is not read
+    again from its shuffles, so nothing is lost; executors lost during the query are made up for as ever.
+    """
+    spark, setting = df.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(setting, "false")
+    spark.conf.set(setting, "true")
+    try:
+        return session.stage(df, label)
+    finally:
+        spark.conf.set(setting, before)
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the files of a staged table that nothing reads any more."""
+    spark = df.sparkSession
+    for folder in {name.rpartition("/")[0] for name in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:

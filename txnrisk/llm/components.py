@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txnrisk.llm.common import release
-from txnrisk.session import stage
+from txnrisk.llm.common import discard, stage
 
 
 def _neighbours(edges: DataFrame) -> DataFrame:
@@ -49,5 +48,5 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
         if now == before or now[0] == 0:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
         before = now
-        edges = stage(small_star(large_star(edges)), "links")
-        release(edges.sparkSession)
+        last, edges = edges, stage(small_star(large_star(edges)), "links")
+        discard(last)

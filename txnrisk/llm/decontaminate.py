@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txnrisk.llm import common
-from txnrisk.llm.common import by_value
+from txnrisk.llm.common import by_value, small, stage
 
 #: Items, and bytes of their text, that are held against the documents in one pass.
 BLOCK_ITEMS = 20_000
@@ -153,8 +153,6 @@ def decontaminate(docs: DataFrame, items: DataFrame, size: int = 5, containment:
     Ids of contaminated documents are few against the documents, but not bounded: they are joined
     by a shuffle unless a count shows that they are few. All rows of a contaminated id go.
     """
-    from txnrisk.llm.common import small
-    from txnrisk.session import stage
 
     bad = stage(find_items(docs, items, size, containment, key).select(F.col(key).alias("_bad")).distinct(), "contaminated")
     bad = F.broadcast(bad) if small(bad) else bad

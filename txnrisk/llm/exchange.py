@@ -15,8 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txnrisk.llm.common import by_value, partitions, release
-from txnrisk.session import stage
+from txnrisk.llm.common import by_value, partitions, stage
 
 #: Bytes of text in a block.
 BLOCK_BYTES = 16 << 20
@@ -111,9 +110,7 @@ def per_bucket(rows: DataFrame, work: Callable[[str, pd.DataFrame], list[tuple]]
         pdf = pdf.sort_values("block", ignore_index=True)
         return frame(work(pdf["kind"].iloc[0], pdf))
 
-    answers = stage(rows.groupBy("kind", "bucket").applyInPandas(apply, SCHEMA), label)
-    release(rows.sparkSession)
-    return answers
+    return stage(rows.groupBy("kind", "bucket").applyInPandas(apply, SCHEMA), label)
 
 
 by_value(__name__)

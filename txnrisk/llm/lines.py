@@ -9,8 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txnrisk.llm.common import join_facts
-from txnrisk.session import stage
+from txnrisk.llm.common import join_facts, stage
 
 
 def split_lines(text: Column) -> Column:

@@ -10,8 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txnrisk.llm.common import WORD, join_facts
-from txnrisk.session import stage
+from txnrisk.llm.common import WORD, join_facts, ranked, stage
 
 
 def n_words(text: Column) -> Column:
@@ -85,8 +84,6 @@ def emit_copies(mixed: DataFrame) -> DataFrame:
 
 def cyclic_weights(docs: DataFrame, cycle: tuple[float, ...] = (3.0, 1.0, 2.0)) -> DataFrame:
     """Weights for the sources in order of their code points, null last, repeating the cycle."""
-    from txnrisk.llm.common import ranked
-
     names = ranked(docs.select("source").distinct(), F.col("source").asc_nulls_last(), "_rank")
     pick = F.element_at(F.array(*map(F.lit, cycle)), (F.col("_rank") % len(cycle) + 1).cast("int"))
     return names.select("source", pick.alias("weight"))

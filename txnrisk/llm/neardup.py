@@ -20,9 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txnrisk.llm import common
-from txnrisk.llm.common import by_value, release
+from txnrisk.llm.common import by_value, stage
 from txnrisk.llm.components import components
-from txnrisk.session import stage
 
 #: 32 bands of 4 rows: a pair at 0.8 shares no band with probability (1 - 0.8^4)^32 = 5e-8.
 BANDS, ROWS = 32, 4
@@ -254,13 +253,11 @@ def near_duplicates(docs: DataFrame, size: int = 4, threshold_percent: int = 80,
     same = (usable["id"] == heads["_id"]) & (usable["n_shingles"] == heads["_n"])
     signed = usable.join(heads, same).dropDuplicates(["id", "a", "b"])
     banded = stage(bands(signed), "bands")
-    release(spark)
 
     hubs = banded.groupBy("bucket").agg(F.min("id").alias("hub"), F.max("id").alias("_most")).filter("hub <> _most")
     hubs = hubs.select(F.col("bucket").alias("_bucket"), "hub")
     buckets = stage(banded.join(hubs, banded["bucket"] == hubs["_bucket"]).drop("_bucket"), "buckets")
     pairs = stage(buckets.filter("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct(), "pairs")
-    release(spark)
 
     wanted = buckets.select(F.col("id").alias("_id")).distinct()
 
@@ -278,11 +275,9 @@ def near_duplicates(docs: DataFrame, size: int = 4, threshold_percent: int = 80,
 
     texts = base.join(wanted, base["id"] == wanted["_id"], "left_semi")
     sets = stage(texts.mapInArrow(full_sets, "id long, sig binary, shingles binary").filter("sig is not null"), "sets")
-    release(spark)
     links = stage(confirm(pairs, sets, threshold_percent), "links")
     found = components(links, "a", "b")
     more = stage(between_components(buckets, found, sets, threshold_percent), "links")
-    release(spark)
 
     every = links.unionByName(more).unionByName(copies.filter("id <> class").select(F.col("class").alias("a"), F.col("id").alias("b")))
     final = components(every, "a", "b").withColumnRenamed("node", "_node")

@@ -6,10 +6,11 @@ a matter of content, so equal strings have equal triggers wherever they occur, a
 ``length`` bytes lies in exactly one phrase (phrases overlap by length - 1 bytes).
 
 Dictionary and parse. Phrases whose trigger occurs in one document only can't repeat anything and
-are set aside. Of the others each distinct phrase is kept once; the parse is where it occurs, in
-each block of documents with the smallest document there.
+are set aside. Of the others each distinct phrase, by a 128-bit name, is kept once; the parse is where
+it occurs, in each block of documents with the smallest document there. A phrase that is all there
+is of its trigger, such as any inside a copy, is thereby decided: its first document is the smallest.
 
-Suffix array. Per trigger, the suffixes of the distinct phrases are sorted by their first ``length``
+Suffix array. Per trigger with several phrases, the suffixes of the distinct phrases are sorted by their first ``length``
 bytes; neighbours in that order with the same bytes are one string, and its first document is the
 smallest of its phrases'. (Beyond ``length`` bytes the order of the parse decides nothing here.) A
 block learns which strings of its phrases occur in a document smaller than its own.
@@ -104,7 +105,8 @@ class Phrases:
         strings = np.minimum(np.repeat(strings, cuts) - nth * WIDEST, WIDEST)
         total = np.zeros(len(a) + 1, dtype=np.uint64)
         np.cumsum(letter * _FORWARD[: len(a)], out=total[1:])
-        content = common.mix((total[place + strings + length - 1] - total[place]) * _INVERSE[place])
+        content = (total[place + strings + length - 1] - total[place]) * _INVERSE[place]
+        content = common.mix(content + strings.astype(np.uint64))
         which = np.searchsorted(starts, place, side="right") - 1
         text = np.array([i for i, *_ in group])[which]
         offset = np.array([at for _, at, _ in group])[which] + place - starts[which]
@@ -120,11 +122,10 @@ class Phrases:
         if not chosen.any():
             return
         at = np.flatnonzero(chosen)
-        order = at[np.lexsort((self.strings[at], self.hash[at], self.trigger[at]))]
-        same = np.zeros(len(order), dtype=bool)
-        for x in (self.trigger[order], self.hash[order], self.strings[order]):
-            same[1:] |= x[1:] != x[:-1]
-        same[:1] = True
+        order = at[np.lexsort((self.hash[at], self.trigger[at]))]
+        same = np.ones(len(order), dtype=bool)
+        t, h = self.trigger[order], self.hash[order]
+        same[1:] = (t[1:] != t[:-1]) | (h[1:] != h[:-1])
         first, of = order[same], np.cumsum(same) - 1
         pairs: list[bytes] = []
         for t, p, n in zip(self.text[first].tolist(), self.place[first].tolist(), self.strings[first].tolist()):
@@ -143,19 +144,18 @@ class Phrases:
         self.text = np.concatenate([self.text[rest], text])
         self.place = np.concatenate([self.place[rest], place])
 
-    def distinct(self, ids: np.ndarray, n_buckets: int):
-        """Distinct phrases in order of bucket, trigger, hash: one occurrence of each, the smallest
+    def distinct(self, ids: np.ndarray):
+        """Distinct phrases in order of trigger and hash: one occurrence of each, the smallest
         document with it here, and for every phrase the number of its distinct phrase."""
-        bucket = bucket_of(self.trigger, n_buckets)
         owner = ids[self.text] if len(self.text) else np.empty(0, np.int64)
-        order = np.lexsort((owner, self.strings, self.hash, self.trigger))
+        order = np.lexsort((owner, self.hash, self.trigger))
         new = np.ones(len(order), dtype=bool)
-        t, h, s = self.trigger[order], self.hash[order], self.strings[order]
-        new[1:] = (t[1:] != t[:-1]) | (h[1:] != h[:-1]) | (s[1:] != s[:-1])
+        t, h = self.trigger[order], self.hash[order]
+        new[1:] = (t[1:] != t[:-1]) | (h[1:] != h[:-1])
         number = np.empty(len(order), dtype=np.int64)
         number[order] = np.cumsum(new) - 1
         some = order[new]
-        return bucket[some], some, owner[some], number
+        return some, owner[some], number
 
 
 def low(key: np.ndarray) -> np.ndarray:
@@ -202,9 +202,51 @@ def keep_shared(pdf: pd.DataFrame, length: int, n_buckets: int):
     return ids, texts, given, phrases
 
 
-def send_phrases(block: int, phrases: Phrases, ids: np.ndarray, n_buckets: int) -> list[tuple]:
-    """The block's distinct phrases: trigger, hash, strings and smallest document, then the bytes."""
-    bucket, some, owner, _ = phrases.distinct(ids, n_buckets)
+def send_names(block: int, phrases: Phrases, ids: np.ndarray, n_buckets: int) -> list[tuple]:
+    """The block's distinct phrases by trigger and hash, with the smallest document that has each."""
+    some, owner, _ = phrases.distinct(ids)
+    trigger = phrases.trigger[some]
+    return send(block, "name", bucket_of(trigger, n_buckets), trigger, phrases.hash[some], owner)
+
+
+def answer_names(pdf: pd.DataFrame) -> list[tuple]:
+    """For each block and phrase: whether a smaller document has it, and whether its trigger has others."""
+    trigger, hashes, owner = (
+        np.concatenate([np.frombuffer(x, dtype=t) for x in pdf[c]]) for c, t in (("x", "<u8"), ("y", "<u8"), ("z", "<i8"))
+    )
+    order = np.lexsort((owner, hashes, trigger))
+    t, h = trigger[order], hashes[order]
+    first = np.ones(len(order), dtype=bool)
+    first[1:] = t[1:] != t[:-1]
+    new = first.copy()
+    new[1:] |= h[1:] != h[:-1]
+    smallest = owner[order][new][np.cumsum(new) - 1]
+    group = np.cumsum(first) - 1
+    several = np.bincount(group, new)[group] > 1
+    answers = np.empty((2, len(order)), dtype=bool)
+    answers[0, order], answers[1, order] = smallest < owner[order], several
+    bucket, out, at = int(pdf["bucket"].iloc[0]), [], 0
+    for block, own in zip(pdf["block"], pdf["x"]):
+        bits = answers[:, at : at + len(own) // 8]
+        at += len(own) // 8
+        out.append((int(block), "named", bucket, bits.shape[1], *(np.packbits(x).tobytes() for x in bits), None))
+    return out
+
+
+def named(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """What came back for the block's distinct phrases, in their order."""
+    smaller, several = [np.empty(0, bool)], [np.empty(0, bool)]
+    for row in pdf[pdf["kind"] == "named"].sort_values("bucket").itertuples():
+        for into, bits in ((smaller, row.x), (several, row.y)):
+            into.append(np.unpackbits(np.frombuffer(bits, dtype=np.uint8), count=int(row.id)).astype(bool))
+    return np.concatenate(smaller), np.concatenate(several)
+
+
+def send_phrases(block: int, phrases: Phrases, ids: np.ndarray, several: np.ndarray, n_buckets: int) -> list[tuple]:
+    """The distinct phrases whose triggers have others: trigger, hash, strings, smallest document; the bytes."""
+    some, owner, _ = phrases.distinct(ids)
+    some, owner = some[several], owner[several]
+    bucket = bucket_of(phrases.trigger[some], n_buckets)
     out = []
     cuts = np.flatnonzero(np.diff(bucket)) + 1 if len(bucket) else []
     for at in np.split(np.arange(len(bucket)), cuts) if len(bucket) else []:
@@ -266,10 +308,10 @@ def answer_phrases(pdf: pd.DataFrame, length: int) -> list[tuple]:
     content = np.frombuffer(b"".join(pdf["y"]), dtype=np.uint8)
     sizes = every["strings"].astype(np.int64) + length - 1
     start = np.cumsum(sizes) - sizes
-    order = np.lexsort((every["owner"], every["strings"], every["hash"], every["trigger"]))
-    t, h, s = every["trigger"][order], every["hash"][order], every["strings"][order]
+    order = np.lexsort((every["owner"], every["hash"], every["trigger"]))
+    t, h = every["trigger"][order], every["hash"][order]
     new = np.ones(len(order), dtype=bool)
-    new[1:] = (t[1:] != t[:-1]) | (h[1:] != h[:-1]) | (s[1:] != s[:-1])
+    new[1:] = (t[1:] != t[:-1]) | (h[1:] != h[:-1])
     number = np.empty(len(order), dtype=np.int64)
     number[order] = np.cumsum(new) - 1
     some = order[new]
@@ -288,15 +330,17 @@ def answer_phrases(pdf: pd.DataFrame, length: int) -> list[tuple]:
     return out
 
 
-def removed_runs(block_ids, phrases: Phrases, masks: np.ndarray, ids: np.ndarray, n_buckets: int):
+def removed_runs(phrases: Phrases, smaller: np.ndarray, several: np.ndarray, masks: np.ndarray, ids: np.ndarray):
     """Per text with removals: the maximal removed runs as (starts, ends)."""
-    _, _, owner, number = phrases.distinct(ids, n_buckets)
+    some, owner, number = phrases.distinct(ids)
     if not len(number):
         return {}
     n = phrases.strings.astype(np.int64)
-    later = ids[phrases.text] > owner[number]
     every = np.where(n == 64, ~np.uint64(0), (np.uint64(1) << (n % 64).astype(np.uint64)) - np.uint64(1))
-    mask = np.where(later, every, masks[number])
+    found = np.where(smaller, ~np.uint64(0), np.uint64(0))
+    found[several] = masks
+    later = ids[phrases.text] > owner[number]
+    mask = np.where(later, every, found[number] & every)
     some = np.flatnonzero(mask)
     m = n[some]
     inner = np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m)
@@ -333,16 +377,24 @@ def remove_repeats(docs: DataFrame, length: int = 50, key: str = "doc_id") -> Da
 
     shared = per_bucket(per_block(blocks, triggers), lambda _, pdf: shared_triggers(pdf), "triggers")
 
+    rows = blocks.unionByName(shared)
+
+    def names(block, pdf):
+        ids, _, _, found = keep_shared(pdf, length, n)
+        return send_names(block, found, ids, n)
+
+    rows = rows.unionByName(per_bucket(per_block(rows, names), lambda _, pdf: answer_names(pdf), "names"))
+
     def phrases(block, pdf):
         ids, _, _, found = keep_shared(pdf, length, n)
-        return send_phrases(block, found, ids, n)
+        return send_phrases(block, found, ids, named(pdf)[1], n)
 
-    masks = per_bucket(per_block(blocks.unionByName(shared), phrases), lambda _, pdf: answer_phrases(pdf, length), "phrases")
+    rows = rows.unionByName(per_bucket(per_block(rows, phrases), lambda _, pdf: answer_phrases(pdf, length), "phrases"))
 
     def finish(pdf: pd.DataFrame) -> pd.DataFrame:
         ids, texts, given, found = keep_shared(pdf, length, n)
         (mask,) = received(pdf, "mask", (np.uint64,))
-        runs = removed_runs(given, found, mask, ids, n)
+        runs = removed_runs(found, *named(pdf), mask, ids)
         rows = []
         for i, (doc, text) in enumerate(zip(given, texts)):
             starts, ends = runs.get(i, (np.empty(0, np.int64), np.empty(0, np.int64)))
@@ -353,8 +405,7 @@ def remove_repeats(docs: DataFrame, length: int = 50, key: str = "doc_id") -> Da
         return out
 
     schema = f"{key} long, n_bytes long, n_removed long, n_spans long, kept binary, starts array<long>, ends array<long>"
-    every = blocks.unionByName(shared).unionByName(masks)
-    return every.groupBy("block").applyInPandas(finish, schema)
+    return rows.groupBy("block").applyInPandas(finish, schema)
 
 
 by_value(__name__)
