@@ -9,7 +9,6 @@ computed exactly, block by block, and the nearest vote with their similarity.
 from __future__ import annotations
 
 import operator
-from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -55,7 +54,7 @@ class Space:
         self.idf, self.neighbours = idf.astype(np.float32), neighbours
         self.labels = np.array(labels, dtype=np.float32)
         self.prior = float(self.labels.mean()) if len(labels) else 0.5
-        x = self.weigh([terms(t, len(idf)).astype(np.float32) for t in texts])
+        x = self.weigh(texts)
         k = min(dimensions, *x.shape)
         # Randomized range finder with power iterations (Halko, Martinsson and Tropp 2011).
         basis = x @ np.random.default_rng(5).standard_normal((x.shape[1], k + 16), dtype=np.float32)
@@ -65,10 +64,10 @@ class Space:
         self.axes = np.ascontiguousarray(right[:k].T)
         self.labelled = self.unit(x @ self.axes)
 
-    def weigh(self, counts: Sequence[np.ndarray]) -> np.ndarray:
-        x = np.empty((len(counts), len(self.idf)), dtype=np.float32)
-        for i, row in enumerate(counts):
-            x[i] = row
+    def weigh(self, texts: list[bytes]) -> np.ndarray:
+        x = np.empty((len(texts), len(self.idf)), dtype=np.float32)
+        for i, text in enumerate(texts):
+            x[i] = terms(text, len(self.idf))
         np.log1p(x, out=x)
         x *= self.idf
         x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
@@ -85,7 +84,7 @@ class Space:
         if not len(self.labels):
             return out
         for at in range(0, len(texts), BLOCK):
-            part = self.unit(self.weigh([terms(t, len(self.idf)) for t in texts[at : at + BLOCK]]) @ self.axes)
+            part = self.unit(self.weigh(texts[at : at + BLOCK]) @ self.axes)
             cosine = part @ self.labelled.T
             k = min(self.neighbours, cosine.shape[1])
             near = np.argpartition(-cosine, k - 1, axis=1)[:, :k]
