@@ -1,0 +1,191 @@
+import math
+import random
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from llm.rows import documents, empty, plain, sentence
+
+from txnrisk.llm import langid, pitmanyor, quality, tokens
+from txnrisk.llm.common import crc_fold
+
+
+def test_crc_fold(spark):
+    rows = spark.createDataFrame([(5,), (123,), (None,)], "k long").select("k", crc_fold("k", 7).alias("f")).collect()
+    assert {r.k: r.f for r in rows} == {k: zlib.crc32(str("" if k is None else k).encode()) % 7 for k in (5, 123, None)}
+
+
+def test_profiles_by_hand(spark):
+    docs = spark.createDataFrame([("aab b", "x"), ("cc", "y"), (None, "y"), ("zz", None), ("!", "x")], "text string, lang string")
+    rows = {(r.lang, r.ngram): r.rank for r in langid.learn(docs, n_max=1).collect()}
+    assert rows == {("x", ord("a")): 0, ("x", ord("b")): 1, ("y", ord("c")): 0}
+    model = langid.load(langid.learn(docs, n_max=1), n_max=1, length=300)
+    assert model.predict("B a, a") == ("x", 1.0)
+    assert model.predict("c") == ("y", 1.0) and model.predict("12 !")[0] == model.predict(None)[0] == langid.UNKNOWN
+    assert model.predict("q") == ("x", 0.0)  # nothing known: smaller name
+
+
+def test_out_of_place_distance_against_brute_force(spark):
+    rng = random.Random(4)
+    texts = [("x", sentence(rng, 50)), ("y", "der die das " * 9), ("z", "Ñandú año ß " * 5)]
+    model = langid.load(langid.learn(spark.createDataFrame([(t, n) for n, t in texts], "text string, lang string")))
+
+    def ranks(text):
+        words = "".join(c if c.isalpha() else " " for c in text.lower()).split()
+        grams = Counter(g for w in words for n in (1, 2, 3) for g in ngrams(w, n))
+        code = lambda g: sum((1 if c == " " else ord(c)) << 21 * i for i, c in enumerate(reversed(g)))
+        return [g for g, _ in sorted(grams.items(), key=lambda x: (-x[1], code(x[0])))[:300]]
+
+    def ngrams(word, n):
+        padded = f" {word} "
+        found = [padded[i : i + n] for i in range(len(padded) - n + 1)]
+        return [g for g in found if g.strip() and " " not in g[1:-1]]
+
+    text = "der sentence w12 año"
+    for of, name in enumerate(model.languages):
+        profile = {g: i for i, g in enumerate(ranks(dict(texts)[name]))}
+        own = ranks(text)
+        distance = sum(abs(profile[g] - i) if g in profile else 300 for i, g in enumerate(own))
+        if model.predict(text)[0] == name:
+            assert model.predict(text)[1] == pytest.approx(1 - distance / (300 * len(own)))
+
+
+def test_identify_keeps_rows_and_clashing_columns(spark):
+    docs = documents(spark)
+    found = plain(langid.identify(docs, langid.load(langid.learn(docs))))
+    assert len(found) == docs.count()
+    for r in found:
+        letter = any(c.isalpha() for c in r["text"] or "")
+        assert (r["lang_pred"] == "und") == (not letter) and 0 <= r["score"] <= 1
+    nothing = langid.load(langid.learn(empty(spark)))
+    assert {r["lang_pred"] for r in plain(langid.identify(docs, nothing))} == {"und"}
+    assert langid.identify(empty(spark), nothing).count() == 0
+
+
+def test_quality_separates_held_out_documents(spark):
+    rng = random.Random(2)
+    rows = [(i, sentence(rng, 40) if i % 3 else " ".join(f"w{rng.randrange(400)}###" for _ in range(40)), int(i % 3 > 0)) for i in range(300)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, q) for i, _, q in rows if i < 200] + [(None, 1), (3, None)], "doc_id long, quality int")
+    space = quality.learn(docs, labels)
+    got = {r["doc_id"]: r["score"] for r in plain(quality.score(docs, space))}
+    assert all((got[i] >= 0.3) == bool(q) for i, _, q in rows if i >= 200)
+    # The votes are those of an exact search.
+    texts = [t.encode() for _, t, _ in rows[:20]]
+    unit = space.unit(space.weigh(texts) @ space.axes)
+    for i, v in enumerate(unit):
+        near = sorted(zip((space.labelled @ v).tolist(), space.labels), reverse=True)[: space.neighbours]
+        if near[-1][0] - 1e-5 > sorted(space.labelled @ v)[-space.neighbours - 1]:
+            assert got[i] == pytest.approx(sum(max(c, 0) * y for c, y in near) / sum(max(c, 0) for c, _ in near), abs=1e-4)
+
+
+def test_quality_of_odd_rows(spark):
+    docs = documents(spark)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(30)] + [(7, 1)], "doc_id long, quality int")
+    scored = plain(quality.score(docs, quality.learn(docs, labels)))
+    assert len(scored) == docs.count() and all(0 <= r["score"] <= 1 for r in scored)
+    none = quality.learn(docs, labels.limit(0))
+    assert {r["score"] for r in plain(quality.score(docs, none))} == {0.5}
+    assert quality.score(empty(spark), none).count() == 0
+    assert len(plain(quality.score(docs, quality.learn(docs, labels, most_labelled=5)))) == docs.count()
+
+
+def brute_cut(word, scores, byte):
+    best = [(0.0, 0)] + [(-math.inf, 0)] * len(word)
+    for end in range(1, len(word) + 1):
+        for start in range(end):
+            piece = scores.get(word[start:end])
+            if piece is not None:
+                best[end] = max(best[end], (best[start][0] + piece, best[start][1] - 1))
+        if word[end - 1] not in scores:
+            n = len(word[end - 1].encode())
+            best[end] = max(best[end], (best[end - 1][0] + byte * n, best[end - 1][1] - n))
+    return -best[-1][1]
+
+
+@pytest.mark.parametrize("scores", [{"▁": -1.0, "a": -1.5, "ab": -2.0, "b": -1.0, "▁a": -2.5, "bab": -2.0}, {}])
+def test_counts_against_brute_force(spark, scores):
+    rng = random.Random(3)
+    words = {"".join(rng.choice("abcé日") for _ in range(rng.randrange(1, 12))) for _ in range(300)} | {"ab" * 200}
+    counts = tokens.Counts(scores, most_words=50)
+    for w in words:
+        counts.meet({w.encode()})
+        byte = min(scores.values(), default=0.0) - 10.0
+        assert counts[w.encode()] == brute_cut("▁" + w, scores, byte), w
+    together = tokens.Counts(scores)
+    together.meet({w.encode() for w in words})
+    assert all(together[w.encode()] == brute_cut("▁" + w, scores, min(scores.values(), default=0.0) - 10.0) for w in words)
+
+
+def test_token_counts_of_whole_texts(spark):
+    docs = documents(spark)
+    scores = tokens.load_vocabulary()
+    got = plain(tokens.count_tokens(docs, scores))
+    assert len(got) == docs.count()
+    counts = tokens.Counts(scores)
+    want = Counter()
+    for r in plain(docs):
+        words = (r["text"] or "").encode().split()
+        counts.meet(set(words))
+        want[(r["doc_id"], len((r["text"] or "").encode()), len(words), sum(counts[w] for w in words))] += 1
+    assert Counter((r["doc_id"], r["n_bytes"], r["n_words"], r["n_tokens"]) for r in got) == want
+    assert tokens.count_tokens(empty(spark), scores).count() == 0
+
+
+def test_language_model(spark):
+    docs = documents(spark, 90)
+    train = crc_fold("doc_id", 7) != 2
+    got = plain(pitmanyor.score_documents(docs, train))
+    assert len(got) == docs.count()
+    mark = lambda i: zlib.crc32(str("" if i is None else i).encode()) % 7 != 2
+    split = lambda t: [*(t or "").encode().lower().split(), None]
+    rows = plain(docs)
+    counts = Counter(w for r in rows if mark(r["doc_id"]) for w in split(r["text"]))
+    n, v = sum(counts.values()), len(counts)
+    want = sorted(
+        (str(r["doc_id"]), len(w), sum(counts[x] > 0 for x in w), round(sum(math.log10((counts[x] + 1) / (n + v + 1)) for x in w), 6))
+        for r in rows
+        for w in [split(r["text"])]
+    )
+    assert sorted((str(r["doc_id"]), r["n_tokens"], r["n_known"], round(r["base_score"], 6)) for r in got) == want
+    assert {r["train_tokens"] for r in got} == {n} and all(r["score"] <= 1e-9 for r in got)
+    again = plain(pitmanyor.score_documents(docs.repartition(5), train, sweeps=1))
+    assert sorted(r["score"] for r in again) == pytest.approx(sorted(r["score"] for r in got))
+    more = plain(pitmanyor.score_documents(docs, train, sweeps=2))
+    assert sum(r["score"] for r in more) == pytest.approx(sum(r["score"] for r in got), rel=0.05)
+
+
+def test_probabilities_of_a_context_add_up(spark):
+    """Over all known words, the end and one unknown word, from a context that was seen."""
+    train = [(0, "a b a b a c"), (1, "a b c"), (2, "c a"), (3, "a a")]
+    words = ["a", "b", "c", "unknown"]
+    probes = [(100 + i, f"a {w}") for i, w in enumerate(words)] + [(200, "a")]
+    docs = spark.createDataFrame(train + probes, "doc_id long, text string")
+    got = {r["doc_id"]: r["score"] for r in plain(pitmanyor.score_documents(docs, docs["doc_id"] < 100))}
+    # P(a w end) summed over w and what follows is not at hand; the first step P(a|begin) is common.
+    single = spark.createDataFrame(train + [(300 + i, w) for i, w in enumerate([*words, ""])], "doc_id long, text string")
+    first = {r["doc_id"]: 10 ** r["score"] for r in plain(pitmanyor.score_documents(single, single["doc_id"] < 100))}
+    assert 0 < sum(first[300 + i] for i in range(5)) < 1 and got[200] < 0
+
+
+def test_no_training_rows(spark):
+    docs = documents(spark, 10)
+    got = plain(pitmanyor.score_documents(docs, docs["doc_id"] < -1))
+    assert {(r["score"], r["base_score"], r["n_known"], r["train_tokens"]) for r in got} == {(0.0, 0.0, 0, 0)}
+    assert pitmanyor.score_documents(empty(spark), crc_fold("doc_id", 7) != 2).count() == 0
+
+
+def test_seating_agrees_with_one_by_one(spark):
+    """Mean tables of many dishes of ten customers against the exact expectation."""
+    n, weight, d = 20_000, 0.7, 0.4
+    tables = pitmanyor.seat(np.arange(n, dtype=np.uint64), np.full(n, 10), np.full(n, weight), d, 0, 0)
+    state = {1: 1.0}
+    for seated in range(1, 10):
+        new = Counter()
+        for t, p in state.items():
+            opens = weight / (weight + seated - d * t)
+            new[t + 1] += p * opens
+            new[t] += p * (1 - opens)
+        state = new
+    assert tables.mean() == pytest.approx(sum(t * p for t, p in state.items()), abs=0.03)

@@ -51,7 +51,7 @@ class ItemIndex:
             if not own:
                 continue
             hashes, counts = common.word_hashes([text])
-            h = np.unique(common.shingle_hashes(hashes, counts, size)[0])
+            h = np.unique(common.shingle_hashes(hashes, counts, len(next(iter(own))))[0])
             k = least_minima(len(own), containment)
             minima.append(h[:k])
             owner.append(np.full(min(k, len(h)), len(self.ids)))

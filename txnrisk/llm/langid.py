@@ -18,6 +18,8 @@ from txnrisk.llm.common import by_value
 #: Languages that may be learned; a label column with more values is an error, not a language column.
 MOST_LANGUAGES = 10_000
 UNKNOWN = "und"
+#: Stands for what is between words; no letter, and not 0, so that n-grams of all lengths differ.
+GAP = 1
 #: Characters of text that one numpy step of learning handles at a time.
 CHUNK_CHARS = 4 << 20
 _letters: list[np.ndarray] = []
@@ -31,32 +33,32 @@ def is_letter() -> np.ndarray:
 
 
 def characters(text: str) -> np.ndarray:
-    """Code points of the lower-cased text with every run of other than letters as a single 0.
+    """Code points of the lower-cased text with every run of other than letters as a single GAP.
 
-    There is a 0 at either end. Empty if there is no letter.
+    There is a GAP at either end. Empty if there is no letter.
     """
     code = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     letter = is_letter()[code]
     if not letter.any():
         return np.empty(0, dtype=np.uint64)
-    padded = np.concatenate([[0], np.where(letter, code, 0), [0]]).astype(np.uint64)
+    padded = np.concatenate([[GAP], np.where(letter, code, GAP), [GAP]]).astype(np.uint64)
     keep = np.ones(len(padded), dtype=bool)
-    keep[1:] = (padded[1:] != 0) | (padded[:-1] != 0)
+    keep[1:] = (padded[1:] != GAP) | (padded[:-1] != GAP)
     return padded[keep]
 
 
 def ngrams(chars: np.ndarray, n_max: int) -> np.ndarray:
     """All n-grams of 1 to ``n_max`` (at most 3) characters, packed in 21 bits each.
 
-    A 0 may only be the first or the last character, so that n-grams stay within a word.
+    A GAP may only be the first or the last character, so that n-grams stay within a word.
     """
-    parts = [chars[chars != 0]]
+    parts = [chars[chars != GAP]]
     key = chars
     for n in range(2, n_max + 1):
         key = (key[:-1] << np.uint64(21)) | chars[n - 1 :]
         inner = np.ones(len(key), dtype=bool)
         for j in range(1, n - 1):
-            inner &= chars[j : len(chars) - n + 1 + j] != 0
+            inner &= chars[j : len(chars) - n + 1 + j] != GAP
         parts.append(key[inner])
     return np.concatenate(parts)
 
