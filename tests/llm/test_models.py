@@ -113,6 +113,11 @@ def test_counts_against_brute_force(spark, scores):
         counts.meet({w.encode()})
         byte = min(scores.values(), default=0.0) - 10.0
         assert counts[w.encode()] == brute_cut("▁" + w, scores, byte), w
+    few = tokens.Counts(scores, most_words=50)
+    for at in range(0, 300, 20):  # a full store starts anew without losing words of the step
+        step = {w.encode() for w in sorted(words)[max(0, at - 10) : at + 20]}
+        few.meet(step)
+        assert all(few[w] == counts.get(w, few[w]) for w in step)
     together = tokens.Counts(scores)
     together.meet({w.encode() for w in words})
     assert all(together[w.encode()] == brute_cut("▁" + w, scores, min(scores.values(), default=0.0) - 10.0) for w in words)

@@ -172,11 +172,11 @@ class Counts(dict):
         self.pieces, self.most_words = Backwards(scores), most_words
 
     def meet(self, words: set[bytes]) -> None:
-        """Work out the words not met yet."""
-        words.difference_update(self)
-        if len(self) + len(words) > self.most_words:
+        """Work out the words not met yet, after which all of the given ones are there."""
+        raw = sorted(words.difference(self))
+        if len(self) + len(raw) > self.most_words:
             self.clear()
-        raw = sorted(words)
+            raw = sorted(words)
         spelled = [MARK + w for w in b"\n".join(raw).decode("utf-8").split("\n")] if raw else []
         usual = [i for i, s in enumerate(spelled) if len(s) <= LONGEST]
         for at in range(0, len(usual), TRIE_WORDS):
