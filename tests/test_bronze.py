@@ -49,3 +49,24 @@ def test_a_message_without_value_is_quarantined(spark):
     empty = envelope(spark, [record()]).withColumn("value", F.lit(None).cast("binary"))
     rows = bronze.quarantined(bronze.parsed(empty, 0)).collect()
     assert len(rows) == 1 and rows[0].transaction_id is None and rows[0].raw_value is None
+
+
+def test_a_backfilled_file_with_an_old_time_is_read(spark, tmp_path):
+    import os
+    import time
+    from datetime import datetime
+
+    from txnrisk.config import RiskConfig
+    from txnrisk.schemas import QUEUE
+    from txnrisk.sources.queue import queue_files
+
+    folder, out, seen = tmp_path / "in", str(tmp_path / "out"), set()
+    for name, days in ((b"new", 0), (b"old", 15)):
+        row = (b"k", name, "t", 0, 1, datetime.now(), 0)
+        spark.createDataFrame([row], QUEUE).coalesce(1).write.mode("append").parquet(str(folder))
+        for file in set(folder.glob("part-*")) - seen:
+            seen.add(file)
+            os.utime(file, (time.time() - days * 86400,) * 2)
+        stream = queue_files(spark, str(folder), RiskConfig()).writeStream.format("parquet").option("path", out)
+        stream.option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start().awaitTermination()
+    assert sorted(bytes(r.value) for r in spark.read.parquet(out).collect()) == [b"new", b"old"]

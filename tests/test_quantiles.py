@@ -11,7 +11,7 @@ def percentiles(spark, values, fractions, **how):
     return exact_percentiles(df, "x", fractions, **how)
 
 
-BOTH = [{}, {"builtin_rows": 0, "bins": 4}, {"builtin_rows": 0}]
+BOTH = [{}, {"bins": 4}]
 
 
 @pytest.mark.parametrize("how", BOTH)
@@ -31,7 +31,7 @@ def test_heavy_tail_and_hot_value(spark):
     rng = np.random.default_rng(1)
     values = np.concatenate([-(10 ** rng.uniform(-9, 6, 2000)), np.full(1000, -0.25), [0.0]])
     fractions = [0.0, 0.02, 0.1, 0.25, 0.5, 0.999, 1.0]
-    got = percentiles(spark, values.tolist(), fractions, builtin_rows=0, bins=32)
+    got = percentiles(spark, values.tolist(), fractions, bins=32)
     assert got == pytest.approx(np.quantile(values, fractions).tolist(), rel=1e-12)
 
 
@@ -41,5 +41,18 @@ def test_heavy_tail_and_hot_value(spark):
     st.lists(st.floats(0, 1), min_size=1, max_size=3),
 )
 def test_equals_numpy(spark, values, fractions):
-    got = percentiles(spark, values, fractions, builtin_rows=0, bins=8)
+    got = percentiles(spark, values, fractions, bins=8)
     assert got == pytest.approx(np.quantile(values, fractions).tolist(), rel=1e-9, abs=1e-9)
+
+
+def test_infinities_and_nan_stand_at_the_ends(spark):
+    inf, nan = float("inf"), float("nan")
+    values = [float(v) for v in range(1, 51)]
+    assert percentiles(spark, [*values, nan], [0.0, 0.5, 0.98], bins=4) == [1.0, 26.0, 50.0]
+    assert percentiles(spark, [*values, inf], [0.0, 0.5, 0.999], bins=4) == [1.0, 26.0, inf]
+    assert percentiles(spark, [-inf, -inf, 1.0], [0.0, 0.4, 1.0]) == [-inf, -inf, 1.0]
+    assert np.isnan(percentiles(spark, [nan, nan], [0.5])[0])
+
+
+def test_span_beyond_a_double(spark):
+    assert percentiles(spark, [-1.7e308, -1.0, 2.0, 1.7e308], [0.0, 1 / 3, 0.5, 1.0], bins=4) == [-1.7e308, -1.0, 0.5, 1.7e308]

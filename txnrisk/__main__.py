@@ -45,11 +45,19 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--root", help="folder of the layers (default: TXNRISK_ROOT)")
     parser.add_argument("--once", action="store_true", help="process what is there, then stop")
     parser.add_argument("--files", help="read queue messages from parquet files in this folder")
+    parser.add_argument("--max-offsets", type=int, help="queue messages per Bronze batch")
+    parser.add_argument("--min-partitions", type=int, help="read tasks per Bronze batch, at least")
+    parser.add_argument("--max-files", type=int, help="files per batch where messages are read from files")
     args = parser.parse_args(argv)
+    limits = {
+        "max_offsets_per_trigger": args.max_offsets,
+        "queue_min_partitions": args.min_partitions,
+        "max_files_per_trigger": args.max_files,
+    }
 
     logging.basicConfig(level=logging.INFO)
     spark = prepare(SparkSession.builder.appName(f"txnrisk-{args.job}").getOrCreate())
-    layout, cfg = (Layout(args.root) if args.root else Layout()), RiskConfig()
+    layout, cfg = (Layout(args.root) if args.root else Layout()), RiskConfig(**{k: v for k, v in limits.items() if v})
     run_id = f"{args.job}-{uuid.uuid4().hex}"
 
     if args.job in TRIGGERS:

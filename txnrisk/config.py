@@ -49,6 +49,9 @@ def _env(name: str, default: str):
     return field(default_factory=lambda: os.environ.get(name, default))
 
 
+MAX_FILE_AGE = "36500d"
+
+
 @dataclass(frozen=True)
 class RiskConfig:
     """Rules and parameters; the defaults are the fixed values above."""
@@ -60,6 +63,8 @@ class RiskConfig:
     # More read tasks than queue partitions: a partition with a hot key is read in pieces.
     queue_min_partitions: int | None = None
     max_files_per_trigger: int | None = None
+    # File streams skip files much older than the newest one read; backfills must not be skipped.
+    max_file_age: str = MAX_FILE_AGE
 
     min_amount: float = MIN_AMOUNT
     max_amount: float = MAX_AMOUNT

@@ -8,35 +8,46 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def exact_percentiles(
-    df: DataFrame,
-    column: str,
-    fractions: list[float],
-    bins: int = 4096,
-    builtin_rows: int = 100_000,
-) -> list[float | None]:
+def exact_percentiles(df: DataFrame, column: str, fractions: list[float], bins: int = 4096) -> list[float | None]:
     """Percentiles of a numeric column; nulls are ignored, and no rows give ``None`` each.
 
-    Up to ``builtin_rows`` values Spark's ``percentile`` is used; it holds all distinct values in
-    one task, so it must not see more. Beyond that, each wanted rank is closed in on: a pass
-    counts rows per equal-width bin (at most ``bins`` per open bracket, combined on the map
-    side), and the bin that contains the rank becomes the next bracket, until it holds a single
-    value. Pass a table rather than an expensive plan: every pass scans the column again.
+    Each wanted rank is closed in on: a pass counts rows per equal-width bin (at most ``bins`` per
+    open bracket, combined on the map side), and the bin that contains the rank becomes the next
+    bracket, until it holds a single value. Infinities and NaN are only counted; they stand at the
+    ends in Spark's order, NaN last. Pass a table rather than an expensive plan: every pass scans
+    the column again.
     """
     values = df.select(F.col(column).cast("double").alias("x")).where("x is not null")
-    n, lo, hi = values.agg(F.count("x"), F.min("x"), F.max("x")).first()
+    x, endless = F.col("x"), float("inf")
+    finite = ~F.isnan(x) & (F.abs(x) < endless)
+    row = values.agg(
+        F.count_if(x == -endless), F.count_if(finite), F.count_if(x == endless), F.count_if(F.isnan(x)),
+        F.min(F.when(finite, x)), F.max(F.when(finite, x)),
+    ).first()
+    counts, (lo, hi) = row[:4], row[4:]
+    n = sum(counts)
     if not n:
         return [None] * len(fractions)
-    if n <= builtin_rows:
-        return list(values.agg(F.percentile("x", F.array(*map(F.lit, fractions)))).first()[0])
 
+    below = counts[0]
     positions = [(n - 1) * f for f in fractions]
     ranks = {rank for p in positions for rank in (math.floor(p), math.ceil(p))}
-    found = _values_at(values, sorted(ranks), lo, hi, bins)
+    inner = sorted(r - below for r in ranks if below <= r < below + counts[1])
+    found = {r + below: v for r, v in _values_at(values.where(finite), inner, lo, hi, bins).items()}
+    for rank in ranks - set(found):
+        if rank < below:
+            found[rank] = -endless
+        else:
+            found[rank] = endless if rank < below + counts[1] + counts[2] else float("nan")
     picked = []
     for p in positions:
-        low, high = found[math.floor(p)], found[math.ceil(p)]
-        picked.append(low + (high - low) * (p - math.floor(p)))
+        low, high, share = found[math.floor(p)], found[math.ceil(p)], p - math.floor(p)
+        if low == high or share == 0:
+            picked.append(low)
+        else:
+            # Two products, as the difference of two values may exceed a double.
+            apart = math.isinf(high - low)
+            picked.append(low * (1 - share) + high * share if apart else low + (high - low) * share)
     return picked
 
 
@@ -50,7 +61,10 @@ def _values_at(values: DataFrame, ranks: list[int], lo: float, hi: float, bins:
                 found[rank] = low
                 del brackets[rank]
         if brackets:
-            brackets = _narrow(values, brackets, bins)
+            narrower = _narrow(values, brackets, bins)
+            if any(narrower[rank] == bracket for rank, bracket in brackets.items()):
+                raise ArithmeticError(f"a pass over {bins} bins did not narrow {brackets}")
+            brackets = narrower
     return found
 
 
@@ -60,7 +74,8 @@ def _narrow(values: DataFrame, brackets: dict, bins: int) -> dict:
     which, bin_of, below = (F.lit(None) for _ in range(3))
     for i, (low, high, before) in enumerate(spans):
         inside = F.col("x").between(low, high)
-        part = F.floor((F.col("x") - low) / F.lit(high - low) * bins).cast("int")
+        by = 0.5 if math.isinf(high - low) else 1.0  # halves, where the span exceeds a double
+        part = F.floor((F.col("x") * by - low * by) / F.lit(high * by - low * by) * bins).cast("int")
         which = F.when(inside, i).otherwise(which)
         bin_of = F.when(inside, F.least(part, F.lit(bins - 1))).otherwise(bin_of)
         below = F.when(F.col("span") == i, F.lit(before).cast("bigint")).otherwise(below)

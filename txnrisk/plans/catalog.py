@@ -350,7 +350,7 @@ def score_thresholds(spark, sf_dir):
 @query
 def score_thresholds_by_bins(spark, sf_dir):
     """The same cuts by repeated binning, the way they are found on large tables."""
-    return _cuts_row(spark, scoring.score_cuts(_scored(spark, sf_dir), CFG, bins=64, builtin_rows=0))
+    return _cuts_row(spark, scoring.score_cuts(_scored(spark, sf_dir), CFG, bins=64))
 
 
 @query

@@ -26,7 +26,7 @@ def queue_stream(spark: SparkSession, cfg: RiskConfig) -> DataFrame:
 
 def queue_files(spark: SparkSession, path: str, cfg: RiskConfig) -> DataFrame:
     """Stream parquet files that carry the queue's seven columns."""
-    reader = spark.readStream.schema(QUEUE)
+    reader = spark.readStream.schema(QUEUE).option("maxFileAge", cfg.max_file_age)
     if cfg.max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", cfg.max_files_per_trigger)
     return reader.parquet(path)

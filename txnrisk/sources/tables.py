@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from txnrisk.config import MAX_FILE_AGE
 from txnrisk.operators.keyed import latest_per_key
 
 LOG_ID = "log_batch_id"
@@ -71,6 +72,7 @@ def layer_stream(spark: SparkSession, path: str, schema: StructType, max_files:
     not an error: its replacement arrives under a new name, and the key upsert absorbs it.
     """
     reader = spark.readStream.schema(schema).option("ignoreMissingFiles", True)
+    reader = reader.option("maxFileAge", MAX_FILE_AGE)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.parquet(path)
