@@ -9,7 +9,8 @@ from txnrisk.operators.forest import Forest, average_path, load_forest, train_fo
 from txnrisk.operators.quantiles import exact_percentiles
 from txnrisk.plans import scoring, training
 from txnrisk.session import stage
-from txnrisk.sinks.runs import load_model, read_runs, save_model
+from txnrisk.sinks.runs import CLAIMS, load_model, read_runs, record_run, save_model
+from txnrisk.sources.tables import create_file
 
 CFG = RiskConfig(n_trees=40)
 OUTLIERS = 8
@@ -74,7 +75,6 @@ def test_tree_shape(nodes):
 
 @pytest.mark.parametrize("n, trees", [(2000, 40), (2000, 5), (100, 5)])
 def test_samples_are_distinct_rows_of_the_right_number(spark, n, trees):
-    """Both ways of sampling: all rows offered to every tree, and one pool dealt out."""
     rows = spark.range(n).select(F.concat(F.lit("T"), "id").alias("transaction_id"))
     picked = tree_samples(rows, "transaction_id", n, RiskConfig(n_trees=trees))
     per_tree = picked.groupBy("tree_id").agg(F.count("*").alias("n"), F.count_distinct("transaction_id").alias("d"))
@@ -82,12 +82,22 @@ def test_samples_are_distinct_rows_of_the_right_number(spark, n, trees):
     assert per_tree.count() == trees
 
 
-def test_dealt_pool_is_the_lowest_hashes(spark):
-    rows = spark.range(50_000).select(F.concat(F.lit("T"), "id").alias("transaction_id"))
-    cfg = RiskConfig(n_trees=10)
-    dealt = tree_samples(rows, "transaction_id", 50_000, cfg).select("transaction_id")
-    lowest = rows.orderBy(F.xxhash64(F.lit(cfg.seed), "transaction_id")).limit(2560)
-    assert dealt.exceptAll(lowest).count() == 0 and dealt.count() == 2560
+@pytest.mark.parametrize("n", [300, 50_000])
+def test_each_tree_takes_its_lowest_hashes(spark, n):
+    """The same draw at every size: few rows, and many that the cut thins."""
+    rows = spark.range(n).select(F.concat(F.lit("T"), "id").alias("transaction_id"))
+    cfg = RiskConfig(n_trees=4)
+    drawn = tree_samples(rows, "transaction_id", n, cfg)
+    for tree in range(cfg.n_trees):
+        lowest = rows.orderBy(F.xxhash64(F.lit(cfg.seed), F.lit(tree), "transaction_id")).limit(256)
+        mine = drawn.where(F.col("tree_id") == tree).select("transaction_id")
+        assert mine.exceptAll(lowest).count() == 0 and mine.count() == 256
+
+
+def test_cut_is_widened_when_rows_were_overcounted(spark):
+    rows = spark.range(600).select(F.concat(F.lit("T"), "id").alias("transaction_id"))
+    drawn = tree_samples(rows, "transaction_id", 2000, RiskConfig(n_trees=3))
+    assert {r["count"] for r in drawn.groupBy("tree_id").count().collect()} == {256}
 
 
 def test_scores_equal_a_plain_walk_of_the_node_table(matrix, nodes, scored):
@@ -126,6 +136,25 @@ def test_versions(tmp_path, spark, nodes):
     assert load_model(spark, path, 1).count() == nodes.count()
 
 
+def test_a_claimed_version_is_left_alone(tmp_path, spark, nodes):
+    """Another trainer has claimed version 1 and not written it yet."""
+    path = str(tmp_path / "models")
+    assert create_file(spark, f"{path}/{CLAIMS}/1") and not create_file(spark, f"{path}/{CLAIMS}/1")
+    with pytest.raises(FileNotFoundError):
+        load_model(spark, path)
+    assert save_model(nodes, path) == 2
+
+
+def test_a_run_recorded_again_replaces_its_rows(tmp_path, spark):
+    path = str(tmp_path / "runs")
+    record_run(spark, path, "1", "param", {"a": 1})
+    record_run(spark, path, "1", "metric", {"cut": 0.1, "old": None})
+    record_run(spark, path, "2", "metric", {"cut": 0.2})
+    record_run(spark, path, "1", "metric", {"cut": 0.3})
+    rows = {(r.run_id, r.kind, r.name, r.value) for r in read_runs(spark, path).collect()}
+    assert rows == {("1", "param", "a", "1"), ("1", "metric", "cut", "0.3"), ("2", "metric", "cut", "0.2")}
+
+
 def test_training_gate(spark, matrix, tmp_path):
     layout = Layout(str(tmp_path))
     with pytest.raises(training.TooFewRows):

@@ -1,5 +1,7 @@
 """The batch writers and the chained streams, on hand-made messages."""
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -7,10 +9,19 @@ from rows import at, bronze, envelope, record
 
 from txnrisk import schemas
 from txnrisk.config import Layout, RiskConfig
-from txnrisk.plans import gold, silver
+from txnrisk.plans import gold, mart, silver
 from txnrisk.sinks.maintenance import compact
 from txnrisk.sources.queue import queue_files
-from txnrisk.sources.tables import LOG_ID, current_view, log_path, read_log
+from txnrisk.sources.tables import (
+    GENERATION,
+    LOG_ID,
+    batch_number,
+    current_view,
+    generation_of,
+    log_path,
+    read_log,
+    snapshot_index_path,
+)
 from txnrisk.streaming import layers
 
 CFG = RiskConfig()
@@ -202,3 +213,46 @@ def test_interrupt_stops_streams_and_session(spark, layout, tmp_path):
     session = Session()
     layers.run_until_stopped(session, query)
     assert session.stopped and not query.isActive
+
+
+def test_a_new_checkpoint_neither_replaces_nor_hides_rows(spark, layout):
+    """Batch ids start at 0 again, before and after a compaction."""
+
+    def started(checkpoint):
+        written = (log_path(layout.silver), layout.silver_quarantine)
+        return generation_of(spark, checkpoint, written, LOG_ID, snapshot_index_path(layout.silver))
+
+    one, two, three = (layout.checkpoint(f"silver-{n}") for n in (1, 2, 3))
+    assert started(one) == 0
+    layers.silver_batch(layout, CFG, generation=0)(bronze(spark, txn(1)), 0)
+    layers.silver_batch(layout, CFG, generation=0)(bronze(spark, txn(2)), 1)
+    assert started(two) == 1
+    layers.silver_batch(layout, CFG, generation=1)(bronze(spark, txn(3), txn(1, amount=77.0)), 0)
+    assert compact(spark, layout.silver, schemas.silver()) == GENERATION == batch_number(1, 0)
+    assert started(three) == 2
+    layers.silver_batch(layout, CFG, generation=2)(bronze(spark, txn(4)), 0)
+    assert (started(one), started(two), started(three)) == (0, 1, 2)
+    held = {r.transaction_id: r.amount for r in current_view(spark, layout.silver, schemas.silver()).collect()}
+    assert set(held) == {"T1", "T2", "T3", "T4"} and held["T1"] == 77.0
+
+
+def test_nothing_staged_stays_after_a_gold_batch(spark, layout):
+    def staged_folders():
+        return [p for p in Path(spark.conf.get("spark.checkpoint.dir")).glob("gold-reached-*")]
+
+    feed(spark, layout, [[txn(1, 0), txn(2, 60)]])
+    assert staged_folders() == [] and len(gold_rows(spark, layout)) == 2
+
+
+def test_mart_table(spark, layout, tmp_path):
+    feed(spark, layout, [[txn(1, 0), txn(2, 60)]])
+    view = current_view(spark, layout.gold, schemas.gold())
+    spark.sql(f"create database mart_db location '{tmp_path / 'db'}'")
+    try:
+        for _ in range(2):
+            mart.write_mart(view, "mart_db.features")
+        assert sorted(map(str, spark.table("mart_db.features").collect())) == sorted(
+            map(str, mart.feature_mart(view).collect())
+        )
+    finally:
+        spark.sql("drop database mart_db cascade")

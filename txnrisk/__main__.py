@@ -15,10 +15,10 @@ from pyspark.sql import DataFrame, SparkSession
 from txnrisk import schemas
 from txnrisk.config import RETENTION_DAYS, TRIGGERS, Layout, RiskConfig
 from txnrisk.operators.monitor import layer_latency
-from txnrisk.plans.mart import feature_mart
+from txnrisk.plans.mart import feature_mart, write_mart
 from txnrisk.plans.scoring import high_risk_sample, scoring_job, tier_counts
 from txnrisk.plans.training import training_job
-from txnrisk.session import prepare
+from txnrisk.session import prepare, stage
 from txnrisk.sinks.maintenance import compact
 from txnrisk.sources.queue import queue_files, queue_stream
 from txnrisk.sources.tables import current_view, mart_or_gold
@@ -26,7 +26,9 @@ from txnrisk.streaming import layers
 
 
 def _mart(spark: SparkSession, layout: Layout, cfg: RiskConfig) -> DataFrame:
-    return mart_or_gold(spark, cfg.mart_table, current_view(spark, layout.gold, schemas.gold()), feature_mart)
+    """The mart table, or its rows written once from Gold: jobs read them several times."""
+    gold = current_view(spark, layout.gold, schemas.gold())
+    return mart_or_gold(spark, cfg.mart_table, gold, lambda rows: stage(feature_mart(rows), "mart"))
 
 
 def _stream(spark: SparkSession, job: str, layout: Layout, cfg: RiskConfig, once: bool, files: str | None):
@@ -39,7 +41,7 @@ def _stream(spark: SparkSession, job: str, layout: Layout, cfg: RiskConfig, once
 
 
 def main(argv: list[str] | None = None) -> None:
-    jobs = ("bronze", "silver", "gold", "train", "score", "latency", "compact")
+    jobs = ("bronze", "silver", "gold", "mart", "train", "score", "latency", "compact")
     parser = argparse.ArgumentParser(prog="txnrisk", description=__doc__)
     parser.add_argument("job", choices=jobs)
     parser.add_argument("--root", help="folder of the layers (default: TXNRISK_ROOT)")
@@ -66,6 +68,8 @@ def main(argv: list[str] | None = None) -> None:
             query.awaitTermination()
         else:
             layers.run_until_stopped(spark, query)
+    elif args.job == "mart":
+        write_mart(current_view(spark, layout.gold, schemas.gold()), cfg.mart_table)
     elif args.job == "train":
         print(training_job(spark, _mart(spark, layout, cfg), layout, cfg, run_id))
     elif args.job == "score":

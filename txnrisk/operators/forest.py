@@ -1,6 +1,6 @@
 """Isolation forest (Liu, Ting and Zhou, ICDM 2008) with trees grown as Spark groups.
 
-Training needs only ``n_trees * 256`` rows, picked by a hash of the row id, so the same data
+Training needs only 256 rows per tree, picked by a hash of tree and row id, so the same data
 gives the same model whatever its partitioning. Trees are grown one per group of at most 256
 rows. The model is a small table of nodes; scoring ships it to the tasks as arrays.
 """
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from txnrisk.config import RiskConfig
 from txnrisk.schemas import MODEL
+from txnrisk.session import stage
 
 
 def average_path(n: np.ndarray | int) -> np.ndarray:
@@ -28,39 +29,25 @@ def average_path(n: np.ndarray | int) -> np.ndarray:
 
 
 def tree_samples(df: DataFrame, row_id: str, n_rows: int, cfg: RiskConfig) -> DataFrame:
-    """Rows with a ``tree_id``; each tree gets ``min(max_samples, n_rows)`` distinct rows."""
-    size = min(cfg.max_samples, n_rows)
-    wanted = size * cfg.n_trees
-    if n_rows >= wanted:
-        return _deal(df, row_id, n_rows, wanted, cfg)
-    # Few rows (fewer than trees * samples): every tree draws from all of them.
-    per_tree = df.withColumn("tree_id", F.explode(F.sequence(F.lit(0), F.lit(cfg.n_trees - 1))))
-    draw = F.xxhash64(F.lit(cfg.seed), F.col("tree_id"), F.col(row_id))
-    order = Window.partitionBy("tree_id").orderBy(draw, row_id)
-    return per_tree.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= size).drop("_rank")
-
+    """Rows with a ``tree_id``; each tree gets the ``min(max_samples, n_rows)`` rows of lowest hash.
 
-def _deal(df: DataFrame, row_id: str, n_rows: int, wanted: int, cfg: RiskConfig) -> DataFrame:
-    """The ``wanted`` rows of lowest hash, dealt to the trees in turn.
-
-    A cut on the hash thins the input to little more than ``wanted`` rows on the scan side, so
-    the sort sees a bounded number of rows; the cut is widened until it lets enough through.
+    Every tree draws from all rows, by a hash of its own. A cut on the hash thins the rows of each
+    tree to a little more than it takes while they are scanned, so what is written, ranked and
+    shuffled is bounded by the settings; the cut is widened until it lets enough through.
     """
-    draw = F.xxhash64(F.lit(cfg.seed), F.col(row_id))
-    share = (wanted + 6.0 * math.sqrt(wanted)) / n_rows
+    size = min(cfg.max_samples, n_rows)
+    draw = F.xxhash64(F.lit(cfg.seed), F.col("tree_id"), F.col(row_id))
+    offered = df.withColumn("tree_id", F.explode(F.sequence(F.lit(0), F.lit(cfg.n_trees - 1))))
+    share = (size + 6.0 * math.sqrt(size)) / max(n_rows, 1)
     while True:
         cut = F.lit(min(-(2**63) + int(share * 2**64), 2**63 - 1))
-        thinned = df.where(draw <= cut)
-        if share >= 1.0 or thinned.limit(wanted).count() >= wanted:
+        thinned = stage(offered.where(draw <= cut), "forest-samples")
+        held = thinned.groupBy("tree_id").count().where(F.col("count") >= size)
+        if share >= 1.0 or held.count() == cfg.n_trees:
             break
         share *= 2.0
-    order = Window.orderBy(draw, row_id)
-    return (
-        thinned.withColumn("_rank", F.row_number().over(order))
-        .where(F.col("_rank") <= wanted)
-        .withColumn("tree_id", ((F.col("_rank") - 1) % cfg.n_trees).cast("int"))
-        .drop("_rank")
-    )
+    order = Window.partitionBy("tree_id").orderBy(draw, row_id)
+    return thinned.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= size).drop("_rank")
 
 
 def train_forest(df: DataFrame, row_id: str, features: tuple[str, ...], n_rows: int, cfg: RiskConfig) -> DataFrame:

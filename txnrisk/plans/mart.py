@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnrisk.config import FEATURES
+from txnrisk.config import FAST_VELOCITY, FAST_VELOCITY_POINTS, FEATURES
 from txnrisk.functions.features import FLAGS, calendar, flag_as_int, fraud_risk_score
 from txnrisk.functions.labels import label
 
@@ -36,13 +36,18 @@ def create_mart_view(spark: SparkSession, gold_view: str, name: str) -> DataFram
                {flags},
                coalesce(hour(transaction_time), 0) as transaction_hour,
                coalesce(weekday(transaction_time), 0) as transaction_dow,
-               {points} + case when velocity_1h >= 3 then 2 else 0 end as fraud_risk_score
+               {points} + case when velocity_1h >= {FAST_VELOCITY} then {FAST_VELOCITY_POINTS} else 0 end as fraud_risk_score
         from {gold_view}
         """
     )
     return spark.table(name)
 
 
+def write_mart(gold: DataFrame, name: str) -> None:
+    """The mart as a catalog table, written anew from the whole of Gold."""
+    feature_mart(gold).write.mode("overwrite").saveAsTable(name)
+
+
 def has_rows(df: DataFrame, least: int) -> bool:
     """Training gate: are there at least ``least`` rows? Reads partitions only until there are."""
     return len(df.select(F.lit(1)).take(least)) >= least

@@ -14,7 +14,7 @@ from txnrisk.operators.forest import train_forest
 from txnrisk.operators.quantiles import exact_percentiles
 from txnrisk.plans.mart import has_rows
 from txnrisk.plans.scoring import SCORE, score_mart
-from txnrisk.session import stage
+from txnrisk.session import staged
 from txnrisk.sinks.runs import load_model, record_run, save_model
 
 
@@ -63,8 +63,8 @@ def training_job(spark: SparkSession, mart: DataFrame, layout: Layout, cfg: Risk
 
     version = save_model(train_forest(matrix, "transaction_id", FEATURES, matrix.count(), cfg), layout.models)
     scores = score_mart(spark, matrix, load_model(spark, layout.models, version), cfg)
-    scored = stage(scores.select("is_fraud", SCORE), "train-scores")
-    (cut,) = exact_percentiles(scored, SCORE, [cfg.contamination])
-    report = evaluation(decided(scored, cut))
+    with staged(scores.select("is_fraud", SCORE), "train-scores") as scored:
+        (cut,) = exact_percentiles(scored, SCORE, [cfg.contamination])
+        report = evaluation(decided(scored, cut))
     record_run(spark, layout.run_metrics, run_id, "metric", report)
     return Trained(version, cut, report)

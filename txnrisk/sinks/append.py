@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def append_batch(df: DataFrame, path: str, partition: str = "batch_id") -> None:
+def append_batch(df: DataFrame, path: str, *partitions: str) -> None:
     """Append parquet files; writing the same batch again replaces its rows.
 
     Files of different batches may differ in columns; readers give the widest schema or merge.
@@ -13,7 +13,7 @@ def append_batch(df: DataFrame, path: str, partition: str = "batch_id") -> None:
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition)
+        .partitionBy(*(partitions or ("batch_id",)))
         .parquet(path)
     )
 

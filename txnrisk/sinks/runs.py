@@ -10,20 +10,22 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from txnrisk.schemas import MODEL, RUN_METRICS
 from txnrisk.sinks.append import append_batch
-from txnrisk.sources.tables import path_exists
+from txnrisk.sources.tables import create_file, path_exists
 
 VERSION = "model_version"
+# Readers pass over folders that start with an underscore.
+CLAIMS = "_claimed_versions"
 
 
 def record_run(spark: SparkSession, path: str, run_id: str, kind: str, values: dict) -> None:
-    """Append one row per named value; ``kind`` is "param" or "metric"."""
+    """One row per named value; ``kind`` is "param" or "metric". A run recorded again replaces its rows."""
     now = datetime.now(timezone.utc)
     rows = [(run_id, kind, name, None if v is None else str(v), now) for name, v in values.items()]
-    spark.createDataFrame(rows, RUN_METRICS).coalesce(1).write.mode("append").parquet(path)
+    append_batch(spark.createDataFrame(rows, RUN_METRICS).coalesce(1), path, "run_id", "kind")
 
 
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(RUN_METRICS).parquet(path)
+    return spark.read.schema(RUN_METRICS).parquet(path).select(*RUN_METRICS.fieldNames())
 
 
 def latest_version(spark: SparkSession, path: str) -> int | None:
@@ -38,8 +40,10 @@ def _models(spark: SparkSession, path: str) -> DataFrame:
 
 
 def save_model(nodes: DataFrame, path: str) -> int:
-    """Register a node table under the next version number."""
+    """Register a node table under the next version number that nobody else has claimed."""
     version = (latest_version(nodes.sparkSession, path) or 0) + 1
+    while not create_file(nodes.sparkSession, f"{path}/{CLAIMS}/{version}"):
+        version += 1
     append_batch(nodes.repartition(1).withColumn(VERSION, F.lit(version).cast("bigint")), path, VERSION)
     return version
 

@@ -21,6 +21,9 @@ COVERED = "covered_batch_id"
 DAY = "event_day"
 DAY_SECONDS = 86_400
 KEY = "transaction_id"
+# Room for the batches of one checkpoint: 2^40, at one a second 35,000 years.
+GENERATION = 2**40
+NOTE = "generation-"
 
 
 def log_path(table: str) -> str:
@@ -45,6 +48,49 @@ def make_folder(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(where)
 
 
+def create_file(spark: SparkSession, path: str) -> bool:
+    """Make an empty file; False if it was there already."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).createNewFile(where)
+
+
+def _numbers(spark: SparkSession, path: str, prefix: str) -> list[int]:
+    """The n of all files and folders ``<prefix>n`` in a folder."""
+    if not path_exists(spark, path):
+        return []
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
+    names = [status.getPath().getName() for status in found]
+    return [int(n[len(prefix) :]) for n in names if n.startswith(prefix) and n[len(prefix) :].isdigit()]
+
+
+def batch_number(generation: int, batch_id: int) -> int:
+    """Batch ids start at 0 with every new checkpoint; later generations have higher numbers."""
+    return generation * GENERATION + batch_id
+
+
+def generation_of(
+    spark: SparkSession, checkpoint: str, written: tuple[str, ...], partition: str, index: str | None = None
+) -> int:
+    """The generation of a stream's checkpoint among those that have written to its folders.
+
+    A new checkpoint over written batches starts a generation, which is noted in the checkpoint;
+    so its batches neither replace earlier ones nor hide behind a snapshot. ``index`` is the
+    snapshot index, for batches whose partitions are gone.
+    """
+    noted = _numbers(spark, checkpoint, NOTE)
+    if noted:
+        return max(noted)
+    generation = 0
+    if not path_exists(spark, f"{checkpoint}/offsets"):
+        numbers = [n for path in written for n in _numbers(spark, path, f"{partition}=")]
+        if index is not None and path_exists(spark, index):
+            numbers.append(spark.read.schema(f"{COVERED} bigint").parquet(index).agg(F.max(COVERED)).first()[0])
+        generation = 1 + max(numbers) // GENERATION if numbers else 0
+    create_file(spark, f"{checkpoint}/{NOTE}{generation}")
+    return generation
+
+
 def scan_tree(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     """All parquet files below a folder, columns matched by name, missing ones null.
 

@@ -19,10 +19,21 @@ from txnrisk import schemas
 from txnrisk.config import TRIGGERS, Layout, RiskConfig
 from txnrisk.operators.monitor import batch_counters
 from txnrisk.plans import bronze, gold, silver
-from txnrisk.session import broadcast_if_small, prepare
+from txnrisk.session import broadcast_if_small, prepare, staged
 from txnrisk.sinks.append import append_batch, quarantine_batch
 from txnrisk.sinks.upsert import create_layer, upsert_batch
-from txnrisk.sources.tables import KEY, LOG_ID, current_view, layer_stream, log_stream, make_folder
+from txnrisk.sources.tables import (
+    KEY,
+    LOG_ID,
+    batch_number,
+    current_view,
+    generation_of,
+    layer_stream,
+    log_path,
+    log_stream,
+    make_folder,
+    snapshot_index_path,
+)
 
 Batch = Callable[[DataFrame, int], None]
 Report = Callable[[str, int, dict], None]
@@ -34,10 +45,13 @@ def log_counters(layer: str, batch_id: int, counters: dict) -> None:
     log.info("%s batch %s: %s", layer, batch_id, counters)
 
 
-def bronze_batch(layout: Layout, record: StructType = schemas.RECORD, report: Report = log_counters) -> Batch:
+def bronze_batch(
+    layout: Layout, record: StructType = schemas.RECORD, report: Report = log_counters, generation: int = 0
+) -> Batch:
     def write(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
+        batch_id = batch_number(generation, batch_id)
         seen = Observation(f"bronze-{batch_id}")
         rows = bronze.parsed(batch, batch_id, record)
         counters = batch_counters(bronze.required_present())
@@ -50,10 +64,11 @@ def bronze_batch(layout: Layout, record: StructType = schemas.RECORD, report: Re
     return write
 
 
-def silver_batch(layout: Layout, cfg: RiskConfig, report: Report = log_counters) -> Batch:
+def silver_batch(layout: Layout, cfg: RiskConfig, report: Report = log_counters, generation: int = 0) -> Batch:
     def write(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
+        batch_id = batch_number(generation, batch_id)
         seen, merged = Observation(f"silver-{batch_id}"), Observation(f"silver-merged-{batch_id}")
         rows = silver.typed(silver.stamped(batch))
         valid, _ = silver.split_typed(rows.observe(seen, *silver.counters(cfg)), cfg)
@@ -70,17 +85,23 @@ def silver_batch(layout: Layout, cfg: RiskConfig, report: Report = log_counters)
 
 
 def gold_batch(
-    layout: Layout, cfg: RiskConfig, record: StructType = schemas.RECORD, report: Report = log_counters
+    layout: Layout,
+    cfg: RiskConfig,
+    record: StructType = schemas.RECORD,
+    report: Report = log_counters,
+    generation: int = 0,
 ) -> Batch:
     """Recompute the rows that a Silver batch can affect, from the current Silver table.
 
     Besides the batch's own customers these are the customers a changed row belonged to when
-    its Gold row was last written.
+    its Gold row was last written. The rows in reach are written once, since the features read
+    them twice.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
+        batch_id = batch_number(generation, batch_id)
         spark = batch.sparkSession
         keys = broadcast_if_small(batch.select(KEY).distinct(), cfg.broadcast_rows)
         earlier = current_view(spark, layout.gold, schemas.gold(record), keys=keys)
@@ -94,8 +115,9 @@ def gold_batch(
                 seconds=gold.reach_of(spans, cfg),
             )
             written = Observation(f"gold-{batch_id}")
-            fresh = gold.stamped(gold.refreshed(reached, cfg)).observe(written, F.count(F.lit(1)).alias("n_rows"))
-            upsert_batch(fresh.select(*schemas.gold(record).fieldNames()), layout.gold, batch_id)
+            with staged(reached, "gold-reached") as rows:
+                fresh = gold.stamped(gold.refreshed(rows, cfg)).observe(written, F.count(F.lit(1)).alias("n_rows"))
+                upsert_batch(fresh.select(*schemas.gold(record).fieldNames()), layout.gold, batch_id)
         finally:
             spans.unpersist()
         report("gold", batch_id, written.get)
@@ -111,6 +133,10 @@ def _start(stream: DataFrame, batch: Batch, checkpoint: str, interval: str | Non
     return writer.trigger(processingTime=interval).start()
 
 
+def _log_generation(spark: SparkSession, checkpoint: str, table: str, *others: str) -> int:
+    return generation_of(spark, checkpoint, (log_path(table), *others), LOG_ID, snapshot_index_path(table))
+
+
 def start_bronze(
     envelope: DataFrame,
     layout: Layout,
@@ -120,7 +146,8 @@ def start_bronze(
 ) -> StreamingQuery:
     spark = prepare(envelope.sparkSession)
     make_folder(spark, layout.bronze)
-    return _start(envelope, bronze_batch(layout, record, report), layout.checkpoint("bronze"), interval)
+    generation = generation_of(spark, layout.checkpoint("bronze"), (layout.bronze, layout.bronze_quarantine), "batch_id")
+    return _start(envelope, bronze_batch(layout, record, report, generation), layout.checkpoint("bronze"), interval)
 
 
 def start_silver(
@@ -133,7 +160,8 @@ def start_silver(
 ) -> StreamingQuery:
     create_layer(prepare(spark), layout.silver)
     rows = layer_stream(spark, layout.bronze, schemas.bronze(record), cfg.max_files_per_trigger)
-    return _start(rows, silver_batch(layout, cfg, report), layout.checkpoint("silver"), interval)
+    generation = _log_generation(spark, layout.checkpoint("silver"), layout.silver, layout.silver_quarantine)
+    return _start(rows, silver_batch(layout, cfg, report, generation), layout.checkpoint("silver"), interval)
 
 
 def start_gold(
@@ -146,7 +174,8 @@ def start_gold(
 ) -> StreamingQuery:
     create_layer(prepare(spark), layout.gold)
     rows = log_stream(spark, layout.silver, schemas.silver(record), cfg.max_files_per_trigger)
-    return _start(rows, gold_batch(layout, cfg, record, report), layout.checkpoint("gold"), interval)
+    generation = _log_generation(spark, layout.checkpoint("gold"), layout.gold)
+    return _start(rows, gold_batch(layout, cfg, record, report, generation), layout.checkpoint("gold"), interval)
 
 
 def run_until_stopped(spark: SparkSession, *queries: StreamingQuery) -> None:
