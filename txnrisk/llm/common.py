@@ -133,6 +133,22 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct keys in order, the place of one occurrence of each, and every item's distinct key.
+
+    Like numpy's unique, in about half its memory: places and numbers are 32-bit, and copies go as soon as they are used.
+    """
+    order = np.argsort(keys).astype(np.int32)
+    ordered = keys[order]
+    new = np.ones(len(keys), dtype=bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=new[1:])
+    values, some = ordered[new], order[new]
+    del ordered
+    number = np.empty(len(keys), dtype=np.int32)
+    number[order] = np.cumsum(new, dtype=np.int32) - 1
+    return values, some, number
+
+
 def powers(n: int) -> np.ndarray:
     out = np.full(max(n, 1), _BASE, dtype=np.uint64)
     out[0] = 1
