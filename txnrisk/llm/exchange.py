@@ -27,9 +27,9 @@ NOBODY = -1
 NO_ID = np.iinfo(np.int64).max
 
 
-def block_count(docs: DataFrame) -> int:
+def block_count(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> int:
     total = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-    return partitions(docs.sparkSession, total, BLOCK_BYTES)
+    return partitions(docs.sparkSession, total, block_bytes)
 
 
 def in_blocks(docs: DataFrame, key: str, n: int, mark: Column | None = None) -> DataFrame:
