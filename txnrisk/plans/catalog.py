@@ -201,6 +201,12 @@ def gold_risk_flags(spark, sf_dir):
     return show(_gold(spark, sf_dir), "transaction_id", *FLAGS)
 
 
+@query
+def gold_rolling_stats(spark, sf_dir):
+    rows = gold.baseline(_silver(spark, sf_dir), CFG)
+    return rows.select("transaction_id", six("amount_7d_mean"), six("amount_7d_stddev"))
+
+
 @query
 def gold_features(spark, sf_dir):
     return show(_gold(spark, sf_dir), *RECORD_COLUMNS, *GOLD_ADDED)

@@ -36,6 +36,11 @@ def bursts(silver: DataFrame, cfg: RiskConfig, count: int | None = None) -> Data
     return rolled.withColumn("is_burst", F.col("velocity_60s") >= least)
 
 
+def baseline(silver: DataFrame, cfg: RiskConfig) -> DataFrame:
+    """Mean and sample standard deviation of the customer's amounts over the baseline span, per row."""
+    return _rolled(silver, [], [Trailing("amount_7d", cfg.baseline_seconds)]).drop(SECOND)
+
+
 def features(silver: DataFrame, cfg: RiskConfig) -> DataFrame:
     """All Gold columns but the processing stamp; ``silver`` must be unique by transaction."""
     rolled = _rolled(

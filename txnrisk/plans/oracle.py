@@ -151,6 +151,11 @@ ORACLE: dict[str, str] = {
     "gold_risk_flags": _with(SILVER, GOLD)
     + """select transaction_id, is_high_risk_hour, is_high_risk_country, is_high_risk_category, card_not_present
          from gold""",
+    "gold_rolling_stats": _with(SILVER)
+    + """select transaction_id, round(avg(amount) over w, 6) + 0.0 as amount_7d_mean,
+                round(stddev_samp(amount) over w, 6) + 0.0 as amount_7d_stddev
+         from silver
+         window w as (partition by customer_id order by sec range between 604800 preceding and current row)""",
     "gold_features": _GOLD_ROWS,
     "gold_burst_60s": _with(SILVER, GOLD)
     + "select transaction_id, customer_id, velocity_60s, velocity_60s >= 2 as is_burst from gold",
