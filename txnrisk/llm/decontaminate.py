@@ -23,6 +23,8 @@ from txnrisk.llm.common import by_value, small, stage
 
 #: Items, and bytes of their text, that are held against the documents in one pass.
 BLOCK_ITEMS = 20_000
+#: Documents whose words are hashed and looked up in one numpy step.
+STEP_ROWS = 256
 BLOCK_BYTES = 16 << 20
 
 
@@ -127,7 +129,7 @@ def find_items(
         index = spark.sparkContext.broadcast(ItemIndex(block, size, containment))
 
         def search(batches, index=index, names=names):
-            for batch in batches:
+            for batch in (whole.slice(at, STEP_ROWS) for whole in batches for at in range(0, whole.num_rows, STEP_ROWS)):
                 ids = batch.column(0).to_pylist()
                 hits = index.value.search(common.texts_of(batch.column(1)))
                 columns = [
