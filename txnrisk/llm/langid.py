@@ -21,7 +21,7 @@ UNKNOWN = "und"
 #: Stands for what is between words; no letter, and not 0, so that n-grams of all lengths differ.
 GAP = 1
 #: Characters of text that one numpy step of learning handles at a time.
-CHUNK_CHARS = 4 << 20
+CHUNK_CHARS = 1 << 20
 _letters: list[np.ndarray] = []
 
 
