@@ -162,6 +162,21 @@ def test_contamination(spark):
     assert decontaminate.find_items(docs, test.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("block", [20_000, 1])
+def test_clean_rows_stay_beside_contaminated_ones_of_their_id(spark, monkeypatch, block):
+    monkeypatch.setattr(decontaminate, "BLOCK_ITEMS", block)
+    rng = random.Random(5)
+    items = [(i, sentence(rng, 9)) for i in range(3)]
+    rows = [
+        (None, "a " + items[0][1], 1), (None, sentence(rng, 30), 2), (None, None, 3), (None, items[2][1], 4),
+        (7, items[1][1] + " b", 5), (7, sentence(rng, 30), 6), (7, sentence(rng, 30), 7), (8, "", 8),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, row int")
+    clean = decontaminate.decontaminate(docs, spark.createDataFrame(items, "item_id long, text string"))
+    assert sorted(map(tuple, clean.collect()), key=lambda r: r[2]) == [r for r in rows if r[2] in (2, 3, 6, 7, 8)]
+    assert clean.columns == docs.columns
+
+
 def test_items_in_several_blocks(spark, monkeypatch):
     rng = random.Random(5)
     items = [(i, sentence(rng, 9)) for i in range(7)]

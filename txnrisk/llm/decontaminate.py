@@ -16,10 +16,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from txnrisk.llm import common
-from txnrisk.llm.common import by_value, small, stage
+from txnrisk.llm.common import by_value, discard, stage
 
 #: Items, and bytes of their text, that are held against the documents in one pass.
 BLOCK_ITEMS = 20_000
@@ -149,16 +148,31 @@ def find_items(
     return out
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, size: int = 5, containment: float = 0.8, key: str = "doc_id") -> DataFrame:
-    """The documents that hold no item, with all their columns; a null key holds by its own text.
+def decontaminate(docs: DataFrame, items: DataFrame, size: int = 5, containment: float = 0.8) -> DataFrame:
+    """The documents that hold no item, with all their columns; every row is judged by its own text.
 
-    Ids of contaminated documents are few against the documents, but not bounded: they are joined
-    by a shuffle unless a count shows that they are few. All rows of a contaminated id go.
+    Ids play no part, so rows without one, or with that of a contaminated row, stay if they are
+    clean. Nothing is shuffled. Each block of items takes its rows out of what the blocks before
+    have left, which is written in between, so that a task holds a single block's index.
     """
+    written = None
+    for n, block in enumerate(item_blocks(items, "item_id", "text")):
+        if n:
+            before, written = written, stage(docs, "decontaminated")
+            docs = written
+            index.unpersist()
+            if before is not None:
+                discard(before)
+        index = docs.sparkSession.sparkContext.broadcast(ItemIndex(block, size, containment))
+
+        def clean(batches, index=index):
+            for batch in (whole.slice(at, STEP_ROWS) for whole in batches for at in range(0, whole.num_rows, STEP_ROWS)):
+                keep = np.ones(batch.num_rows, dtype=bool)
+                keep[[t for t, *_ in index.value.search(common.texts_of(batch.column("text")))]] = False
+                yield batch.filter(pa.array(keep))
 
-    bad = stage(find_items(docs, items, size, containment, key).select(F.col(key).alias("_bad")).distinct(), "contaminated")
-    bad = F.broadcast(bad) if small(bad) else bad
-    return docs.join(bad, docs[key].eqNullSafe(F.col("_bad")), "left_anti")
+        docs = docs.mapInArrow(clean, docs.schema)
+    return docs
 
 
 by_value(__name__)
