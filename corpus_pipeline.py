@@ -10,16 +10,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnrisk.llm import decontaminate, langid, lines, mixing, neardup
-from txnrisk.llm.common import crc_fold, stage, table
+from txnrisk.llm.common import stage, table
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the learned languages stay; those without a letter go.
 
-    Profiles are learned from the given labels of two thirds of the documents. A document's label
-    is replaced by the language found.
+    Profiles are learned from all documents with a label. A document's label is replaced by the
+    language found.
     """
-    profiles = langid.load(langid.learn(docs.filter(crc_fold("doc_id", 3) != 1)))
+    profiles = langid.load(langid.learn(docs))
     found = langid.identify(docs, profiles, ("_lang", "_score")).filter(F.col("_lang") != langid.UNKNOWN)
     return found.withColumn("lang", F.col("_lang")).select(*docs.columns)
 

@@ -1,3 +1,5 @@
+import zlib
+
 import corpus_pipeline
 from llm.rows import documents, plain
 
@@ -32,6 +34,17 @@ def test_stages_on_odd_rows(spark):
         assert docs.count() > 0
 
 
+def test_languages_are_learned_from_every_labelled_row(spark):
+    """One language's labelled rows all have remainder 1, and one's all lack an id."""
+    left_out = [i for i in range(60) if zlib.crc32(str(i).encode()) % 3 == 1]
+    others = [i for i in range(60) if i not in left_out]
+    texts = {"en": "the cat and the dog went there with that", "el": "η γάτα και ο σκύλος πήγαν εκεί", "ru": "кошка и собака пошли туда вместе"}
+    rows = [(i, texts["en"], "en") for i in others] + [(i, texts["el"], "el") for i in left_out] + [(None, texts["ru"], "ru")] * 5
+    docs = spark.createDataFrame([(i, t, lang, "a", len(t)) for i, t, lang in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    found = plain(corpus_pipeline.language_id(spark, docs, SF))
+    assert len(found) == len(rows) and all(texts[r["lang"]] == r["text"] for r in found)
+
+
 def test_every_operator_has_its_query():
     numbers = sorted(int(name[2:].split("_")[0]) for name in catalog.QUERIES)
     assert numbers == list(range(1, 11))
