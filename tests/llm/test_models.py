@@ -91,6 +91,31 @@ def test_quality_of_odd_rows(spark):
     assert len(plain(quality.score(docs, quality.learn(docs, labels, most_labelled=5)))) == docs.count()
 
 
+def test_quality_learns_without_texts_on_the_driver(spark, monkeypatch):
+    rng = random.Random(3)
+    texts = [" ".join(f"{rng.getrandbits(40):x}" for _ in range(n)) for n in (40_000, 30_000, 5, 1)]
+    docs = spark.createDataFrame([*enumerate(texts), (1, texts[2]), (8, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(0, 1), (1, 0), (2, 1), (8, 1)], "doc_id long, quality int")
+    frame, sizes, seen = type(docs), [], []
+    collect, fit = frame.collect, quality.Space.__init__
+
+    def spy(self):
+        rows = collect(self)
+        sizes.extend(len(x) for row in rows for x in row if isinstance(x, (str, bytes, bytearray)))
+        return rows
+
+    def fitted(self, idf, counts, given, *rest):
+        seen.extend((*map(int, row), int(y)) for row, y in zip(counts, given))
+        fit(self, idf, counts, given, *rest)
+
+    monkeypatch.setattr(frame, "collect", spy)
+    monkeypatch.setattr(quality.Space, "__init__", fitted)
+    quality.learn(docs, labels)
+    assert max(sizes) < 5 * quality.WIDTH  # the longest text has hundreds of thousands of bytes
+    used = [(texts[0], 1), (texts[1], 0), (texts[2], 0), (texts[2], 1)]
+    assert sorted(seen) == sorted((*quality.terms(t.encode()).tolist(), y) for t, y in used)
+
+
 def brute_cut(word, scores, byte):
     best = [(0.0, 0)] + [(-math.inf, 0)] * len(word)
     for end in range(1, len(word) + 1):

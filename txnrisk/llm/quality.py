@@ -9,6 +9,7 @@ computed exactly, block by block, and the nearest vote with their similarity.
 from __future__ import annotations
 
 import operator
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -47,14 +48,21 @@ def terms(text: bytes, width: int = WIDTH) -> np.ndarray:
     return total
 
 
+def counts_of(texts: list[bytes], width: int = WIDTH) -> np.ndarray:
+    out = np.empty((len(texts), width), dtype=np.float32)
+    for i, text in enumerate(texts):
+        out[i] = terms(text, width)
+    return out
+
+
 class Space:
     """The latent space, the labelled vectors in it and their votes."""
 
-    def __init__(self, idf: np.ndarray, texts: list[bytes], labels: list[int], dimensions: int, neighbours: int):
+    def __init__(self, idf: np.ndarray, counts: np.ndarray, labels: list[int], dimensions: int, neighbours: int):
         self.idf, self.neighbours = idf.astype(np.float32), neighbours
         self.labels = np.array(labels, dtype=np.float32)
         self.prior = float(self.labels.mean()) if len(labels) else 0.5
-        x = self.weigh(texts)
+        x = self.weigh_counts(counts)
         k = min(dimensions, *x.shape)
         # Randomized range finder with power iterations (Halko, Martinsson and Tropp 2011).
         basis = x @ np.random.default_rng(5).standard_normal((x.shape[1], k + 16), dtype=np.float32)
@@ -65,9 +73,10 @@ class Space:
         self.labelled = self.unit(x @ self.axes)
 
     def weigh(self, texts: list[bytes]) -> np.ndarray:
-        x = np.empty((len(texts), len(self.idf)), dtype=np.float32)
-        for i, text in enumerate(texts):
-            x[i] = terms(text, len(self.idf))
+        return self.weigh_counts(counts_of(texts, len(self.idf)))
+
+    def weigh_counts(self, x: np.ndarray) -> np.ndarray:
+        """Unit vectors of counts of terms; the array is written over."""
         np.log1p(x, out=x)
         x *= self.idf
         x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
@@ -125,17 +134,31 @@ def learn(
     """Fit the space. ``labels`` has (key, label), label 0 or 1; null keys and labels are left out.
 
     Repeated labels of a key count each. At most ``most_labelled`` labelled rows are used, those of the
-    smallest hashes; document frequencies are of all documents.
+    smallest hashes; document frequencies are of all documents. Of the rows used only the packed counts
+    of their terms come to the driver, however long the texts.
     """
+    from pyspark.sql import types as T
+
     n, held = document_frequency(docs)
     idf = np.log((1 + n) / (1 + held)) + 1
     usable = labels.select(F.col(key).alias("_key"), F.col(label).cast("int").alias("_label")).dropna()
     chosen = usable.orderBy(F.xxhash64("_key"), "_key", "_label").limit(most_labelled)
     texts = docs.select(F.col(key).alias("_key"), "text").filter(F.col("text").isNotNull())
-    rows = texts.join(F.broadcast(chosen), "_key").select("_key", "text", "_label")  # at most most_labelled rows
+    rows = texts.join(F.broadcast(chosen), "_key")  # at most most_labelled rows
+    rows = rows.select("_key", "_label", F.xxhash64("text").alias("_hash"), "text")
+
+    def pack(batches):
+        for batch in batches:
+            packed = [zlib.compress(terms(x).astype(np.float32).tobytes(), 1) for x in common.texts_of(batch.column("text"))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(packed, pa.binary())], [*batch.schema.names[:-1], "_terms"])
+
+    rows = rows.mapInArrow(pack, T.StructType([*rows.drop("text").schema.fields, T.StructField("_terms", T.BinaryType())]))
     # Repeated ids could bring more documents than labels: they are held to the same bound.
-    rows = rows.orderBy(F.xxhash64("_key"), "_key", F.xxhash64("text"), "_label").limit(most_labelled).collect()
-    return Space(idf, [r[1].encode("utf-8") for r in rows], [r[2] for r in rows], dimensions, neighbours)
+    rows = rows.orderBy(F.xxhash64("_key"), "_key", "_hash", "_label").limit(most_labelled).select("_terms", "_label").collect()
+    counts = np.empty((len(rows), WIDTH), dtype=np.float32)
+    for i, row in enumerate(rows):
+        counts[i] = np.frombuffer(zlib.decompress(row[0]), dtype=np.float32)
+    return Space(idf, counts, [r[1] for r in rows], dimensions, neighbours)
 
 
 def score(docs: DataFrame, space: Space, added: str = "score") -> DataFrame:
