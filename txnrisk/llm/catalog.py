@@ -5,8 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnrisk.llm import decontaminate, langid, lines, mixing, neardup, pitmanyor, quality, suffixes, tokens, topk
-from txnrisk.llm.common import crc_fold, table
+from txnrisk.llm import (
+    conversations,
+    decontaminate,
+    langid,
+    lines,
+    mixing,
+    neardup,
+    pitmanyor,
+    quality,
+    spelling,
+    suffixes,
+    tokenids,
+    tokens,
+    topk,
+)
+from txnrisk.llm.common import crc_fold, stage, table
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -153,8 +167,173 @@ select query_id, rank::int as rank, vec_id, score from (
 ) where rank <= 20
 """
 
+
+def op11_tokenids(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
+    """Ids of all documents, written to wavelet shards and read back from them; null texts have the end id only.
+
+    Rows without a doc_id come first, repeated ones count each; no documents give no rows.
+    """
+    if vocabulary is None:
+        import public_tokenizers
+
+        vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    with open(vocabulary, encoding="utf-8") as file:
+        definition = file.read()
+    folder = tokenids.write_shards(table(spark, sf_dir, "documents"), definition, end=2)
+    return tokenids.read_documents(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged conversations and their cheapest repair, a row per original conversation.
+
+    Rows without a conv_id form one; see ``conversations.repair`` on nulls, ties and repeats.
+    """
+    rows = table(spark, sf_dir, "conversations")
+    fixed = conversations.repair(conversations.damaged(rows))
+    audits = fixed.audits.withColumnRenamed("conv_id", "_audited")
+    sums = stage(conversations.digests(fixed.repaired), "conversation-sums").withColumnRenamed("conv_id", "_hashed")
+    every = rows.select("conv_id").distinct()
+    joined = every.join(audits, F.col("conv_id").eqNullSafe(F.col("_audited")) & F.col("cost").isNotNull(), "left")
+    joined = joined.join(sums, F.col("conv_id").eqNullSafe(F.col("_hashed")) & F.col("sha256").isNotNull(), "left")
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return joined.select(
+        "conv_id", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"),
+    )
+
+
+def crc32_sql(byte_list: str) -> str:
+    """The unsigned crc32 of a list of bytes: the byte is taken in, then eight bits are shifted out."""
+    steps = f"flatten(list_transform({byte_list}, lambda b: [b, -1, -1, -1, -1, -1, -1, -1, -1]))"
+    turn = "case when e >= 0 then xor(c, e) else xor(c >> 1, 3988292384 * (c & 1)) end"
+    return f"xor(list_reduce(list_transform({steps}, lambda e: e::bigint), lambda c, e: {turn}, 4294967295::bigint), 4294967295::bigint)"
+
+
+def _edit_sql(add: str, letter: str, line: str, best: str) -> str:
+    """A way to go, as nine digits of cost, the edits, chr(1) and the lines: one edit put in front of another."""
+    lines = f"substr({best}, instr({best}, chr(1)) + 1)"
+    if line:
+        lines = f"{line} || case when {lines} = '' then '' else chr(10) || {lines} end"
+    edits = f"substr({best}, 10, instr({best}, chr(1)) - 10)"
+    return f"lpad((substr({best}, 1, 9)::int + {add})::varchar, 9, '0') || '{letter}' || {edits} || chr(1) || {lines}"
+
+
+def _rows_sql(state: int, follow: dict[str, int]) -> str:
+    """The best way from a state if nothing is inserted before the row."""
+    ways = [_edit_sql("4", "D", "", f"f.w{state}")]
+    for letter, after in follow.items():
+        kept = _edit_sql("case when r.fault = 3 then 3 else 0 end", "K", "r.role || ':' || r.text", f"f.w{after}")
+        ways.append(f"case when r.fault in (0, 3) and r.role[1] = '{letter}' then {kept} end")
+        if letter != "s":
+            name = {"u": "user", "a": "assistant"}[letter]
+            changed = _edit_sql("case when r.fault = 3 then 6 else 3 end", "R", f"'{name}:' || r.text", f"f.w{after}")
+            ways.append(f"case when r.fault in (0, 3) then {changed} end")
+    return f"list_min(list_filter([{', '.join(ways)}], lambda x: x is not null))"
+
+
+def _inserted(name: str, best: str) -> str:
+    return _edit_sql("3", "I", f"'{name}:'", best)
+
+
+OP12_SQL = rf"""
+with recursive marked as (
+  select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text, {crc32_sql(
+    "list_transform(string_split(coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' '), ''), lambda x: ascii(x))"
+  )} % 20 as damage from conversations
+), rows as (
+  select conv_id, turn, case when damage = 4 then 'user' else role end as role,
+    case damage when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text
+  from (select *, unnest(case when damage = 3 then [0, 1] else [0] end) from marked where damage <> 0)
+), numbered as (
+  select *, row_number() over (partition by conv_id order by turn nulls first, role, text) as i from rows
+), faulty as (
+  select *, case when not regexp_matches(text, '[^\x20\x09-\x0D]') then 1
+    when row_number() over (partition by conv_id, role, text order by i) > 1 then 2
+    when not regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') then 3 else 0 end as fault,
+    lag(role) over (partition by conv_id order by i) as earlier
+  from numbered
+), counts as (
+  select conv_id, max(i) as n, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps,
+    count(*) filter (where fault = 1) as blank, count(*) filter (where fault = 2) as duplicate, count(*) filter (where fault = 3) as truncated,
+    count(*) filter (where i > 1 and substr(earlier, 1, 1) || substr(role, 1, 1) not in ('su', 'ua', 'au')) as illegal
+  from faulty group by conv_id
+), ways as (
+  select conv_id, n + 1 as i, '000000000' || chr(1) as w0, '000000006II' || chr(1) || 'user:' || chr(10) || 'assistant:' as w1,
+    '000000003I' || chr(1) || 'assistant:' as w2, '000000000' || chr(1) as w3 from counts
+  union all
+  select conv_id, i, least(g0, {_inserted("user", "h2")}) as w0, least(g1, {_inserted("user", "h2")}) as w1, h2 as w2,
+    least(g3, {_inserted("user", "g2")}) as w3
+  from (
+    select *, least(g2, {_inserted("assistant", "g3")}) as h2 from (
+      select r.conv_id, r.i, {_rows_sql(0, {"s": 1, "u": 2})} as g0, {_rows_sql(1, {"u": 2})} as g1,
+        {_rows_sql(2, {"a": 3})} as g2, {_rows_sql(3, {"u": 2})} as g3
+      from ways f join faulty r on f.conv_id is not distinct from r.conv_id and r.i = f.i - 1
+    )
+  )
+), best as (
+  select conv_id, w0 from ways where i = 1
+)
+select o.conv_id, coalesce(gaps, 0)::bigint as gaps, coalesce(blank, 0)::bigint as blank, coalesce(duplicate, 0)::bigint as duplicate,
+  coalesce(truncated, 0)::bigint as truncated, coalesce(illegal, 0)::bigint as illegal, coalesce(substr(w0, 1, 9)::bigint, 0) as cost,
+  coalesce(substr(w0, 10, instr(w0, chr(1)) - 10), '') as audit, sha256(coalesce(substr(w0, instr(w0, chr(1)) + 1), '')) as repaired_sha256
+from (select distinct conv_id from conversations) o
+left join counts c on o.conv_id is not distinct from c.conv_id left join best b on o.conv_id is not distinct from b.conv_id
+"""
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Variants among the frequent words of all documents, some of whose runs of letters are misspelt first.
+
+    Null texts have no words, rows without a doc_id count as one of empty id, repeated rows count each.
+    """
+    docs = table(spark, sf_dir, "documents")
+    return spelling.variants(stage(spelling.vocabulary(spelling.misspelt(docs)), "spelling-words"))
+
+
+OP13_SQL = rf"""
+with recursive runs as (
+  select doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) as run
+  from documents
+), distinct_runs as (
+  select doc_id, run, count(*) as n from runs group by doc_id, run
+), hashed as (
+  select run, n, {crc32_sql(
+    "flatten(list_transform(string_split(coalesce(doc_id::varchar, '') || ':' || run, ''), "
+    "lambda x: case when unicode(x) < 128 then [unicode(x)] else [192 | (unicode(x) >> 6), 128 | (unicode(x) & 63)] end))"
+  )} as h from distinct_runs
+), words as (
+  select case when h % 199 = 0 then left(run, (h % length(run))::int) || substr(run, (h % length(run))::int + 2) else run end as word, n
+  from hashed
+), vocabulary as (
+  select word, sum(n)::bigint as n from words where length(word) >= 6 group by word having sum(n) >= 5
+), cut as (
+  select word, n, i, left(word, i) || '*' || substr(word, i + 2) as hole, left(word, i) || substr(word, i + 2) as less
+  from (select word, n, unnest(range(length(word))) as i from vocabulary)
+), pairs as (
+  select a.word, b.word as near, b.n as near_n from cut a join cut b on a.hole = b.hole and a.word <> b.word
+  union select a.word, v.word, v.n from cut a join vocabulary v on a.less = v.word
+  union select v.word, a.word, a.n from cut a join vocabulary v on a.less = v.word
+), ranked as (
+  select word, near, near_n, row_number() over (partition by word order by near_n desc, near) as rank, count(*) over (partition by word) as n_near
+  from pairs
+), formed as (
+  select v.word, v.n, coalesce(n_near, 0)::bigint as n_near, case when near_n >= 5 * v.n then near end as form,
+    case when near_n >= 5 * v.n then near_n end as form_n
+  from vocabulary v left join ranked r on r.word = v.word and r.rank = 1
+), chains as (
+  select word, form, 1 as step, coalesce(form, word) as root from formed
+  union all
+  select c.word, c.form, c.step + 1, f.form from chains c join formed f on f.word = c.root where c.form is not null and f.form is not null
+), roots as (
+  select word, arg_max(root, step) as root from chains group by word
+)
+select f.word, form, root, n, n_near, form_n from formed f join roots r on r.word = f.word
+"""
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_mixing, op2_quality, op3_suffixes, op4_pitmanyor, op5_lines, op6_decontaminate, op7_language, op8_neardup, op9_tokens, op10_topk)
+    for f in (op1_mixing, op2_quality, op3_suffixes, op4_pitmanyor, op5_lines, op6_decontaminate, op7_language, op8_neardup, op9_tokens, op10_topk,
+              op11_tokenids, op12_conversations, op13_spelling)
 }
-ORACLE = {"op1_mixing": OP1_SQL, "op5_lines": OP5_SQL, "op6_decontaminate": OP6_SQL, "op10_topk": OP10_SQL}
+ORACLE = {"op1_mixing": OP1_SQL, "op5_lines": OP5_SQL, "op6_decontaminate": OP6_SQL, "op10_topk": OP10_SQL,
+          "op12_conversations": OP12_SQL, "op13_spelling": OP13_SQL}
