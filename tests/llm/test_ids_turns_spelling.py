@@ -51,7 +51,7 @@ def test_words_give_the_librarys_ids_of_the_whole_text(monkeypatch):
     whole = Tokenizer.from_str(DEFINITION)
     texts = [
         "", " ", "It's  the cat's\tDON'T\n\n12345 x\x0by", "é é ́x   ab\x1cc\x85d", "日本 語 😀😀", "<|endoftext|> a<|endoftext|>b",
-        "ΣΑΣ ßẞ İI", "word " * 3000, "x" * 5000, "﻿a ​b", " ".join(f"w{i}" for i in range(4000)),
+        "ΣΑΣ ßẞ İI", "Word, WORD; <|Word. É.é!ü?x) y)., 1. 2.3 ²! a'S. n't?", "word. " * 50 + "İ.", "word " * 3000, "x" * 5000, "﻿a ​b", " ".join(f"w{i}" for i in range(4000)),
     ]
     want = [whole.encode(t, add_special_tokens=False).ids for t in texts]
     for step in (1 << 20, 700):
@@ -60,6 +60,12 @@ def test_words_give_the_librarys_ids_of_the_whole_text(monkeypatch):
         assert [x.tolist() for x in got] == want
 
 
+def test_files_with_other_rules_are_refused():
+    other = open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8").read()
+    with pytest.raises(ValueError):
+        tokenids.Encoder(other)
+
+
 def test_shards_hold_all_documents_in_order(spark):
     from tokenizers import Tokenizer
 
@@ -67,7 +73,7 @@ def test_shards_hold_all_documents_in_order(spark):
     docs = documents(spark)
     folder = tokenids.write_shards(docs, DEFINITION, end=2, shard_tokens=500)
     files = spark.read.parquet(folder)
-    assert files.count() > 8 and len(files.inputFiles()) == files.count()
+    assert files.count() > 8 and files.agg(F.min("n_tokens")).first()[0] > 0 and len(files.inputFiles()) == files.count()
     rows = sorted(plain(tokenids.read_documents(spark, folder)), key=lambda r: r["start"])
     ids = [np.frombuffer(r["ids"], "<u4").tolist() for r in rows]
     want = [(r["doc_id"], [*whole.encode(r["text"] or "", add_special_tokens=False).ids, 2]) for r in plain(docs)]

@@ -9,6 +9,7 @@ whatever store the folder lies. What precedes a shard is summed over the shards'
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Iterator
 
@@ -19,16 +20,20 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from txnrisk.llm.common import by_value, join_facts, partitions, schema_of, stage, texts_of
+from txnrisk.llm.common import by_value, join_facts, schema_of, stage, texts_of
 from txnrisk.llm.wavelet import Wavelet, build
 from txnrisk.session import new_folder
 
+#: Bytes of text in a range: a task that has met many words already encodes few new ones.
+RANGE_BYTES = 48 << 20
 #: Ids in a shard, beyond which it is closed; a document is never cut.
 SHARD_TOKENS = 4 << 20
 #: Bytes of text that are split and encoded at a time.
-STEP_BYTES = 4 << 20
-#: Words whose ids a task keeps, and the most bytes of such a word.
-MOST_WORDS, LONGEST = 300_000, 64
+STEP_BYTES = 6 << 20
+#: Words whose ids a task keeps; above that it starts anew, which changes no id.
+MOST_WORDS = 500_000
+#: Marks that end a word; no apostrophe, which may begin one.
+MARKS = ".,;:!?"
 #: Shards of a range are numbered from the range's number times this.
 PER_RANGE = 1 << 32
 #: Ranges whose sizes are summed in one group.
@@ -36,10 +41,38 @@ GROUP = 1024
 SHARD = "shard long, n_docs long, n_tokens long, doc_ids binary, sizes binary, ids binary"
 
 
+def ragged(flat: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The stretches of an array that begin there and have those sizes, one after the other."""
+    ends = np.cumsum(size, dtype=np.int64)
+    total = int(ends[-1]) if len(ends) else 0
+    kind = np.int32 if max(total, len(flat)) < 2**31 else np.int64
+    place = np.arange(total, dtype=kind)
+    place += np.repeat((begin - (ends - size)).astype(kind), size)
+    return flat[place]
+
+
+def splits_words(definition: dict) -> bool:
+    """Whether a file's rules drop white space, ignore case, and keep letters and digits apart from marks."""
+    steps = [x.get("type") for x in (definition.get("normalizer") or {}).get("normalizers", [])]
+    cut = (definition.get("pre_tokenizer") or {}).get("pretokenizers", [{}])
+    pattern = cut[0].get("pattern", {}).get("Regex", "")
+    removes = cut[0].get("behavior") == "Removed" and cut[0].get("invert")
+    return "Lowercase" in steps and removes and pattern.endswith(r"|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+
+
+def passes_words(definition: dict) -> bool:
+    """Whether the rules pass a word of a-z on to the model unchanged and whole."""
+    steps = {x.get("type") for x in (definition.get("normalizer") or {}).get("normalizers", [])}
+    cut = [x.get("type") for x in (definition.get("pre_tokenizer") or {}).get("pretokenizers", [])]
+    return splits_words(definition) and steps <= {"NFC", "Replace", "Lowercase"} and cut == ["Split", "ByteLevel"]
+
+
 class Encoder:
     """Ids by the library, word by word: its rules never join what ASCII white space divides.
 
-    Distinct words of a step are encoded once, and kept for later steps.
+    Nor do they join a letter or digit and punctuation, or tell A-Z from a-z; so words are taken without case
+    and end marks, and each is encoded once. Where the file's rules leave plain words as they are, these go
+    to its model directly. :func:`splits_words` says which files have such rules.
     """
 
     def __init__(self, definition: str):
@@ -49,37 +82,102 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
-        self.known: dict[bytes, np.ndarray] = {}
-
-    def _look_up(self, words: list[bytes]) -> list[np.ndarray]:
-        new = [w for w in words if w not in self.known]
-        fresh = {}
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast([w.decode("utf-8") for w in part], add_special_tokens=False)):
-                fresh[w] = np.array(e.ids, dtype=np.uint32)
-        out = [fresh[w] if w in fresh else self.known[w] for w in words]
-        if len(self.known) + len(fresh) > MOST_WORDS:
-            self.known.clear()
-        if len(fresh) <= MOST_WORDS:
-            self.known.update((w, ids) for w, ids in fresh.items() if len(w) <= LONGEST)
-        return out
+        if not splits_words(json.loads(definition)):
+            raise ValueError("words can't be encoded apart by this file's rules")
+        self.passes = passes_words(json.loads(definition))
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=bool)
+        self.ends[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[bytes, int] = {b"": 0}
+        self.learned = 1
+        self.flat, self.size = [np.empty(0, np.uint32)], [np.zeros(1, np.int64)]
+
+    def _learn(self, words: list[bytes], ids: np.ndarray, sizes: np.ndarray) -> None:
+        self.known.update(zip(words, range(self.learned, self.learned + len(words))))
+        self.learned += len(words)
+        self.flat.append(ids)
+        self.size.append(sizes)
+
+    def _one_by_one(self, words: list[bytes]) -> None:
+        for at in range(0, len(words), 4096):
+            part = words[at : at + 4096]
+            found = [e.ids for e in self.tokenizer.encode_batch_fast([w.decode("utf-8") for w in part], add_special_tokens=False)]
+            self._learn(part, np.array([i for x in found for i in x], np.uint32), np.array([len(x) for x in found], np.int64))
+
+    def _by_model(self, words: list[bytes]) -> None:
+        """Words of a-z, which the library's normalizer and splitter pass on as they are."""
+        tokenize = self.tokenizer.model.tokenize
+        for at in range(0, len(words), 4096):
+            part = words[at : at + 4096]
+            found = [[t.id for t in tokenize(w.decode("ascii"))] for w in part]
+            self._learn(part, np.array([i for x in found for i in x], np.uint32), np.array([len(x) for x in found], np.int64))
+
+    def _together(self, words: list[bytes]) -> None:
+        """Words of letters only, as one text; it is cut where the vocabulary marks a word's end."""
+        for at in range(0, len(words), 4096):
+            part = words[at : at + 4096]
+            [found] = self.tokenizer.encode_batch_fast([b" ".join(part).decode("utf-8")], add_special_tokens=False)
+            ids = np.array(found.ids, np.uint32)
+            last = np.flatnonzero(self.ends[ids])
+            if len(last) == len(part) and last[-1] == len(ids) - 1:
+                self._learn(part, ids, np.diff(last, prepend=-1).astype(np.int64))
+            else:
+                self._one_by_one(part)
+
+    def _numbers(self, chunks: list[bytes]) -> list[int]:
+        """The numbers of the chunks' ids; unknown words are encoded first, then put together."""
+        known = self.known
+        plain: dict[bytes, None] = {}
+        letters: dict[bytes, None] = {}
+        others: dict[bytes, None] = {}
+        ended = []
+        new = [c for c in chunks if c not in known]
+        cores = pc.utf8_rtrim(pa.array(new, pa.large_binary()).view(pa.large_utf8()), MARKS).cast(pa.large_binary()).to_pylist()
+        for chunk, core in zip(new, cores):
+            if core != chunk:
+                if b"<|" not in chunk and (core[-1:].isalnum() or _plain_letters(core[-2:])):
+                    tail = chunk[len(core) :]
+                    if tail not in known:
+                        others[tail] = None
+                    ended.append((chunk, core, tail))
+                else:
+                    core = chunk
+            if core not in known:
+                if self.passes and core.isalpha() and core.islower():
+                    plain[core] = None
+                else:
+                    (letters if _plain_letters(core) else others)[core] = None
+        self._by_model(list(plain))
+        self._together(list(letters))
+        self._one_by_one(list(others))
+        if ended:
+            flat, size = self._joined()
+            pairs = np.array([(known[core], known[tail]) for _, core, tail in ended])
+            ids = ragged(flat, (np.cumsum(size) - size)[pairs.ravel()], size[pairs.ravel()])
+            self._learn([x[0] for x in ended], ids, size[pairs].sum(axis=1))
+        return list(map(known.__getitem__, chunks))
+
+    def _joined(self) -> tuple[np.ndarray, np.ndarray]:
+        self.flat, self.size = [np.concatenate(self.flat)], [np.concatenate(self.size)]
+        return self.flat[0], self.size[0]
 
     def _step(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, one after the other, and their number per text."""
-        lists = pc.ascii_split_whitespace(pa.array(texts, pa.binary()).cast(pa.large_binary()).view(pa.large_utf8()))
+        if len(self.known) > MOST_WORDS:
+            self._forget()
+        whole = pa.array([x if b"<|" in x else x.lower() for x in texts], pa.large_binary())  # "<|": may be a special token
+        lists = pc.ascii_split_whitespace(whole.view(pa.large_utf8()))
         offsets = lists.offsets.to_numpy()
-        words = lists.flatten().dictionary_encode()
-        ids = self._look_up(words.dictionary.cast(pa.large_binary()).to_pylist())
-        size = np.array([len(x) for x in ids], dtype=np.int64)
-        begin = np.cumsum(size) - size
-        flat = np.concatenate(ids) if ids else np.empty(0, np.uint32)
-        which = words.indices.to_numpy(zero_copy_only=False)
-        ends = np.cumsum(size[which])
-        place = np.arange(ends[-1] if len(ends) else 0)
-        place += np.repeat(begin[which] - (ends - size[which]), size[which])
-        before = np.concatenate([[0], ends])
-        return flat[place], np.diff(before[offsets])
+        chunks = lists.flatten().dictionary_encode()
+        numbers = np.array(self._numbers(chunks.dictionary.cast(pa.large_binary()).to_pylist()), dtype=np.int64)
+        flat, size = self._joined()
+        which = numbers[chunks.indices.to_numpy(zero_copy_only=False)]
+        counts = size[which]
+        before = np.concatenate([[0], np.cumsum(counts)])
+        return ragged(flat, (np.cumsum(size) - size)[which], counts), np.diff(before[offsets])
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         """The ids of each text; one larger than a step is worked off in pieces cut at white space."""
@@ -127,7 +225,8 @@ def in_order(docs: DataFrame, key: str = "doc_id") -> DataFrame:
         F.xxhash64("text").alias("tie"), F.monotonically_increasing_id().alias("place"),
     )
     order = ["key", "tie", "place"]
-    return rows.repartitionByRange(partitions(spark, total), *order).sortWithinPartitions(*order).select("key", "text")
+    ranges = max(1, -(-total // RANGE_BYTES), min(spark.sparkContext.defaultParallelism, total >> 20))
+    return rows.repartitionByRange(ranges, *order).sortWithinPartitions(*order).select("key", "text")
 
 
 def write_shards(docs: DataFrame, definition: str, end: int | None, key: str = "doc_id", shard_tokens: int = SHARD_TOKENS) -> str:
@@ -177,6 +276,15 @@ def write_shards(docs: DataFrame, definition: str, end: int | None, key: str = "
     return folder
 
 
+def _plain_letters(word: bytes) -> bool:
+    """Whether it is letters up to U+00FF only: these have one lower case each and don't combine."""
+    try:
+        text = word.decode("utf-8")
+    except UnicodeDecodeError:  # the end of a longer character
+        return False
+    return text.isalpha() and max(text) <= "\xff"
+
+
 def by_size(texts: list[bytes], most: int = STEP_BYTES) -> Iterator[tuple[int, list[bytes]]]:
     """Stretches of a list of texts with about that many bytes, and where each begins."""
     begin, held = 0, 0
