@@ -35,14 +35,14 @@ def no_broadcast(spark):
 def test_a_large_refresh_never_partitions_by_customer_alone(spark, no_broadcast):
     cfg = RiskConfig(broadcast_rows=0)
     rows = stage(silver(spark, *[{"sec": s} for s in range(50)]), "silver")
-    spans = gold.touched_spans(rows)
-    fresh = gold.refreshed(gold.in_reach(rows, spans, cfg), cfg)
+    spans = gold.touched_spans(gold.places(rows), cfg)
+    fresh = gold.refreshed(gold.in_reach(rows, spans, cfg), spans, cfg)
     plan = plan_of(fresh)
     assert re.search(r"hashpartitioning\(customer_id#\d+, _salt", plan)
     assert re.search(r"hashpartitioning\(customer_id#\d+, event_sec", plan)
     assert re.search(r"hashpartitioning\(customer_id#\d+, _tile", plan)
     joined_on = re.findall(r"hashpartitioning\(customer_id#\d+, 4\)", plan)
-    # Customer alone: only the spans themselves, which are combined to a row per task and customer.
+    # Customer alone: only the spans themselves, which are combined to a row per customer and week before.
     assert len(joined_on) <= len(re.findall("partial_min", plan))
     assert fresh.count() == 50
 
@@ -50,7 +50,7 @@ def test_a_large_refresh_never_partitions_by_customer_alone(spark, no_broadcast)
 def test_a_small_refresh_moves_no_silver_row_to_find_its_customers(spark):
     cfg = RiskConfig()
     rows = stage(silver(spark, *[{"sec": s} for s in range(5)]), "silver")
-    reached = gold.in_reach(rows, gold.touched_spans(rows), cfg)
+    reached = gold.in_reach(rows, gold.touched_spans(gold.places(rows), cfg), cfg)
     assert "BroadcastHashJoin" in plan_of(reached)
 
 

@@ -70,6 +70,10 @@ class RiskConfig:
     max_amount: float = MAX_AMOUNT
     currencies: tuple[str, ...] = VALID_CURRENCIES
 
+    # Event time that rows may be late in Silver's stream, such as WATERMARK; later ones and repeats are
+    # dropped there. None: rows of any age are taken and refresh what they affect.
+    watermark: str | None = None
+
     velocity_seconds: int = VELOCITY_SECONDS
     baseline_seconds: int = BASELINE_SECONDS
     burst_seconds: int = BURST_SECONDS
@@ -136,5 +140,21 @@ class Layout:
     def run_metrics(self) -> str:
         return self._at("run_metrics")
 
+    @property
+    def stream_metrics(self) -> str:
+        return self._at("stream_metrics")
+
+    @property
+    def progress(self) -> str:
+        return self._at("progress")
+
+    @property
+    def mart(self) -> str:
+        return self._at("mart", "days")
+
+    @property
+    def mart_index(self) -> str:
+        return self._at("mart", "index")
+
     def checkpoint(self, layer: str) -> str:
         return self._at("checkpoints", layer)

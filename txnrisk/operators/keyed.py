@@ -32,21 +32,3 @@ def upsert(target: DataFrame, updates: DataFrame, key: str) -> DataFrame:
     """Update matched rows whole and insert the rest; ``updates`` must be unique on the key."""
     kept = target.join(updates.select(key), key, "left_anti")
     return kept.unionByName(updates, allowMissingColumns=True)
-
-
-def join_per_entity(
-    rows: DataFrame, facts: DataFrame, entity: str, spread_by: str, max_rows: int, salts: int
-) -> DataFrame:
-    """Inner join of many rows with facts that are unique per entity.
-
-    Few facts are broadcast, after counting them. Otherwise both sides are shuffled on the entity
-    and a salt taken from ``spread_by``. Without the salt the result would be partitioned by the
-    entity alone, and Spark would reuse that for later groupings, which pins all rows of a hot
-    entity to one task; with it a later shuffle follows, so that skewed partitions can be split.
-    """
-    if facts.limit(max_rows + 1).count() <= max_rows:
-        return rows.join(F.broadcast(facts), entity)
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)))
-    every = F.sequence(*[F.lit(salt).cast("bigint") for salt in (0, salts - 1)])
-    copies = facts.withColumn("_salt", F.explode(every))
-    return salted.join(copies, [entity, "_salt"]).drop("_salt")

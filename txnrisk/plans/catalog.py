@@ -6,14 +6,15 @@ and measured values rounded to six digits, so that other engines can be compared
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import wraps
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from txnrisk import schemas
-from txnrisk.config import FEATURES, Layout, RiskConfig
+from txnrisk.config import FEATURES, WATERMARK, Layout, RiskConfig
 from txnrisk.functions.features import FLAGS
 from txnrisk.functions.labels import inverted, label
 from txnrisk.operators import evaluate, monitor, validation
@@ -23,13 +24,25 @@ from txnrisk.plans import bronze, gold, mart, scoring, silver, training
 from txnrisk.session import new_folder, prepare, stage
 from txnrisk.sinks.append import append_batch
 from txnrisk.sinks.maintenance import compact, retained
+from txnrisk.sinks.retention import expire
 from txnrisk.sinks.runs import read_runs, record_run
 from txnrisk.sinks.upsert import upsert_batch
 from txnrisk.sources import events
 from txnrisk.sources.queue import queue_files
-from txnrisk.sources.tables import LOG_ID, current_view, mart_or_gold, read_log, scan_tree
+from txnrisk.sources.tables import (
+    LOG_ID,
+    current_view,
+    day_of,
+    mart_or_gold,
+    read_days,
+    read_log,
+    scan_tree,
+    snapshot_manifest,
+    snapshot_path,
+)
 from txnrisk.streaming import layers
 from txnrisk.streaming.dedupe import deduplicated_stream
+from txnrisk.streaming.metrics import BatchMetrics, read_metrics
 
 Query = Callable[[SparkSession, str], DataFrame]
 CFG = RiskConfig()
@@ -220,20 +233,22 @@ def gold_burst_60s(spark, sf_dir):
 
 
 def _write_layers(spark, sf_dir, layout):
-    """Feed the arrival batches through the Silver and Gold batch writers, one after the other."""
+    """Feed the arrival batches through the Silver and Gold batch writers, one after the other; gives their ids."""
     rows = _ingested(spark, sf_dir)
     to_silver, to_gold = layers.silver_batch(layout, CFG), layers.gold_batch(layout, CFG)
     for batch_id in ARRIVALS:
         to_silver(_arrival(rows, batch_id), batch_id)
         log = read_log(spark, layout.silver, schemas.silver())
         to_gold(log.where(F.col(LOG_ID) == batch_id), batch_id)
+        yield batch_id
 
 
 @query
 def gold_incremental(spark, sf_dir):
     """Gold built batch by batch, late batches refreshing what they affect."""
     layout = Layout(new_folder(spark, "gold-incremental"))
-    _write_layers(spark, sf_dir, layout)
+    for _ in _write_layers(spark, sf_dir, layout):
+        pass
     return show(current_view(spark, layout.gold, schemas.gold()), *RECORD_COLUMNS, *GOLD_ADDED)
 
 
@@ -297,6 +312,39 @@ def retention_filter(spark, sf_dir):
     return show(kept, "transaction_id", "customer_id", "amount", "transaction_time")
 
 
+@query
+def bronze_retention(spark, sf_dir):
+    """Daily Bronze batches, half of them read by Silver's stream when the retention job runs on the 31st.
+
+    Those past seven days would go, but what Silver has not read, or may still read on in, stays.
+    """
+    layout = Layout(new_folder(spark, "retention"))
+    day = F.dayofmonth("kafka_timestamp")
+    rows = events.bronze_rows(spark, sf_dir).withColumns({"batch_id": (day - 1).cast("bigint"), "ingested_at": F.col("kafka_timestamp")})
+    rows = rows.select(*schemas.bronze().fieldNames())
+    append_batch(rows.where("batch_id < 15"), layout.bronze)
+    layers.start_silver(spark, layout, CFG, None).awaitTermination()
+    append_batch(rows.where("batch_id >= 15"), layout.bronze)
+    expire(spark, layout, "2024-01-31 00:00:00")
+    kept = spark.read.schema(schemas.bronze()).parquet(layout.bronze)
+    return kept.select(*RECORD_COLUMNS, "offset", "batch_id")
+
+
+@query
+def compaction_days(spark, sf_dir):
+    """The valid versions of the days of a snapshot after each arrival batch, and their rows.
+
+    A batch rewrites only the days in which it adds, changes or leaves rows.
+    """
+    table = new_folder(spark, "compacted-days")
+    for _ in _silver_log(spark, sf_dir, table):
+        compact(spark, table, schemas.silver())
+    manifest = snapshot_manifest(spark, table)
+    versions = spark.createDataFrame(sorted(manifest.days.items()), "day bigint, version bigint")
+    rows = read_days(spark, snapshot_path(table), schemas.silver(), manifest)
+    return rows.groupBy(day_of().alias("day")).agg(F.count(F.lit(1)).alias("n_rows")).join(versions, "day")
+
+
 # -- feature mart ----------------------------------------------------------------------------
 
 MART_COLUMNS = ("transaction_id", "customer_id", "is_fraud", *FEATURES)
@@ -323,6 +371,17 @@ def mart_fallback(spark, sf_dir):
     return show(found, *MART_COLUMNS)
 
 
+@query
+def mart_table(spark, sf_dir):
+    """The mart in the catalog, brought up to date after the second and the third arrival batch."""
+    layout = Layout(new_folder(spark, "mart"))
+    name = f"fct_features_{uuid.uuid4().hex}"
+    for batch_id in _write_layers(spark, sf_dir, layout):
+        if batch_id > 0:
+            mart.refresh_mart(spark, layout, name)
+    return show(spark.table(name), *MART_COLUMNS)
+
+
 @query
 def feature_matrix(spark, sf_dir):
     rows = mart.feature_matrix(_mart(spark, sf_dir))
@@ -355,7 +414,7 @@ def score_thresholds(spark, sf_dir):
 
 @query
 def score_thresholds_by_bins(spark, sf_dir):
-    """The same cuts by repeated binning, the way they are found on large tables."""
+    """The same cuts with 64 bins a pass, so in more passes."""
     return _cuts_row(spark, scoring.score_cuts(_scored(spark, sf_dir), CFG, bins=64))
 
 
@@ -509,6 +568,53 @@ def stream_dedup_watermark(spark, sf_dir):
     return spark.read.schema("transaction_id string").parquet(out)
 
 
+def _arrival_files(spark, sf_dir, path, files):
+    """Queue files in the order of events, of which every 17th comes two files late."""
+    rows = events.envelopes(spark, sf_dir)
+    last = rows.agg(F.max("offset")).first()[0]
+    late = F.when(F.col("offset") % 17 == 5, 2).otherwise(0)
+    number = F.least(F.lit(4), F.floor(F.col("offset") * 5 / (last + 1)) + late)
+    for i in files:
+        part = rows.where(number == i).select(*schemas.QUEUE.fieldNames())
+        part.coalesce(1).write.mode("append").parquet(path)
+
+
+def _late_streams(spark, sf_dir):
+    """Bronze and Silver with a watermark, a file per micro-batch, stopped and started again after three of five."""
+    layout, queue = Layout(new_folder(spark, "late-streams")), new_folder(spark, "late-queue")
+    cfg = RiskConfig(max_files_per_trigger=1, watermark=WATERMARK)
+    for files in ((0, 1, 2), (3, 4)):
+        _arrival_files(spark, sf_dir, queue, files)
+        metrics = BatchMetrics(spark, layout.stream_metrics).start()
+        try:
+            layers.start_bronze(queue_files(spark, queue, cfg), layout, None, metrics=metrics).awaitTermination()
+            layers.start_silver(spark, layout, cfg, None, metrics=metrics).awaitTermination()
+        finally:
+            metrics.stop()
+    return layout
+
+
+@query
+def stream_silver_watermark(spark, sf_dir):
+    """Transactions that pass Silver's watermark: the late ones of a file don't."""
+    layout = _late_streams(spark, sf_dir)
+    return current_view(spark, layout.silver, schemas.silver()).select("transaction_id")
+
+
+@query
+def stream_batch_metrics(spark, sf_dir):
+    """Counters of every micro-batch with rows, by file, from the metrics table; late rows as Spark's progress has them."""
+    metrics = read_metrics(spark, _late_streams(spark, sf_dir).stream_metrics)
+    wide = metrics.groupBy("layer", "micro_batch").pivot(
+        "name", ["n_rows", "n_valid", "n_quarantined", "fraud_rate", "n_invalid", "n_late", "triggerExecution_ms"]
+    ).agg(F.first("value"))
+    wide = wide.where("n_rows is not null")
+    file = F.row_number().over(Window.partitionBy("layer").orderBy("micro_batch")) - 1
+    counts = [F.col(c).cast("bigint").alias(c) for c in ("n_rows", "n_valid", "n_quarantined", "n_invalid", "n_late")]
+    timed = (F.col("triggerExecution_ms") > 0).alias("has_time")
+    return wide.select("layer", file.alias("file"), *counts, six("fraud_rate"), timed)
+
+
 # -- monitoring ------------------------------------------------------------------------------
 
 

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from txnrisk.config import RiskConfig
 from txnrisk.functions.features import event_seconds, risk_flags, zscore
-from txnrisk.operators.keyed import join_per_entity
+from txnrisk.operators.intervals import islands, within
 from txnrisk.operators.rolling import Trailing, with_trailing_stats
+from txnrisk.sources.tables import DAY_SECONDS, ranges
 
 SECOND = "event_sec"
 
@@ -58,37 +59,49 @@ def stamped(rows: DataFrame) -> DataFrame:
     return rows.withColumn("gold_processed_at", F.current_timestamp())
 
 
-def touched_spans(*positions: DataFrame) -> DataFrame:
-    """First and last event second per customer among new, changed and replaced rows."""
-    every = None
-    for rows in positions:
-        part = rows.select("customer_id", event_seconds().alias("sec"))
-        every = part if every is None else every.unionByName(part)
-    return every.groupBy("customer_id").agg(F.min("sec").alias("first_sec"), F.max("sec").alias("last_sec"))
-
-
 def _reach(cfg: RiskConfig) -> int:
     return max(cfg.baseline_seconds, cfg.velocity_seconds)
 
 
-def reach_of(spans: DataFrame, cfg: RiskConfig) -> tuple[int, int]:
-    """Event times (epoch seconds) that :func:`in_reach` can keep, over all customers."""
-    first, last = spans.agg(F.min("first_sec"), F.max("last_sec")).first()
-    return first - _reach(cfg), last + _reach(cfg)
+def places(rows: DataFrame) -> DataFrame:
+    return rows.select("customer_id", event_seconds().alias(SECOND))
+
+
+def touched_spans(places: DataFrame, cfg: RiskConfig) -> DataFrame:
+    """Stretches of event time per customer with new, changed or replaced rows (customer_id, event_sec).
+
+    Rows further apart than the longest look-back are in different stretches, since what is between
+    them is affected by neither.
+    """
+    return islands(places, "customer_id", SECOND, _reach(cfg))
+
+
+def days_in_reach(spans: DataFrame, cfg: RiskConfig) -> list[tuple[int, int]]:
+    """The event days of which :func:`in_reach` can keep rows, over all customers, as stretches.
+
+    Days of no customer's stretch are not among them, however far apart the stretches are.
+    """
+    low, high = ((F.col(c) + d * _reach(cfg)) / DAY_SECONDS for c, d in (("first_sec", -1), ("last_sec", 1)))
+    days = spans.select(F.explode(F.sequence(F.floor(low), F.floor(high))).alias("day")).distinct()
+    return ranges({r[0] for r in days.collect()})
+
+
+def _within(rows: DataFrame, spans: DataFrame, cfg: RiskConfig, before: int) -> DataFrame:
+    return within(
+        rows, event_seconds(), spans, "customer_id", before=before, after=_reach(cfg), tile=_reach(cfg),
+        spread_by="transaction_id", max_rows=cfg.broadcast_rows, salts=cfg.salts,
+    )
 
 
 def in_reach(silver: DataFrame, spans: DataFrame, cfg: RiskConfig) -> DataFrame:
-    """Rows needed to refresh what a change within ``spans`` affects, with the span joined on.
+    """Rows needed to refresh what changes within the stretches affect.
 
     A change at time t alters the frames of that customer's rows in [t, t + look-back]; to
     compute those, rows from t - look-back on are needed.
     """
-    near = event_seconds().between(F.col("first_sec") - _reach(cfg), F.col("last_sec") + _reach(cfg))
-    joined = join_per_entity(silver, spans, "customer_id", "transaction_id", cfg.broadcast_rows, cfg.salts)
-    return joined.where(near)
+    return _within(silver, spans, cfg, before=_reach(cfg))
 
 
-def refreshed(reached: DataFrame, cfg: RiskConfig) -> DataFrame:
+def refreshed(reached: DataFrame, spans: DataFrame, cfg: RiskConfig) -> DataFrame:
     """Features of the affected rows among those :func:`in_reach` of the current Silver table."""
-    affected = event_seconds().between(F.col("first_sec"), F.col("last_sec") + _reach(cfg))
-    return features(reached, cfg).where(affected).drop("first_sec", "last_sec")
+    return _within(features(reached, cfg), spans, cfg, before=0)

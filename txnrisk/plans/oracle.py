@@ -96,6 +96,21 @@ GOLD_FIELDS = """velocity_1h, round(z, 6) + 0.0 as amount_zscore, is_high_risk_h
 REQUIRED = "transaction_id is not null and customer_id is not null and amount is not null"
 
 
+FILE = """least(4, offset_no * 5 // ((select max(event_id) from events) + 1) + case when offset_no % 17 = 5 then 2 else 0 end)"""
+# A row is late if it is ten minutes or more older than the latest valid row of the files up to the last but one;
+# when the streams are stopped, after the third file, the mark moves up to that file. A transaction is known
+# for a file longer.
+ARRIVED = f"""filed as (select *, {FILE} as file from valid),
+marks as (
+  select m.file, date_trunc('millisecond', max(f.ts)) - interval 10 minute as mark
+  from (select unnest([2, 3, 4]) as file, unnest([0, 2, 2]) as known) m join filed f on f.file <= m.known group by m.file),
+timely as (select filed.*, coalesce(ts <= mark, false) as late from filed left join marks using (file)),
+arrived as (
+  select t.*, t.late or exists (
+    select 1 from timely b where b.transaction_id = t.transaction_id and b.file = t.file - 1 and not b.late) as dropped
+  from timely t)"""
+
+
 def _with(*parts: str) -> str:
     return "with " + ", ".join(parts) + " "
 
@@ -172,6 +187,26 @@ ORACLE: dict[str, str] = {
     "retention_filter": _with(SILVER)
     + """select transaction_id, customer_id, amount, transaction_time from silver
          where ts >= timestamp '2024-01-31 00:00:00' - interval 7 day""",
+    # Past seven days are batches 0 to 22; Silver has read 0 to 14, the last of which it may read on in.
+    "bronze_retention": _with(RECORDS)
+    + f"""select {FIELDS}, offset_no as "offset", cast(dayofmonth(ts) - 1 as bigint) as batch_id from rec
+          where dayofmonth(ts) - 1 > 13""",
+    # A day's version is the last arrival that has a valid row of it, or another version of one of its keys.
+    "compaction_days": _with(VALID)
+    + """, firsts as (
+            select * exclude (rn) from (
+              select *, row_number() over (partition by transaction_id, arrival order by partition, offset_no) as rn from valid)
+            where rn = 1),
+          dated as (select transaction_id, arrival, cast(floor(sec / 86400.0) as bigint) as day from firsts),
+          moved as (
+            select day, arrival from dated
+            union all select a.day, b.arrival from dated a join dated b
+              on a.transaction_id = b.transaction_id and b.arrival > a.arrival),
+          latest as (select transaction_id, arg_max(day, arrival) as day from dated group by transaction_id)
+          select l.day, count(*) as n_rows, any_value(v.version) as version
+          from latest l join (select day, cast(max(arrival) as bigint) as version from moved group by day) v on l.day = v.day
+          group by l.day""",
+    "mart_table": _with(UPSERTED, GOLD, MART) + "select * from mart",
     "feature_mart": _MART_ROWS,
     "mart_sql_view": _MART_ROWS,
     "mart_fallback": _MART_ROWS,
@@ -232,6 +267,22 @@ ORACLE: dict[str, str] = {
     "stream_bronze": _with(RECORDS) + f"select {FIELDS}, {POSITION} from rec where {REQUIRED}",
     "stream_silver_gold": _GOLD_ROWS,
     "stream_dedup_watermark": _with(VALID) + "select distinct transaction_id from valid",
+    "stream_silver_watermark": _with(VALID, ARRIVED)
+    + "select distinct transaction_id from arrived where not late",
+    "stream_batch_metrics": _with(VALID, ARRIVED)
+    + f""", sent as (select *, {FILE} as file from rec),
+          bronze as (
+            select file, count(*) as n_rows, count(*) filter (where {REQUIRED}) as n_valid,
+              count(*) filter (where not ({REQUIRED})) as n_quarantined,
+              round(avg(case when {REQUIRED} then cast(is_fraud as integer) end), 6) as fraud_rate,
+              count(*) filter (where {REQUIRED} and not {RULES}) as n_invalid from sent group by file),
+          passed as (
+            select file, count(distinct transaction_id) filter (where not dropped) as n_passed,
+              count(*) filter (where late) as n_late from arrived group by file)
+          select 'bronze' as layer, cast(file as integer) as file, n_rows, n_valid, n_quarantined,
+            cast(null as bigint) as n_invalid, cast(0 as bigint) as n_late, fraud_rate, true as has_time from bronze
+          union all select 'silver', cast(file as integer), n_passed + n_invalid, null, null, n_invalid, n_late, null, true
+          from bronze join passed using (file)""",
     "sla_latency": _with(SILVER)
     + f""", stamps as (
             select 'bronze' as layer, cast(5 as double) as target_seconds, {_late(37, 7_000)} as s from silver

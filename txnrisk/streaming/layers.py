@@ -8,7 +8,8 @@ it wrote before.
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -19,11 +20,11 @@ from txnrisk import schemas
 from txnrisk.config import TRIGGERS, Layout, RiskConfig
 from txnrisk.operators.monitor import batch_counters
 from txnrisk.plans import bronze, gold, silver
-from txnrisk.session import broadcast_if_small, prepare, staged
+from txnrisk.session import prepare, staged
 from txnrisk.sinks.append import append_batch, quarantine_batch
+from txnrisk.sinks.progress import record_progress
 from txnrisk.sinks.upsert import create_layer, upsert_batch
 from txnrisk.sources.tables import (
-    KEY,
     LOG_ID,
     batch_number,
     current_view,
@@ -32,8 +33,13 @@ from txnrisk.sources.tables import (
     log_path,
     log_stream,
     make_folder,
+    positions,
     snapshot_index_path,
 )
+from txnrisk.streaming.dedupe import watermarked
+from txnrisk.streaming.metrics import BatchMetrics
+
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 Batch = Callable[[DataFrame, int], None]
 Report = Callable[[str, int, dict], None]
@@ -64,11 +70,18 @@ def bronze_batch(
     return write
 
 
+def _note(batch: DataFrame, layout: Layout, consumer: str, input_id: str, generation: int, micro_batch: int) -> None:
+    """Note how far a consumer has read. The newest batch may go on in its next micro-batch, so it doesn't count."""
+    newest = batch.agg(F.max(input_id)).first()[0]
+    if newest is not None:
+        record_progress(batch.sparkSession, layout.progress, consumer, micro_batch, newest - 1, generation)
+
+
 def silver_batch(layout: Layout, cfg: RiskConfig, report: Report = log_counters, generation: int = 0) -> Batch:
-    def write(batch: DataFrame, batch_id: int) -> None:
+    def write(batch: DataFrame, micro_batch: int) -> None:
         if batch.isEmpty():
             return
-        batch_id = batch_number(generation, batch_id)
+        batch_id = batch_number(generation, micro_batch)
         seen, merged = Observation(f"silver-{batch_id}"), Observation(f"silver-merged-{batch_id}")
         rows = silver.typed(silver.stamped(batch))
         valid, _ = silver.split_typed(rows.observe(seen, *silver.counters(cfg)), cfg)
@@ -79,6 +92,7 @@ def silver_batch(layout: Layout, cfg: RiskConfig, report: Report = log_counters,
             _, invalid = silver.split_typed(rows, cfg)
             marked = invalid.withColumn(LOG_ID, F.lit(batch_id).cast("bigint"))
             quarantine_batch(marked, layout.silver_quarantine, LOG_ID)
+        _note(batch, layout, "silver", "batch_id", generation, micro_batch)
         report("silver", batch_id, {**seen.get, **merged.get})
 
     return write
@@ -98,39 +112,71 @@ def gold_batch(
     them twice.
     """
 
-    def write(batch: DataFrame, batch_id: int) -> None:
+    def write(batch: DataFrame, micro_batch: int) -> None:
         if batch.isEmpty():
             return
-        batch_id = batch_number(generation, batch_id)
+        batch_id = batch_number(generation, micro_batch)
         spark = batch.sparkSession
-        keys = broadcast_if_small(batch.select(KEY).distinct(), cfg.broadcast_rows)
-        earlier = current_view(spark, layout.gold, schemas.gold(record), keys=keys)
-        spans = gold.touched_spans(batch, earlier).persist()
+        changed = gold.places(batch).unionByName(positions(spark, layout.gold, batch).withColumnRenamed("event_sec", gold.SECOND))
+        spans = gold.touched_spans(changed, cfg).persist()
         try:
             reached = current_view(
                 spark,
                 layout.silver,
                 schemas.silver(record),
                 narrow=lambda rows: gold.in_reach(rows, spans, cfg),
-                seconds=gold.reach_of(spans, cfg),
+                days=gold.days_in_reach(spans, cfg),
             )
             written = Observation(f"gold-{batch_id}")
             with staged(reached, "gold-reached") as rows:
-                fresh = gold.stamped(gold.refreshed(rows, cfg)).observe(written, F.count(F.lit(1)).alias("n_rows"))
+                fresh = gold.stamped(gold.refreshed(rows, spans, cfg)).observe(written, F.count(F.lit(1)).alias("n_rows"))
                 upsert_batch(fresh.select(*schemas.gold(record).fieldNames()), layout.gold, batch_id)
         finally:
             spans.unpersist()
+        _note(batch, layout, "gold", LOG_ID, generation, micro_batch)
         report("gold", batch_id, written.get)
 
     return write
 
 
-def _start(stream: DataFrame, batch: Batch, checkpoint: str, interval: str | None) -> StreamingQuery:
+def _start(
+    stream: DataFrame,
+    batch: Batch,
+    checkpoint: str,
+    interval: str | None,
+    layer: str,
+    generation: int,
+    metrics: BatchMetrics | None = None,
+) -> StreamingQuery:
     """``interval`` None means: process what is there, then stop."""
     writer = stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
-    if interval is None:
-        return writer.trigger(availableNow=True).start()
-    return writer.trigger(processingTime=interval).start()
+    writer = writer.trigger(availableNow=True) if interval is None else writer.trigger(processingTime=interval)
+    query = writer.start()
+    if metrics is not None:
+        metrics.watch(query, layer, generation)
+    return query
+
+
+def _once(batch: Batch, label: str) -> Batch:
+    """Evaluate the rows of a micro-batch once: every further time its state would be worked through, and counted, again."""
+
+    def write(rows: DataFrame, micro_batch: int) -> None:
+        with staged(rows, label) as written:
+            batch(written, micro_batch)
+
+    return write
+
+
+@contextmanager
+def _state_on_disk(spark: SparkSession) -> Iterator[None]:
+    """Queries started meanwhile keep their state in RocksDB, outside the JVM's heap."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, STATE_STORE)
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
 
 
 def _log_generation(spark: SparkSession, checkpoint: str, table: str, *others: str) -> int:
@@ -143,11 +189,14 @@ def start_bronze(
     interval: str | None = TRIGGERS["bronze"],
     record: StructType = schemas.RECORD,
     report: Report = log_counters,
+    metrics: BatchMetrics | None = None,
 ) -> StreamingQuery:
+    report = report if metrics is None else metrics.report
     spark = prepare(envelope.sparkSession)
     make_folder(spark, layout.bronze)
     generation = generation_of(spark, layout.checkpoint("bronze"), (layout.bronze, layout.bronze_quarantine), "batch_id")
-    return _start(envelope, bronze_batch(layout, record, report, generation), layout.checkpoint("bronze"), interval)
+    batch = bronze_batch(layout, record, report, generation)
+    return _start(envelope, batch, layout.checkpoint("bronze"), interval, "bronze", generation, metrics)
 
 
 def start_silver(
@@ -157,11 +206,21 @@ def start_silver(
     interval: str | None = TRIGGERS["silver"],
     record: StructType = schemas.RECORD,
     report: Report = log_counters,
+    metrics: BatchMetrics | None = None,
 ) -> StreamingQuery:
+    """With ``cfg.watermark`` rows pass a stateful layer first, which drops late rows and repeats.
+
+    Late rows are counted in the query's progress, and so in the metrics. Rejected rows pass it by.
+    """
+    report = report if metrics is None else metrics.report
     create_layer(prepare(spark), layout.silver)
     rows = layer_stream(spark, layout.bronze, schemas.bronze(record), cfg.max_files_per_trigger)
     generation = _log_generation(spark, layout.checkpoint("silver"), layout.silver, layout.silver_quarantine)
-    return _start(rows, silver_batch(layout, cfg, report, generation), layout.checkpoint("silver"), interval)
+    batch = silver_batch(layout, cfg, report, generation)
+    if cfg.watermark is None:
+        return _start(rows, batch, layout.checkpoint("silver"), interval, "silver", generation, metrics)
+    with _state_on_disk(spark):
+        return _start(watermarked(rows, cfg), _once(batch, "silver-passed"), layout.checkpoint("silver"), interval, "silver", generation, metrics)
 
 
 def start_gold(
@@ -171,11 +230,14 @@ def start_gold(
     interval: str | None = TRIGGERS["gold"],
     record: StructType = schemas.RECORD,
     report: Report = log_counters,
+    metrics: BatchMetrics | None = None,
 ) -> StreamingQuery:
+    report = report if metrics is None else metrics.report
     create_layer(prepare(spark), layout.gold)
     rows = log_stream(spark, layout.silver, schemas.silver(record), cfg.max_files_per_trigger)
     generation = _log_generation(spark, layout.checkpoint("gold"), layout.gold)
-    return _start(rows, gold_batch(layout, cfg, record, report, generation), layout.checkpoint("gold"), interval)
+    batch = gold_batch(layout, cfg, record, report, generation)
+    return _start(rows, batch, layout.checkpoint("gold"), interval, "gold", generation, metrics)
 
 
 def run_until_stopped(spark: SparkSession, *queries: StreamingQuery) -> None:
