@@ -34,7 +34,8 @@ def upsert_batch(updates: DataFrame, table: str, batch_id: int) -> None:
     """
     spark, name = updates.sparkSession, f"{LOG_ID}={batch_id}"
     pending = f"{log_path(table)}/_pending/{name}"
-    updates.withColumn(DAY, day_of()).write.mode("overwrite").partitionBy(DAY).parquet(pending)
+    # Few files per day, and many tasks for a day with many rows.
+    updates.withColumn(DAY, day_of()).hint("rebalance", DAY).write.mode("overwrite").partitionBy(DAY).parquet(pending)
     schema = StructType([*updates.schema.fields, StructField(DAY, LongType())])
     index_keys(spark.read.schema(schema).parquet(pending), f"{keys_path(table)}/{name}")
     rename(spark, pending, f"{log_path(table)}/{name}")

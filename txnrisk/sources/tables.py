@@ -25,7 +25,6 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from txnrisk.config import MAX_FILE_AGE
 from txnrisk.operators.keyed import latest_per_key
-from txnrisk.session import broadcast_if_small
 
 LOG_ID = "log_batch_id"
 COVERED = "covered_batch_id"
@@ -105,14 +104,19 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
-def numbers(spark: SparkSession, path: str, prefix: str) -> list[int]:
-    """The n of all files and folders ``<prefix>n`` in a folder."""
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """The names of the files and folders in a folder; none if there is no such folder."""
     if not path_exists(spark, path):
         return []
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     found = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
-    names = [status.getPath().getName() for status in found]
-    return [int(n[len(prefix) :]) for n in names if n.startswith(prefix) and n[len(prefix) :].isdigit()]
+    return [status.getPath().getName() for status in found]
+
+
+def numbers(spark: SparkSession, path: str, prefix: str) -> list[int]:
+    """The n of all files and folders ``<prefix>n`` in a folder."""
+    names = [n[len(prefix) :] for n in list_names(spark, path) if n.startswith(prefix)]
+    return [int(n) for n in names if n.isdigit()]
 
 
 def batch_number(generation: int, batch_id: int) -> int:
@@ -267,12 +271,11 @@ def lookup(spark: SparkSession, table: str, keys: DataFrame, after: int | None =
     A few keys are named to the scan, whose Bloom filters then skip most files.
     """
     wanted = keys.select(KEY).where(F.col(KEY).isNotNull()).distinct()
-    some = wanted.select(KEY, key_bucket().alias(BUCKET)).limit(MOST_LISTED + 1).collect()
-    index = key_index(spark, table, after)
-    if len(some) <= MOST_LISTED:
-        return index.where(F.col(BUCKET).isin([r[1] for r in some]) & F.col(KEY).isin([r[0] for r in some]))
-    buckets = [r[0] for r in wanted.select(key_bucket()).distinct().collect()]
-    return index.where(F.col(BUCKET).isin(buckets)).join(broadcast_if_small(wanted, MOST_BROADCAST), KEY, "left_semi")
+    n, buckets = wanted.agg(F.count(F.lit(1)), F.collect_set(key_bucket())).first()
+    index = key_index(spark, table, after).where(F.col(BUCKET).isin(buckets))
+    if n <= MOST_LISTED:
+        return index.where(F.col(KEY).isin([r[0] for r in wanted.collect()]))
+    return index.join(F.broadcast(wanted) if n <= MOST_BROADCAST else wanted, KEY, "left_semi")
 
 
 def positions(spark: SparkSession, table: str, keys: DataFrame) -> DataFrame:

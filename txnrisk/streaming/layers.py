@@ -70,11 +70,10 @@ def bronze_batch(
     return write
 
 
-def _note(batch: DataFrame, layout: Layout, consumer: str, input_id: str, generation: int, micro_batch: int) -> None:
+def _note(spark: SparkSession, layout: Layout, consumer: str, newest: int | None, generation: int, micro_batch: int) -> None:
     """Note how far a consumer has read. The newest batch may go on in its next micro-batch, so it doesn't count."""
-    newest = batch.agg(F.max(input_id)).first()[0]
     if newest is not None:
-        record_progress(batch.sparkSession, layout.progress, consumer, micro_batch, newest - 1, generation)
+        record_progress(spark, layout.progress, consumer, micro_batch, newest - 1, generation)
 
 
 def silver_batch(layout: Layout, cfg: RiskConfig, report: Report = log_counters, generation: int = 0) -> Batch:
@@ -84,7 +83,8 @@ def silver_batch(layout: Layout, cfg: RiskConfig, report: Report = log_counters,
         batch_id = batch_number(generation, micro_batch)
         seen, merged = Observation(f"silver-{batch_id}"), Observation(f"silver-merged-{batch_id}")
         rows = silver.typed(silver.stamped(batch))
-        valid, _ = silver.split_typed(rows.observe(seen, *silver.counters(cfg)), cfg)
+        newest = F.max("batch_id").alias("newest")
+        valid, _ = silver.split_typed(rows.observe(seen, *silver.counters(cfg), newest), cfg)
         deduplicated = silver.deduplicated(valid).observe(merged, F.count(F.lit(1)).alias("n_merged"))
         upsert_batch(deduplicated, layout.silver, batch_id)
         # Rejected rows are kept even when a batch has no valid row at all.
@@ -92,8 +92,9 @@ def silver_batch(layout: Layout, cfg: RiskConfig, report: Report = log_counters,
             _, invalid = silver.split_typed(rows, cfg)
             marked = invalid.withColumn(LOG_ID, F.lit(batch_id).cast("bigint"))
             quarantine_batch(marked, layout.silver_quarantine, LOG_ID)
-        _note(batch, layout, "silver", "batch_id", generation, micro_batch)
-        report("silver", batch_id, {**seen.get, **merged.get})
+        counters = {**seen.get, **merged.get}
+        _note(batch.sparkSession, layout, "silver", counters.pop("newest"), generation, micro_batch)
+        report("silver", batch_id, counters)
 
     return write
 
@@ -133,7 +134,7 @@ def gold_batch(
                 upsert_batch(fresh.select(*schemas.gold(record).fieldNames()), layout.gold, batch_id)
         finally:
             spans.unpersist()
-        _note(batch, layout, "gold", LOG_ID, generation, micro_batch)
+        _note(spark, layout, "gold", batch.agg(F.max(LOG_ID)).first()[0], generation, micro_batch)
         report("gold", batch_id, written.get)
 
     return write
