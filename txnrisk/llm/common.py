@@ -29,10 +29,30 @@ _BASE = 0x9E3779B97F4A7C17  # 3 modulo 4, so that differences of powers are divi
 
 
 def by_value(module: str) -> None:
-    """Send a module's functions to the executors by value: they need numpy, not this package."""
+    """Send a module's functions and classes to the executors by value: they need numpy, not this package.
+
+    That holds for what functions refer to; a model that is broadcast goes through :func:`shipped`.
+    """
     cloudpickle.register_pickle_by_value(sys.modules[module])
 
 
+def shipped(spark: SparkSession, model):
+    """What gives tasks a broadcast model: call it there once.
+
+    A broadcast names classes by module, which executors need not have. So the model is sent as bytes that
+    hold its class by value, if the class's module asks for that (:func:`by_value`). ``sent`` is the broadcast.
+    """
+    sent = spark.sparkContext.broadcast(cloudpickle.dumps(model))
+
+    def opened():
+        import pickle
+
+        return pickle.loads(sent.value)
+
+    opened.sent = sent
+    return opened
+
+
 def crc_fold(key: str | Column, folds: int) -> Column:
     """crc32 of the key as text, modulo ``folds``; a null key counts as the empty text."""
     column = F.col(key) if isinstance(key, str) else key

@@ -125,12 +125,13 @@ def find_items(
     names = [f.name for f in schema]
     out = None
     for block in item_blocks(items, item, "text"):
-        index = spark.sparkContext.broadcast(ItemIndex(block, size, containment))
+        opened = common.shipped(spark, ItemIndex(block, size, containment))
 
-        def search(batches, index=index, names=names):
+        def search(batches, opened=opened, names=names):
+            index = opened()
             for batch in (whole.slice(at, STEP_ROWS) for whole in batches for at in range(0, whole.num_rows, STEP_ROWS)):
                 ids = batch.column(0).to_pylist()
-                hits = index.value.search(common.texts_of(batch.column(1)))
+                hits = index.search(common.texts_of(batch.column(1)))
                 columns = [
                     [ids[t] for t, *_ in hits],
                     [i for _, i, *_ in hits],
@@ -160,15 +161,16 @@ def decontaminate(docs: DataFrame, items: DataFrame, size: int = 5, containment:
         if n:
             before, written = written, stage(docs, "decontaminated")
             docs = written
-            index.unpersist()
+            opened.sent.unpersist()
             if before is not None:
                 discard(before)
-        index = docs.sparkSession.sparkContext.broadcast(ItemIndex(block, size, containment))
+        opened = common.shipped(docs.sparkSession, ItemIndex(block, size, containment))
 
-        def clean(batches, index=index):
+        def clean(batches, opened=opened):
+            index = opened()
             for batch in (whole.slice(at, STEP_ROWS) for whole in batches for at in range(0, whole.num_rows, STEP_ROWS)):
                 keep = np.ones(batch.num_rows, dtype=bool)
-                keep[[t for t, *_ in index.value.search(common.texts_of(batch.column("text")))]] = False
+                keep[[t for t, *_ in index.search(common.texts_of(batch.column("text")))]] = False
                 yield batch.filter(pa.array(keep))
 
         docs = docs.mapInArrow(clean, docs.schema)

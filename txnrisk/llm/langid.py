@@ -133,8 +133,10 @@ def learn(docs: DataFrame, n_max: int = 3, length: int = 300) -> DataFrame:
     counted = docs.filter(F.col("lang").isNotNull()).select("lang", "text")
     counted = counted.mapInArrow(count, "lang string, ngram long, n long")
     total = counted.groupBy("lang", "ngram").agg(F.sum("n").alias("n"))
+    # The limit on the number itself lets Spark keep each task's first ones before the shuffle.
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "ngram"))
-    return total.withColumn("rank", rank - 1).filter(F.col("rank") < length).select("lang", "ngram", "rank")
+    first = total.withColumn("_place", rank).filter(F.col("_place") <= length)
+    return first.select("lang", "ngram", (F.col("_place") - 1).alias("rank"))
 
 
 def load(profiles: DataFrame, n_max: int = 3, length: int = 300) -> Profiles:
@@ -155,13 +157,14 @@ def identify(docs: DataFrame, profiles: Profiles, added: tuple[str, str] = ("lan
     """
     from pyspark.sql import types as T
 
-    model = docs.sparkSession.sparkContext.broadcast(profiles)
+    opened = common.shipped(docs.sparkSession, profiles)
     rest = docs.drop(*added)
     schema = T.StructType([*rest.schema.fields, *common.schema_of(f"{added[0]} string, {added[1]} double").fields])
 
     def predict(batches):
+        model = opened()
         for batch in batches:
-            found = [model.value.predict(x) for x in batch.column("text").to_pylist()]
+            found = [model.predict(x) for x in batch.column("text").to_pylist()]
             columns = [*batch.columns, pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, *added])
 

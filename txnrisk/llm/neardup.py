@@ -288,7 +288,11 @@ def near_duplicates(docs: DataFrame, size: int = 4, threshold_percent: int = 80,
 
 
 def drop_near_duplicates(docs: DataFrame, size: int = 5, threshold_percent: int = 80, key: str = "doc_id") -> DataFrame:
-    """The documents without those whose id is not its group's smallest; all columns stay."""
+    """The documents without those whose id is not its group's smallest; all columns stay.
+
+    Rows that share the smallest id are one document and all stay, also if they are equal in every column;
+    so do rows without an id.
+    """
     found = near_duplicates(docs, size, threshold_percent, key)
     gone = found.filter(~F.col("kept")).select(F.col(key).alias("_gone")).distinct()
     return docs.join(gone, docs[key] == gone["_gone"], "left_anti")

@@ -169,13 +169,14 @@ def score(docs: DataFrame, space: Space, added: str = "score") -> DataFrame:
     """
     from pyspark.sql import types as T
 
-    model = docs.sparkSession.sparkContext.broadcast(space)
+    opened = common.shipped(docs.sparkSession, space)
     rest = docs.drop(added)
     schema = T.StructType([*rest.schema.fields, T.StructField(added, T.DoubleType())])
 
     def vote(batches):
+        model = opened()
         for batch in batches:
-            scores = model.value.score(common.texts_of(batch.column("text")))
+            scores = model.score(common.texts_of(batch.column("text")))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores.astype(float))], [*batch.schema.names, added])
 
     return rest.mapInArrow(vote, schema)
