@@ -1,3 +1,5 @@
+from hashlib import md5
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -5,7 +7,7 @@ from pyspark.sql import functions as F
 
 from txnrisk.config import FEATURES, Layout, RiskConfig
 from txnrisk.functions.labels import anomaly_as_label, decision
-from txnrisk.operators.forest import Forest, average_path, load_forest, train_forest, tree_samples
+from txnrisk.operators.forest import DRAWS, Forest, average_path, load_forest, train_forest, tree_samples
 from txnrisk.operators.quantiles import exact_percentiles
 from txnrisk.plans import scoring, training
 from txnrisk.session import stage
@@ -88,10 +90,26 @@ def test_each_tree_takes_its_lowest_hashes(spark, n):
     rows = spark.range(n).select(F.concat(F.lit("T"), "id").alias("transaction_id"))
     cfg = RiskConfig(n_trees=4)
     drawn = tree_samples(rows, "transaction_id", n, cfg)
+    ids = [f"T{i}" for i in range(n)]
+    digests = [md5(f"{cfg.seed}:{i}".encode()).hexdigest() for i in ids]
     for tree in range(cfg.n_trees):
-        lowest = rows.orderBy(F.xxhash64(F.lit(cfg.seed), F.lit(tree), "transaction_id")).limit(256)
-        mine = drawn.where(F.col("tree_id") == tree).select("transaction_id")
-        assert mine.exceptAll(lowest).count() == 0 and mine.count() == 256
+        draws = [(int(d[:12], 16) + tree * int(d[12:24], 16)) % DRAWS for d in digests]
+        mine = drawn.where(F.col("tree_id") == tree).select("transaction_id").collect()
+        assert sorted(r[0] for r in mine) == sorted(i for _, i in sorted(zip(draws, ids))[:256])
+
+
+def test_draws_stay_below_a_prime_and_within_a_long():
+    assert all(DRAWS % k for k in range(2, 2**24 + 1))
+    assert 2**48 * RiskConfig().n_trees < 2**63
+
+
+def test_trees_take_different_rows(spark):
+    """Of 5,000 rows two trees share some 13; each row has the same chance in each."""
+    rows = spark.range(5000).select(F.concat(F.lit("T"), "id").alias("transaction_id"))
+    drawn = tree_samples(rows, "transaction_id", 5000, RiskConfig(n_trees=20))
+    taken = drawn.groupBy("tree_id").agg(F.collect_set("transaction_id")).collect()
+    shared = [len(set(a[1]) & set(b[1])) for a in taken for b in taken if a[0] < b[0]]
+    assert 10 < np.mean(shared) < 16.5 and max(shared) < 35
 
 
 def test_cut_is_widened_when_rows_were_overcounted(spark):

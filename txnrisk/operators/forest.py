@@ -1,13 +1,15 @@
 """Isolation forest (Liu, Ting and Zhou, ICDM 2008) with trees grown as Spark groups.
 
-Training needs only 256 rows per tree, picked by a hash of tree and row id, so the same data
-gives the same model whatever its partitioning. Trees are grown one per group of at most 256
-rows. The model is a small table of nodes; scoring ships it to the tasks as arrays.
+Training needs only 256 rows per tree, picked by a hash of tree and row id. Trees are grown one per
+group of at most 256 rows, and each node draws its feature and its split from a hash of its own. So
+the same data gives the same model whatever its partitioning, and any engine that has MD5 can grow
+it again. The model is a small table of nodes; scoring ships it to the tasks as arrays.
 """
 
 from __future__ import annotations
 
 import math
+from hashlib import md5
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,40 +30,60 @@ def average_path(n: np.ndarray | int) -> np.ndarray:
     return np.where(n > 2, value, np.where(n == 2, 1.0, 0.0))
 
 
+#: Draws of rows are numbers below this prime, the largest of 48 bits.
+DRAWS = 2**48 - 59
+
+
+def _row_hashes(row_id: str, seed: int) -> list[Column]:
+    """Two numbers of 48 bits from the digest of seed and row id."""
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.col(row_id).cast("string")).cast("binary"))
+    return [F.conv(F.substr(digest, F.lit(at), F.lit(12)), 16, 10).cast("bigint") for at in (1, 13)]
+
+
+def row_draw(first: Column, second: Column, tree_id: Column) -> Column:
+    """A row's draw in a tree: double hashing, so that a row is digested once for all trees."""
+    return (first + tree_id.cast("bigint") * second) % F.lit(DRAWS)
+
+
 def tree_samples(df: DataFrame, row_id: str, n_rows: int, cfg: RiskConfig) -> DataFrame:
-    """Rows with a ``tree_id``; each tree gets the ``min(max_samples, n_rows)`` rows of lowest hash.
+    """Rows with a ``tree_id``; each tree gets the ``min(max_samples, n_rows)`` rows of lowest draw.
 
-    Every tree draws from all rows, by a hash of its own. A cut on the hash thins the rows of each
-    tree to a little more than it takes while they are scanned, so what is written, ranked and
-    shuffled is bounded by the settings; the cut is widened until it lets enough through.
+    Every tree draws from all rows. A cut on the draw leaves each row the trees that may take it, before
+    the row is repeated for them, so what is written, ranked and shuffled is bounded by the settings; the
+    cut is widened until it lets enough through.
     """
     size = min(cfg.max_samples, n_rows)
-    draw = F.xxhash64(F.lit(cfg.seed), F.col("tree_id"), F.col(row_id))
-    offered = df.withColumn("tree_id", F.explode(F.sequence(F.lit(0), F.lit(cfg.n_trees - 1))))
+    trees = F.sequence(F.lit(0), F.lit(cfg.n_trees - 1))
+    first, second = _row_hashes(row_id, cfg.seed)
+    # Bound to a lambda's variable, the hashes are worked out once per row.
+    hashes = F.array(F.struct(first.alias("first"), second.alias("second")))
     share = (size + 6.0 * math.sqrt(size)) / max(n_rows, 1)
     while True:
-        cut = F.lit(min(-(2**63) + int(share * 2**64), 2**63 - 1))
-        thinned = stage(offered.where(draw <= cut), "forest-samples")
+        cut = F.lit(min(int(share * DRAWS), DRAWS))
+        taking = F.transform(hashes, lambda h: F.filter(trees, lambda t: row_draw(h["first"], h["second"], t) <= cut))
+        thinned = stage(df.withColumn("tree_id", F.explode(taking[0])), "forest-samples")
         held = thinned.groupBy("tree_id").count().where(F.col("count") >= size)
         if share >= 1.0 or held.count() == cfg.n_trees:
             break
         share *= 2.0
-    order = Window.partitionBy("tree_id").orderBy(draw, row_id)
+    order = Window.partitionBy("tree_id").orderBy(row_draw(first, second, F.col("tree_id")), row_id)
     return thinned.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= size).drop("_rank")
 
 
-def train_forest(df: DataFrame, row_id: str, features: tuple[str, ...], n_rows: int, cfg: RiskConfig) -> DataFrame:
-    """The model as a node table. Node 1 is the root; the children of node i are 2i and 2i + 1."""
-    size = min(cfg.max_samples, n_rows)
+def grower(features: tuple[str, ...], size: int, seed: int):
+    """The function that grows a tree on its rows. As a local function it reaches the tasks by value."""
     height = max(1, math.ceil(math.log2(max(size, 2))))
-    seed = cfg.seed
+    columns = MODEL.fieldNames()
+
+    def draw(tree_id: int, node: int) -> tuple[int, float]:
+        """A node's two draws: a number of 32 bits for its feature and one in [0, 1) for its split."""
+        digest = md5(f"{seed}:{tree_id}:{node}".encode()).hexdigest()
+        return int(digest[:8], 16), int(digest[8:20], 16) / 2**48
 
     def grow(tree: pd.DataFrame) -> pd.DataFrame:
         tree_id = int(tree["tree_id"].iloc[0])
-        points = tree.sort_values(row_id)[list(features)].to_numpy(dtype=float)
-        rng = np.random.default_rng([seed, tree_id])
         nodes = []
-        open_nodes = [(1, 0, points)]
+        open_nodes = [(1, 0, tree[list(features)].to_numpy(dtype=float))]
         while open_nodes:
             node, depth, held = open_nodes.pop()
             low, high = held.min(axis=0), held.max(axis=0)
@@ -69,15 +91,24 @@ def train_forest(df: DataFrame, row_id: str, features: tuple[str, ...], n_rows:
             if depth >= height or len(splittable) == 0:
                 nodes.append((tree_id, node, None, None, None, None, len(held), depth, size))
                 continue
-            f = rng.choice(splittable)
-            at = rng.uniform(low[f], high[f])
+            pick, part = draw(tree_id, node)
+            f = splittable[pick % len(splittable)]
+            at = low[f] + part * (high[f] - low[f])
+            if at >= high[f]:  # by rounding, where the two are next to each other
+                at = low[f]
             goes_left = held[:, f] <= at
             nodes.append((tree_id, node, features[f], at, 2 * node, 2 * node + 1, len(held), depth, size))
             open_nodes += [(2 * node + 1, depth + 1, held[~goes_left]), (2 * node, depth + 1, held[goes_left])]
-        out = pd.DataFrame(nodes, columns=MODEL.fieldNames())
+        out = pd.DataFrame(nodes, columns=columns)
         return out.astype({"split": "float64", "left": "Int32", "right": "Int32"})
 
+    return grow
+
+
+def train_forest(df: DataFrame, row_id: str, features: tuple[str, ...], n_rows: int, cfg: RiskConfig) -> DataFrame:
+    """The model as a node table. Node 1 is the root; the children of node i are 2i and 2i + 1."""
     samples = tree_samples(df.select(row_id, *features), row_id, n_rows, cfg)
+    grow = grower(features, min(cfg.max_samples, n_rows), cfg.seed)
     return samples.groupBy("tree_id").applyInPandas(grow, schema=MODEL)
 
 

@@ -477,14 +477,24 @@ def roc_auc(spark, sf_dir):
 # -- forest ----------------------------------------------------------------------------------
 
 
+def _rounded_mart(spark, sf_dir):
+    """The mart with z-scores of six digits, since sums in another order change their last ones."""
+    return stage(_mart(spark, sf_dir).withColumn("amount_zscore", six("amount_zscore")), "mart")
+
+
+def _scores(df):
+    return df.select("transaction_id", six(scoring.SCORE), "is_predicted_fraud", "risk_tier")
+
+
 def _forest(spark, sf_dir):
-    matrix = stage(mart.feature_matrix(_mart(spark, sf_dir)), "matrix")
+    matrix = stage(mart.feature_matrix(_rounded_mart(spark, sf_dir)), "matrix")
     return matrix, train_forest(matrix, "transaction_id", FEATURES, matrix.count(), CFG)
 
 
 @query
 def forest_nodes(spark, sf_dir):
-    return _forest(spark, sf_dir)[1]
+    nodes = _forest(spark, sf_dir)[1]
+    return nodes.select(*[six(c) if c == "split" else F.col(c) for c in nodes.columns])
 
 
 @query
@@ -498,26 +508,29 @@ def forest_tree_sizes(spark, sf_dir):
 def forest_scores(spark, sf_dir):
     matrix, nodes = _forest(spark, sf_dir)
     scored = stage(scoring.score_mart(spark, matrix, stage(nodes, "nodes"), CFG), "forest-scores")
-    flagged = scoring.with_predictions(scored, scoring.score_cuts(scored, CFG))
-    return flagged.select("transaction_id", scoring.SCORE, "is_predicted_fraud", "risk_tier")
+    return _scores(scoring.with_predictions(scored, scoring.score_cuts(scored, CFG)))
 
 
 @query
 def train_and_score(spark, sf_dir):
     """Both jobs end to end: gate, fit, register, load the latest version, score, store."""
     layout = Layout(new_folder(spark, "runs"))
-    rows = stage(_mart(spark, sf_dir), "mart")
+    rows = _rounded_mart(spark, sf_dir)
     training.training_job(spark, rows, layout, CFG, "train-1")
-    stored = scoring.scoring_job(spark, rows, layout, CFG, "score-1")
-    return stored.select("transaction_id", scoring.SCORE, "is_predicted_fraud", "risk_tier")
+    return _scores(scoring.scoring_job(spark, rows, layout, CFG, "score-1"))
 
 
 @query
 def training_run_log(spark, sf_dir):
-    """Parameters and evaluation that a training run records."""
+    """Parameters (``value``) and evaluation (``measure``) that a training run records."""
     layout = Layout(new_folder(spark, "runs"))
-    training.training_job(spark, stage(_mart(spark, sf_dir), "mart"), layout, CFG, "train-1")
-    return read_runs(spark, layout.run_metrics).select("run_id", "kind", "name", "value")
+    training.training_job(spark, _rounded_mart(spark, sf_dir), layout, CFG, "train-1")
+    is_param = F.col("kind") == "param"
+    return read_runs(spark, layout.run_metrics).select(
+        "run_id", "kind", "name",
+        F.when(is_param, F.col("value")).alias("value"),
+        six(F.when(~is_param, F.col("value")).cast("double"), "measure"),
+    )
 
 
 # -- streams ---------------------------------------------------------------------------------

@@ -129,6 +129,121 @@ _TOTALS = """
   round(count(*) filter (where is_fraud) / cast(count(*) as double), 6) as actual_fraud_rate"""
 
 
+#: The model's features in its order; a node picks among them by position.
+FEATURE_LIST = """['amount', 'amount_zscore', 'velocity_1h', 'is_high_risk_hour', 'is_high_risk_country',
+  'is_high_risk_category', 'card_not_present', 'fraud_risk_score', 'transaction_hour', 'transaction_dow']"""
+N_FEATURES = 10
+
+
+def _number(digest: str, at: int, length: int) -> str:
+    return f"cast('0x' || substr({digest}, {at}, {length}) as bigint)"
+
+
+def _each(expression: str) -> str:
+    """A list with the expression for each feature's value, written ``?``."""
+    return "[" + ", ".join(expression.replace("?", f"x[{i}]") for i in range(1, N_FEATURES + 1)) + "]"
+
+
+# Each of 100 trees takes the 256 rows of lowest draw. A node picks one of the features that differ among
+# its rows, and a split between that feature's extremes, by its own digest.
+FOREST = f"""points as (
+  select transaction_id, is_fraud, [amount, amount_zscore, velocity_1h, is_high_risk_hour, is_high_risk_country,
+    is_high_risk_category, card_not_present, fraud_risk_score, transaction_hour, transaction_dow] as x,
+    md5('42:' || transaction_id) as digest from mart),
+shape as (select least(256, count(*)) as size, greatest(1, ceil(log2(greatest(2, least(256, count(*)))))) as height from points),
+samples as (
+  select * from (
+    select tree_id, transaction_id, x, row_number() over (partition by tree_id order by
+      ({_number("digest", 1, 12)} + tree_id * {_number("digest", 13, 12)}) % 281474976710597, transaction_id) as rn
+    from points, (select unnest(range(100)) as tree_id))
+  where rn <= (select size from shape)),
+placed as (
+  select tree_id, 1 as node_id, 0 as depth, transaction_id, x from samples
+  union all
+  select tree_id, case when x[f] <= split then 2 * node_id else 2 * node_id + 1 end, depth + 1, transaction_id, x
+  from (
+    select *, case when low[f] + part * (high[f] - low[f]) >= high[f] then low[f]
+                   else low[f] + part * (high[f] - low[f]) end as split
+    from (
+      select *, differing[1 + {_number("digest", 1, 8)} % len(differing)] as f,
+             {_number("digest", 9, 12)} / 281474976710656.0::double as part
+      from (
+        select *, md5(concat_ws(':', 42, tree_id, node_id)) as digest,
+               list_filter(range(1, {N_FEATURES + 1}), lambda i: low[i] < high[i]) as differing
+        from (
+          select *, {_each("min(?) over g")} as low, {_each("max(?) over g")} as high from placed
+          where depth < (select height from shape)
+          window g as (partition by tree_id, node_id)))
+      where len(differing) > 0)))"""
+
+NODES = f"""held as (
+  select tree_id, node_id, any_value(depth) as depth, count(*) as n_rows, {_each("min(?)")} as low, {_each("max(?)")} as high,
+    md5(concat_ws(':', 42, tree_id, node_id)) as digest
+  from placed group by tree_id, node_id),
+picked as (
+  select held.*, list_filter(range(1, {N_FEATURES + 1}), lambda i: low[i] < high[i] and depth < height) as differing
+  from held, shape),
+cut_at as (
+  select *, case when len(differing) > 0 then differing[1 + {_number("digest", 1, 8)} % len(differing)] end as f,
+    {_number("digest", 9, 12)} / 281474976710656.0::double as part from picked),
+nodes as materialized (
+  select tree_id, node_id, f, depth, n_rows as size,
+    case when low[f] + part * (high[f] - low[f]) >= high[f] then low[f] else low[f] + part * (high[f] - low[f]) end as split
+  from cut_at)"""
+
+
+def _path(n: str) -> str:
+    """Expected depth of an unsuccessful search among n points."""
+    return f"""case when {n} > 2 then 2 * (ln({n} - 1) + 0.5772156649015329) - 2.0::double * ({n} - 1) / {n}
+      when {n} = 2 then 1 else 0 end"""
+
+
+# Paths are summed in the order of the trees, as sums in another order differ in their last digits.
+FOREST_SCORED = f"""walk as (
+  select transaction_id, x, tree_id, 1 as node_id from points, (select unnest(range(100)) as tree_id)
+  union all
+  select transaction_id, x, w.tree_id, case when x[f] <= split then 2 * w.node_id else 2 * w.node_id + 1 end
+  from walk w join nodes n on n.tree_id = w.tree_id and n.node_id = w.node_id and f is not null),
+paths as (
+  select transaction_id, w.tree_id, depth + {_path("size")} as path
+  from walk w join nodes n on n.tree_id = w.tree_id and n.node_id = w.node_id and f is null),
+scored as materialized (
+  select transaction_id, is_fraud, -pow(2.0::double, -total / 100 / (select {_path("size")} from shape)) as anomaly_score
+  from (select transaction_id, list_sum(list(path order by tree_id)) as total from paths group by transaction_id)
+  join points using (transaction_id)),
+cuts as (
+  select quantile_cont(anomaly_score, 0.02) as p2, quantile_cont(anomaly_score, 0.10) as p10,
+         quantile_cont(anomaly_score, 0.25) as p25 from scored),
+flagged as (
+  select transaction_id, is_fraud, anomaly_score, anomaly_score < (select p2 from cuts) as is_predicted_fraud,
+         case when anomaly_score <= (select p10 from cuts) then 'high'
+              when anomaly_score <= (select p25 from cuts) then 'medium' else 'low' end as risk_tier
+  from scored)"""
+
+# Mann-Whitney: the sum of the positives' mid-ranks.
+AUC = """ranked as (
+  select is_fraud, rank() over (order by -anomaly_score)
+         + (count(*) over (partition by anomaly_score) - 1) / 2.0 as mid_rank from scored),
+sums as (
+  select sum(case when is_fraud then mid_rank end) as r, cast(count(*) filter (where is_fraud) as double) as p,
+         cast(count(*) filter (where not is_fraud) as double) as n from ranked)"""
+CONFUSED = """c as (
+  select cast(count(*) filter (where is_fraud and is_predicted_fraud) as double) as tp,
+         count(*) filter (where not is_fraud and is_predicted_fraud) as fp,
+         count(*) filter (where is_fraud and not is_predicted_fraud) as fn,
+         count(*) as n_samples, count(*) filter (where is_fraud) as n_fraud,
+         count(*) filter (where not is_fraud) as n_legit
+  from flagged)"""
+PRECISION = "round(case when tp + fp = 0 then 0 else tp / (tp + fp) end, 6)"
+RECALL = "round(case when tp + fn = 0 then 0 else tp / (tp + fn) end, 6)"
+F1 = "round(case when 2 * tp + fp + fn = 0 then 0 else 2 * tp / (2 * tp + fp + fn) end, 6)"
+ROC_AUC = "round((r - p * (p + 1) / 2) / (p * n), 6)"
+
+_GROWN = "with recursive " + ", ".join((SILVER, GOLD, MART, FOREST, NODES))
+_FOREST_SCORES = f"""{_GROWN}, {FOREST_SCORED}
+  select transaction_id, round(anomaly_score, 6) + 0.0 as anomaly_score, is_predicted_fraud, risk_tier from flagged"""
+
+
 def _late(step: int, most_ms: int) -> str:
     return f"cast(offset_no * {step} % {most_ms} as double) / 1000"
 
@@ -235,31 +350,30 @@ ORACLE: dict[str, str] = {
     "top_risk_sample": _with(SILVER, GOLD, SCORED)
     + """select transaction_id, customer_id, amount, anomaly_score, risk_tier, is_fraud from flagged
          where risk_tier = 'high' order by anomaly_score, transaction_id limit 10""",
-    "classification_metrics": _with(SILVER, GOLD, SCORED)
-    + """, c as (
-            select cast(count(*) filter (where is_fraud and is_predicted_fraud) as double) as tp,
-                   count(*) filter (where not is_fraud and is_predicted_fraud) as fp,
-                   count(*) filter (where is_fraud and not is_predicted_fraud) as fn,
-                   count(*) as n_samples, count(*) filter (where is_fraud) as n_fraud,
-                   count(*) filter (where not is_fraud) as n_legit
-            from flagged)
-          select round(case when tp + fp = 0 then 0 else tp / (tp + fp) end, 6) as precision,
-                 round(case when tp + fn = 0 then 0 else tp / (tp + fn) end, 6) as recall,
-                 round(case when 2 * tp + fp + fn = 0 then 0 else 2 * tp / (2 * tp + fp + fn) end, 6) as f1,
-                 n_samples, n_fraud, n_legit
-          from c""",
+    "classification_metrics": _with(SILVER, GOLD, SCORED, CONFUSED)
+    + f"select {PRECISION} as precision, {RECALL} as recall, {F1} as f1, n_samples, n_fraud, n_legit from c",
     "confusion_matrix": _with(SILVER, GOLD, SCORED)
     + """select cast(is_fraud as integer) as label, cast(is_predicted_fraud as integer) as predicted,
                 count(*) as n_rows from flagged group by 1, 2""",
-    # Mann-Whitney: the sum of the positives' mid-ranks.
-    "roc_auc": _with(SILVER, GOLD, SCORED)
-    + """, ranked as (
-            select is_fraud, rank() over (order by -anomaly_score)
-                   + (count(*) over (partition by anomaly_score) - 1) / 2.0 as mid_rank from scored),
-          sums as (
-            select sum(case when is_fraud then mid_rank end) as r, cast(count(*) filter (where is_fraud) as double) as p,
-                   cast(count(*) filter (where not is_fraud) as double) as n from ranked)
-          select round((r - p * (p + 1) / 2) / (p * n), 6) as roc_auc from sums""",
+    "roc_auc": _with(SILVER, GOLD, SCORED, AUC) + f"select {ROC_AUC} as roc_auc from sums",
+    "forest_nodes": f"""{_GROWN}
+          select cast(tree_id as integer) as tree_id, cast(node_id as integer) as node_id, {FEATURE_LIST}[f] as feature,
+            round(split, 6) + 0.0 as split,
+            cast(case when f is not null then 2 * node_id end as integer) as "left",
+            cast(case when f is not null then 2 * node_id + 1 end as integer) as "right",
+            size, cast(depth as integer) as depth, (select size from shape) as sample_size from nodes""",
+    "forest_scores": _FOREST_SCORES,
+    "train_and_score": _FOREST_SCORES,
+    "training_run_log": f"""{_GROWN}, {FOREST_SCORED}, {CONFUSED}, {AUC}, logged as (
+            select 'metric' as kind, unnest(['precision', 'recall', 'f1', 'n_samples', 'n_fraud', 'n_legit', 'roc_auc']) as name,
+              cast(null as varchar) as value,
+              unnest([{PRECISION}, {RECALL}, {F1}, n_samples, n_fraud, n_legit, {ROC_AUC}]) as measure
+            from c, sums
+            union all
+            select 'param', unnest(['model_type', 'contamination', 'n_estimators', 'max_samples', 'random_state', 'n_features',
+                'features']),
+              unnest(['IsolationForest', '0.02', '100', '256', '42', '10', array_to_string({FEATURE_LIST}, ',')]), null)
+          select 'train-1' as run_id, kind, name, value, measure from logged""",
     "forest_tree_sizes": _with(SILVER)
     + """, n as (select least(256, count(*)) as size from silver)
           select cast(t as integer) as tree_id, size, size as sample_size
