@@ -1,9 +1,14 @@
+from unittest import mock
+
 import numpy as np
+import pandas as pd
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
-from txnrisk.operators.quantiles import exact_percentiles
+from txnrisk.operators.quantiles import SKETCH_MARGIN, exact_percentiles
+from txnrisk.session import staged
 
 
 def percentiles(spark, values, fractions, **how):
@@ -56,3 +61,50 @@ def test_infinities_and_nan_stand_at_the_ends(spark):
 
 def test_span_beyond_a_double(spark):
     assert percentiles(spark, [-1.7e308, -1.0, 2.0, 1.7e308], [0.0, 1 / 3, 0.5, 1.0], bins=4) == [-1.7e308, -1.0, 0.5, 1.7e308]
+
+
+def many(spark, n):
+    """Values close to each other, far apart, and one that a third of the rows have."""
+    i = F.col("id")
+    spread = F.when(i % 3 == 0, -0.25).when(i % 3 == 1, (i * 7919 % 1_000_003).cast("double")).otherwise(1.0 / (i + 1))
+    return spark.range(n, numPartitions=8).select(spread.alias("x"))
+
+
+def test_the_column_is_scanned_twice(spark):
+    rows, seen = many(spark, 60_000), spark.sparkContext.accumulator(0)
+
+    @F.pandas_udf("double")
+    def watched(x: pd.Series) -> pd.Series:
+        seen.add(len(x))
+        return x
+
+    # Not deterministic, so that a scan calls it once per row, not once more for the filter on nulls.
+    column = rows.select(watched.asNondeterministic()("x").alias("x"))
+    got = exact_percentiles(column, "x", [0.02, 0.10, 0.25, 0.5, 0.9, 0.999], bins=16)
+    assert seen.value == 2 * 60_000
+    values = [r[0] for r in rows.collect()]
+    assert got == pytest.approx(np.quantile(values, [0.02, 0.10, 0.25, 0.5, 0.9, 0.999]).tolist(), rel=1e-12)
+
+
+def test_few_rows_are_written_aside(spark):
+    rows = many(spark, 60_000).cache()
+    asides = []
+
+    def watched(df, label):
+        asides.append(df.select(F.count("x")).first()[0])
+        return staged(df, label)
+
+    with mock.patch("txnrisk.operators.quantiles.staged", watched):
+        exact_percentiles(rows, "x", [0.4, 0.8])
+    rows.unpersist()
+    # Two stretches of at most twice the margin each, and the sketch's error at their ends.
+    assert len(asides) == 1 and asides[0] < 60_000 * 2 * 3 * SKETCH_MARGIN
+
+
+def test_a_misleading_sketch_only_costs_another_scan(spark):
+    rows = many(spark, 20_000)
+    values = [r[0] for r in rows.collect()]
+    wrong = mock.patch("txnrisk.operators.quantiles.SKETCH_MARGIN", 1e-6)
+    with wrong:
+        got = exact_percentiles(rows, "x", [0.37, 0.5, 0.83])
+    assert got == pytest.approx(np.quantile(values, [0.37, 0.5, 0.83]).tolist(), rel=1e-12)

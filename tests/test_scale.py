@@ -16,6 +16,7 @@ from txnrisk.config import Layout, RiskConfig
 from txnrisk.operators.rolling import Trailing, with_trailing_stats
 from txnrisk.plans import gold
 from txnrisk.plans import silver as silver_layer
+from txnrisk.plans.catalog import QUERIES
 from txnrisk.session import shared_dir, stage
 from txnrisk.sources.tables import current_view
 
@@ -142,3 +143,12 @@ def test_tasks_do_not_need_the_package(tmp_path):
         [sys.executable, str(script)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300
     )
     assert "rows 960" in done.stdout, done.stderr[-2000:]
+
+
+def test_rolling_features_evaluate_their_input_once(spark):
+    """The records are built, checked and made unique once; the totals read four columns of the result."""
+    plan = QUERIES["gold_features"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    read = re.findall(r"ReadSchema: struct<([^>]*)>", plan)
+    assert "events.parquet" not in plan and "from_json" not in plan and len(read) == 2
+    narrow = min(read, key=len)
+    assert {c.split(":")[0] for c in narrow.split(",")} == {"transaction_id", "customer_id", "amount", "transaction_time"}

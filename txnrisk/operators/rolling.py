@@ -129,5 +129,9 @@ def trailing_stats(
 
 
 def with_trailing_stats(rows: DataFrame, entity: str, second: str, **spec) -> DataFrame:
-    """``rows`` with the columns of :func:`trailing_stats` joined on; no row is lost or added."""
+    """``rows`` with the columns of :func:`trailing_stats` joined on; no row is lost or added.
+
+    ``rows`` should be a stored table: it is read twice, for the totals (the entity, time and value
+    columns only) and for the rows themselves.
+    """
     return rows.join(trailing_stats(rows, entity, second, **spec), [entity, second], "left")
