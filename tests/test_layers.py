@@ -256,3 +256,20 @@ def test_mart_table(spark, layout, tmp_path):
         )
     finally:
         spark.sql("drop database mart_db cascade")
+
+
+def test_read_files_are_archived(spark, layout, tmp_path):
+    """The folder of messages does not grow with the batches, over a restart too, and no message is lost or doubled."""
+    queue, archive = tmp_path / "queue", tmp_path / "done" / "messages"
+    cfg, files = RiskConfig(max_files_per_trigger=1, archive=str(archive)), 0
+    for run in range(2):
+        for _ in range(8):
+            message = {k: v for k, v in txn(files, files * 60).items() if k != "offset"}
+            envelope(spark, [message], files).coalesce(1).write.mode("append").parquet(str(queue))
+            files += 1
+        layers.start_bronze(queue_files(spark, str(queue), cfg), layout, None).awaitTermination()
+        left, moved = ({f.name for f in where.rglob("part-*.parquet")} for where in (queue, archive))
+        assert len(left | moved) == files and not left & moved
+        assert len(left) <= 2 * (run + 1)
+    rows = spark.read.schema(schemas.bronze()).parquet(layout.bronze)
+    assert sorted(r.offset for r in rows.select("offset").collect()) == list(range(files))

@@ -57,12 +57,14 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--min-partitions", type=int, help="read tasks per Bronze batch, at least")
     parser.add_argument("--watermark", help="drop rows later than this and repeats in Silver's stream, as '10 minutes'")
     parser.add_argument("--max-files", type=int, help="files per batch where messages are read from files")
+    parser.add_argument("--archive", help="folder that files of messages move to once they are committed")
     args = parser.parse_args(argv)
     limits = {
         "max_offsets_per_trigger": args.max_offsets,
         "queue_min_partitions": args.min_partitions,
         "max_files_per_trigger": args.max_files,
         "watermark": args.watermark,
+        "archive": args.archive,
     }
 
     logging.basicConfig(level=logging.INFO)

@@ -65,6 +65,8 @@ class RiskConfig:
     max_files_per_trigger: int | None = None
     # File streams skip files much older than the newest one read; backfills must not be skipped.
     max_file_age: str = MAX_FILE_AGE
+    # Folder that message files move to once their batch is committed, so that listings do not grow.
+    archive: str | None = None
 
     min_amount: float = MIN_AMOUNT
     max_amount: float = MAX_AMOUNT

@@ -25,10 +25,17 @@ def queue_stream(spark: SparkSession, cfg: RiskConfig) -> DataFrame:
 
 
 def queue_files(spark: SparkSession, path: str, cfg: RiskConfig) -> DataFrame:
-    """Stream parquet files that carry the queue's seven columns."""
+    """Stream parquet files that carry the queue's seven columns.
+
+    With ``cfg.archive``, a folder outside ``path`` on the same file system, files move there after
+    their batch is committed and the next one begun. So each trigger lists new files and those of the
+    last batches only (a run that ends leaves its last files); no other reader should then use ``path``.
+    """
     reader = spark.readStream.schema(QUEUE).option("maxFileAge", cfg.max_file_age)
     if cfg.max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", cfg.max_files_per_trigger)
+    if cfg.archive:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", cfg.archive)
     return reader.parquet(path)
 
 
