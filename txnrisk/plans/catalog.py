@@ -157,6 +157,19 @@ def bronze_quarantine(spark, sf_dir):
     return rows.select(*RECORD_COLUMNS, "partition", "offset", has_raw)
 
 
+@query
+def quarantine_written(spark, sf_dir):
+    """What Bronze's writer sets apart, read back: records without a required field, and messages that are no JSON."""
+    layout = Layout(new_folder(spark, "quarantine"))
+    layers.bronze_batch(layout)(events.rough_envelopes(spark, sf_dir), 0)
+    no_json = F.col("raw_value").startswith("{bad")
+    return spark.read.json(layout.bronze_quarantine, schema=schemas.bronze().add("raw_value", "string")).select(
+        "transaction_id", "customer_id", "amount", "partition", "offset",
+        events.iso_time("kafka_timestamp").alias("kafka_time"),
+        F.when(no_json, F.col("raw_value")).alias("raw_value"),
+    )
+
+
 @query
 def bronze_batch_metrics(spark, sf_dir):
     counted = bronze.batch_metrics(_decoded(spark, sf_dir))
@@ -186,6 +199,19 @@ def silver_rule_counts(spark, sf_dir):
     return validation.rule_counts(_split(spark, sf_dir)[1])
 
 
+@query
+def silver_rules_broken(spark, sf_dir):
+    """Rows that break each of the six rules, in records of which some break any."""
+    return validation.rule_counts(silver.split(events.rough_bronze_rows(spark, sf_dir), CFG)[1])
+
+
+@query
+def silver_rows_broken(spark, sf_dir):
+    """The rejected rows themselves, with the rules each breaks."""
+    invalid = silver.split(events.rough_bronze_rows(spark, sf_dir), CFG)[1]
+    return invalid.select("offset", "amount", "customer_id", F.array_join("failed_rules", ",").alias("failed_rules"))
+
+
 @query
 def silver_dedup(spark, sf_dir):
     return show(_silver(spark, sf_dir), *RECORD_COLUMNS, "partition", "offset")

@@ -96,6 +96,24 @@ GOLD_FIELDS = """velocity_1h, round(z, 6) + 0.0 as amount_zscore, is_high_risk_h
 REQUIRED = "transaction_id is not null and customer_id is not null and amount is not null"
 
 
+# Records that break every rule of Silver, and messages that are no JSON.
+ROUGH = f"""{RECORDS}, rough as (
+  select offset_no, transaction_id, currency,
+    case when offset_no % 103 = 0 then 0 when offset_no % 107 = 0 then 50000.01 when offset_no % 109 = 0 then null
+         else amount end as amount,
+    case when offset_no % 113 <> 0 then customer_id end as customer_id,
+    offset_no % 127 <> 0 and merchant_id is not null as has_merchant,
+    offset_no % 131 <> 0 and offset_no % 137 <> 0 and ts is not null as has_time
+  from rec),
+broken as (
+  select offset_no, amount, customer_id, list_filter([
+      case when not coalesce(amount >= 0.01::double and amount <= 50000, false) then 'amount' end,
+      case when not coalesce(currency = 'AUD', false) then 'currency' end,
+      case when transaction_id is null then 'transaction_id' end, case when customer_id is null then 'customer_id' end,
+      case when not has_merchant then 'merchant_id' end, case when not has_time then 'transaction_time' end],
+    lambda r: r is not null) as rules
+  from rough)"""
+
 FILE = """least(4, offset_no * 5 // ((select max(event_id) from events) + 1) + case when offset_no % 17 = 5 then 2 else 0 end)"""
 # A row is late if it is ten minutes or more older than the latest valid row of the files up to the last but one;
 # when the streams are stopped, after the third file, the mark moves up to that file. A transaction is known
@@ -273,6 +291,17 @@ ORACLE: dict[str, str] = {
             union all select 'currency' from rec where not coalesce(currency = 'AUD', false)
             union all select 'transaction_id' from rec where transaction_id is null)
           select rule, count(*) as n_rows from broken group by rule""",
+    "quarantine_written": _with(RECORDS)
+    + f"""select case when offset_no % 139 <> 0 then transaction_id end as transaction_id,
+            case when offset_no % 139 <> 0 then customer_id end as customer_id,
+            case when offset_no % 139 <> 0 then amount end as amount, partition, offset_no as "offset",
+            transaction_time as kafka_time, case when offset_no % 139 = 0 then concat('{{bad ', offset_no) end as raw_value
+          from rec where offset_no % 139 = 0 or not ({REQUIRED})""",
+    "silver_rules_broken": _with(ROUGH)
+    + "select rule, count(*) as n_rows from (select unnest(rules) as rule from broken) group by rule",
+    "silver_rows_broken": _with(ROUGH)
+    + """select offset_no as "offset", amount, customer_id, array_to_string(rules, ',') as failed_rules
+         from broken where len(rules) > 0""",
     "silver_dedup": _with(SILVER) + f"select {FIELDS}, {POSITION} from silver",
     "silver_upsert": _UPSERTED_ROWS,
     "gold_velocity_1h": _with(SILVER, GOLD) + "select transaction_id, customer_id, velocity_1h from gold",

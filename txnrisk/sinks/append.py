@@ -19,10 +19,11 @@ def append_batch(df: DataFrame, path: str, *partitions: str) -> None:
 
 
 def quarantine_batch(df: DataFrame, path: str, partition: str = "batch_id") -> None:
-    """Append rejected rows as JSON lines, with the same replay rule."""
+    """Append rejected rows as JSON lines, with the same replay rule. Times keep their microseconds."""
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
+        .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
         .partitionBy(partition)
         .json(path)
     )

@@ -71,3 +71,24 @@ def bronze_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The records as Bronze holds them (text time, arrival stamp), without the JSON round trip."""
     r = records(spark, sf_dir).withColumn("kafka_timestamp", F.col("transaction_time"))
     return as_text_time(r)
+
+
+def rough_bronze_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`bronze_rows` with amounts off the range, missing names and unreadable times: all rules are broken."""
+    i = F.col("offset")
+    amount = F.when(i % 103 == 0, 0.0).when(i % 107 == 0, 50_000.01).when(i % 109 == 0, None).otherwise(F.col("amount"))
+    time = F.when(i % 131 == 0, "not a time").when(i % 137 == 0, None).otherwise(F.col("transaction_time"))
+    return bronze_rows(spark, sf_dir).withColumns(
+        {
+            "amount": amount,
+            "customer_id": F.when(i % 113 != 0, F.col("customer_id")),
+            "merchant_id": F.when(i % 127 != 0, F.col("merchant_id")),
+            "transaction_time": time,
+        }
+    )
+
+
+def rough_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`envelopes` in which some messages are not JSON."""
+    bad = F.concat(F.lit("{bad "), F.col("offset").cast("string")).cast("binary")
+    return envelopes(spark, sf_dir).withColumn("value", F.when(F.col("offset") % 139 == 0, bad).otherwise(F.col("value")))
