@@ -51,7 +51,8 @@ def test_words_give_the_librarys_ids_of_the_whole_text(monkeypatch):
     whole = Tokenizer.from_str(DEFINITION)
     texts = [
         "", " ", "It's  the cat's\tDON'T\n\n12345 x\x0by", "é é ́x   ab\x1cc\x85d", "日本 語 😀😀", "<|endoftext|> a<|endoftext|>b",
-        "ΣΑΣ ßẞ İI", "Word, WORD; <|Word. É.é!ü?x) y)., 1. 2.3 ²! a'S. n't?", "word. " * 50 + "İ.", "word " * 3000, "x" * 5000, "﻿a ​b", " ".join(f"w{i}" for i in range(4000)),
+        "ΣΑΣ ßẞ İI", "Word, WORD; <|Word. É.é!ü?x) y)., 1. 2.3 ²! a'S. n't?", "word. " * 50 + "İ.", "word " * 3000, "x" * 5000, "﻿a ​b",
+        "word$$$ é%%% a_ a__b x<| y|> 1@# ÀÖ×÷ß- it's'. a'$ 's! 'S? ª. µ; ÿ) (a) [É] a\\ \"Ô\" ``a`` ~ ^a^ A-B- ½. ①! a\xad. \xa0b, c\xa0.", " ".join(f"w{i}" for i in range(4000)),
     ]
     want = [whole.encode(t, add_special_tokens=False).ids for t in texts]
     for step in (1 << 20, 700):

@@ -10,6 +10,8 @@ whatever store the folder lies. What precedes a shard is summed over the shards'
 from __future__ import annotations
 
 import json
+import re
+import string
 import zlib
 from collections.abc import Iterator
 
@@ -32,8 +34,13 @@ SHARD_TOKENS = 4 << 20
 STEP_BYTES = 6 << 20
 #: Words whose ids a task keeps; above that it starts anew, which changes no id.
 MOST_WORDS = 500_000
-#: Marks that end a word; no apostrophe, which may begin one.
-MARKS = ".,;:!?"
+#: Marks that end a word: ASCII punctuation but for the apostrophe, which may begin one.
+MARKS = string.punctuation.replace("'", "")
+#: Letters up to U+00FF that have one lower case each and don't combine; a word of them, and what marks may follow.
+LETTERS = "^[A-Za-zÀ-ÖØ-öø-ÿ]+$"
+ENDED = "[0-9A-Za-zÀ-ÖØ-öø-ÿ]$"
+#: Words that the library gets at a time.
+WORDS = 4096
 #: Shards of a range are numbered from the range's number times this.
 PER_RANGE = 1 << 32
 #: Ranges whose sizes are summed in one group.
@@ -61,123 +68,123 @@ def splits_words(definition: dict) -> bool:
 
 
 def passes_words(definition: dict) -> bool:
-    """Whether the rules pass a word of a-z on to the model unchanged and whole."""
+    """Whether the rules pass a word of letters up to U+00FF on to the model whole, in lower case, byte by byte."""
     steps = {x.get("type") for x in (definition.get("normalizer") or {}).get("normalizers", [])}
-    cut = [x.get("type") for x in (definition.get("pre_tokenizer") or {}).get("pretokenizers", [])]
-    return splits_words(definition) and steps <= {"NFC", "Replace", "Lowercase"} and cut == ["Split", "ByteLevel"]
+    cut = (definition.get("pre_tokenizer") or {}).get("pretokenizers", [])
+    if not splits_words(definition) or not steps <= {"NFC", "Replace", "Lowercase"}:
+        return False
+    return [x.get("type") for x in cut] == ["Split", "ByteLevel"] and not cut[1].get("add_prefix_space") and not cut[1].get("use_regex")
 
 
 class Encoder:
     """Ids by the library, word by word: its rules never join what ASCII white space divides.
 
     Nor do they join a letter or digit and punctuation, or tell A-Z from a-z; so words are taken without case
-    and end marks, and each is encoded once. Where the file's rules leave plain words as they are, these go
-    to its model directly. :func:`splits_words` says which files have such rules.
+    and end marks, and each is encoded once. Where the file's rules leave words of plain letters whole, these go
+    to its model directly. :func:`splits_words` says which files have such rules. The known words and their
+    ids are kept in arrays and looked up together.
     """
 
     def __init__(self, definition: str):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_str(definition)
         if not splits_words(json.loads(definition)):
             raise ValueError("words can't be encoded apart by this file's rules")
-        self.passes = passes_words(json.loads(definition))
+        self.model = None
+        if passes_words(json.loads(definition)):
+            self.model = Tokenizer(self.tokenizer.model)
+            self.model.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        # Bytes that are no visible sign stand for themselves by the alphabet's further signs, in order.
+        alphabet = set(pre_tokenizers.ByteLevel.alphabet())
+        hidden = [b for b in range(256) if chr(b) not in alphabet]
+        self.signs = np.arange(256, dtype="<u4")
+        self.signs[hidden] = sorted(ord(c) for c in alphabet if ord(c) > 255)
+        self.signs[ord(" ")] = ord(" ")
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=bool)
         self.ends[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[bytes, int] = {b"": 0}
-        self.learned = 1
-        self.flat, self.size = [np.empty(0, np.uint32)], [np.zeros(1, np.int64)]
-
-    def _learn(self, words: list[bytes], ids: np.ndarray, sizes: np.ndarray) -> None:
-        self.known.update(zip(words, range(self.learned, self.learned + len(words))))
-        self.learned += len(words)
-        self.flat.append(ids)
-        self.size.append(sizes)
-
-    def _one_by_one(self, words: list[bytes]) -> None:
-        for at in range(0, len(words), 4096):
-            part = words[at : at + 4096]
-            found = [e.ids for e in self.tokenizer.encode_batch_fast([w.decode("utf-8") for w in part], add_special_tokens=False)]
-            self._learn(part, np.array([i for x in found for i in x], np.uint32), np.array([len(x) for x in found], np.int64))
-
-    def _by_model(self, words: list[bytes]) -> None:
-        """Words of a-z, which the library's normalizer and splitter pass on as they are."""
-        tokenize = self.tokenizer.model.tokenize
-        for at in range(0, len(words), 4096):
-            part = words[at : at + 4096]
-            found = [[t.id for t in tokenize(w.decode("ascii"))] for w in part]
-            self._learn(part, np.array([i for x in found for i in x], np.uint32), np.array([len(x) for x in found], np.int64))
-
-    def _together(self, words: list[bytes]) -> None:
-        """Words of letters only, as one text; it is cut where the vocabulary marks a word's end."""
-        for at in range(0, len(words), 4096):
-            part = words[at : at + 4096]
-            [found] = self.tokenizer.encode_batch_fast([b" ".join(part).decode("utf-8")], add_special_tokens=False)
-            ids = np.array(found.ids, np.uint32)
-            last = np.flatnonzero(self.ends[ids])
-            if len(last) == len(part) and last[-1] == len(ids) - 1:
-                self._learn(part, ids, np.diff(last, prepend=-1).astype(np.int64))
-            else:
-                self._one_by_one(part)
-
-    def _numbers(self, chunks: list[bytes]) -> list[int]:
+        self.words = pa.array([""], pa.large_utf8())
+        self.flat, self.size = np.empty(0, np.uint32), np.zeros(1, np.int64)
+
+    def _learn(self, words: pa.Array, ids: np.ndarray, sizes: np.ndarray) -> None:
+        self.words = pa.concat_arrays([self.words, words])
+        self.flat, self.size = np.concatenate([self.flat, ids]), np.concatenate([self.size, sizes])
+
+    def _find(self, words: pa.Array) -> pa.Array:
+        """The words' numbers, null if unknown."""
+        return pc.index_in(words, value_set=self.words)
+
+    def _one_by_one(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The words' ids by the whole of the library's rules, and their number per word."""
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(words.to_pylist(), add_special_tokens=False)]
+        return np.array([i for x in found for i in x], np.uint32), np.array([len(x) for x in found], np.int64)
+
+    def _together(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The same for words of plain letters, as one text; it is cut where the vocabulary marks a word's end."""
+        whole = pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words)
+        [text] = pc.binary_join(whole, pa.scalar(" ", pa.large_utf8())).to_pylist()
+        if self.model is None:
+            [found] = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
+        else:
+            signs = self.signs[np.frombuffer(text.lower().encode("utf-8"), np.uint8)]
+            [found] = self.model.encode_batch_fast([signs.tobytes().decode("utf-32-le")], add_special_tokens=False)
+        ids = np.array(found.ids, np.uint32)
+        last = np.flatnonzero(self.ends[ids])
+        if len(last) != len(words) or last[-1] != len(ids) - 1:
+            return self._one_by_one(words)
+        return ids, np.diff(last, prepend=-1).astype(np.int64)
+
+    def _add(self, words: pa.Array, encode) -> None:
+        found = [encode(words.slice(at, WORDS)) for at in range(0, len(words), WORDS)]
+        if found:
+            self._learn(words, *map(np.concatenate, zip(*found)))
+
+    def _numbers(self, chunks: pa.Array) -> np.ndarray:
         """The numbers of the chunks' ids; unknown words are encoded first, then put together."""
-        known = self.known
-        plain: dict[bytes, None] = {}
-        letters: dict[bytes, None] = {}
-        others: dict[bytes, None] = {}
-        ended = []
-        new = [c for c in chunks if c not in known]
-        cores = pc.utf8_rtrim(pa.array(new, pa.large_binary()).view(pa.large_utf8()), MARKS).cast(pa.large_binary()).to_pylist()
-        for chunk, core in zip(new, cores):
-            if core != chunk:
-                if b"<|" not in chunk and (core[-1:].isalnum() or _plain_letters(core[-2:])):
-                    tail = chunk[len(core) :]
-                    if tail not in known:
-                        others[tail] = None
-                    ended.append((chunk, core, tail))
-                else:
-                    core = chunk
-            if core not in known:
-                if self.passes and core.isalpha() and core.islower():
-                    plain[core] = None
-                else:
-                    (letters if _plain_letters(core) else others)[core] = None
-        self._by_model(list(plain))
-        self._together(list(letters))
-        self._one_by_one(list(others))
-        if ended:
-            flat, size = self._joined()
-            pairs = np.array([(known[core], known[tail]) for _, core, tail in ended])
-            ids = ragged(flat, (np.cumsum(size) - size)[pairs.ravel()], size[pairs.ravel()])
-            self._learn([x[0] for x in ended], ids, size[pairs].sum(axis=1))
-        return list(map(known.__getitem__, chunks))
-
-    def _joined(self) -> tuple[np.ndarray, np.ndarray]:
-        self.flat, self.size = [np.concatenate(self.flat)], [np.concatenate(self.size)]
-        return self.flat[0], self.size[0]
+        numbers = self._find(chunks)
+        unknown = pc.is_null(numbers)
+        new = chunks.filter(unknown)
+        cores = pc.utf8_rtrim(new, MARKS)
+        apart = pc.and_(pc.not_equal(cores, new), pc.match_substring_regex(cores, ENDED))
+        apart = pc.and_not(apart, pc.match_substring(new, "<|"))
+        whole, ended, cores = new.filter(pc.invert(apart)), new.filter(apart), cores.filter(apart)
+        marks = pc.struct_field(pc.extract_regex(ended, f"(?P<marks>[{re.escape(MARKS)}]+)$"), "marks").cast(pa.large_utf8())
+        parts = pa.concat_arrays([whole, cores, marks])
+        words = parts.unique()
+        words = words.filter(pc.is_null(self._find(words)))
+        plain = pc.match_substring_regex(words, LETTERS)
+        self._add(words.filter(plain), self._together)
+        self._add(words.filter(pc.invert(plain)), self._one_by_one)
+        found = self._find(parts).to_numpy().astype(np.int64)
+        pairs = found[len(whole) :].reshape(2, -1).T
+        sizes, begin = self.size[pairs], (np.cumsum(self.size) - self.size)[pairs]
+        joined = len(self.words) + np.arange(len(ended))
+        self._learn(ended, ragged(self.flat, begin.ravel(), sizes.ravel()), sizes.sum(axis=1))
+        apart, unknown = (x.to_numpy(zero_copy_only=False) for x in (apart, unknown))
+        out, late = numbers.fill_null(0).to_numpy().astype(np.int64), np.empty(len(new), np.int64)
+        late[~apart], late[apart] = found[: len(whole)], joined
+        out[unknown] = late
+        return out
 
     def _step(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, one after the other, and their number per text."""
-        if len(self.known) > MOST_WORDS:
+        if len(self.words) > MOST_WORDS:
             self._forget()
         whole = pa.array([x if b"<|" in x else x.lower() for x in texts], pa.large_binary())  # "<|": may be a special token
         lists = pc.ascii_split_whitespace(whole.view(pa.large_utf8()))
         offsets = lists.offsets.to_numpy()
         chunks = lists.flatten().dictionary_encode()
-        numbers = np.array(self._numbers(chunks.dictionary.cast(pa.large_binary()).to_pylist()), dtype=np.int64)
-        flat, size = self._joined()
-        which = numbers[chunks.indices.to_numpy(zero_copy_only=False)]
-        counts = size[which]
+        which = self._numbers(chunks.dictionary)[chunks.indices.to_numpy(zero_copy_only=False)]
+        counts = self.size[which]
         before = np.concatenate([[0], np.cumsum(counts)])
-        return ragged(flat, (np.cumsum(size) - size)[which], counts), np.diff(before[offsets])
+        return ragged(self.flat, (np.cumsum(self.size) - self.size)[which], counts), np.diff(before[offsets])
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         """The ids of each text; one larger than a step is worked off in pieces cut at white space."""
@@ -276,15 +283,6 @@ def write_shards(docs: DataFrame, definition: str, end: int | None, key: str = "
     return folder
 
 
-def _plain_letters(word: bytes) -> bool:
-    """Whether it is letters up to U+00FF only: these have one lower case each and don't combine."""
-    try:
-        text = word.decode("utf-8")
-    except UnicodeDecodeError:  # the end of a longer character
-        return False
-    return text.isalpha() and max(text) <= "\xff"
-
-
 def by_size(texts: list[bytes], most: int = STEP_BYTES) -> Iterator[tuple[int, list[bytes]]]:
     """Stretches of a list of texts with about that many bytes, and where each begins."""
     begin, held = 0, 0
