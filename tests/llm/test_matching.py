@@ -197,7 +197,28 @@ def brute_top(rows, queries, k):
     return sorted(out)
 
 
-@pytest.mark.parametrize("block, scale", [(4096, 1.0), (7, 1.0), (4096, 3e6), (7, 1e9)])
+def test_reading_stops_when_outsiders_cannot_qualify(monkeypatch):
+    """Fewer than all reads suffice for clear winners; ties are read to the end; no result depends on when bounds go by pairs."""
+    assert list(topk.depths(10)) == [5, 8, 9, 10] and list(topk.depths(1)) == [1] and not list(topk.depths(0))
+    rng = np.random.default_rng(3)
+    vectors = rng.integers(-50, 50, (400, 4)).astype(float)
+    vectors[:5] += 200
+    seen = []
+    read = topk.Lists.read
+    monkeypatch.setattr(topk.Lists, "read", lambda self, depth, of: seen.append(depth) or read(self, depth, of))
+    for few in (0.0, 0.03, 1.0):
+        monkeypatch.setattr(topk, "FEW", few)
+        for rows in (vectors, np.vstack([vectors[:1]] * 400)):
+            seen.clear()
+            best = topk.Best(np.array([-1]), np.ones((1, 4)), 5)
+            best.add(np.arange(400), rows)
+            score = rows.sum(axis=1)
+            want = np.lexsort((np.arange(400), -score))[:5]
+            assert best.kept[1].tolist() == want.tolist() and best.kept[2].tolist() == score[want].tolist()
+            assert (max(seen) < 400) == (few > 0 and rows is vectors)
+
+
+@pytest.mark.parametrize("block, scale", [(4096, 1.0), (7, 1.0), (4096, 3e6), (7, 1e9), (4096, 1e10), (7, 1e200)])
 def test_top_k_against_brute_force(spark, monkeypatch, block, scale):
     monkeypatch.setattr(topk, "LIST_BLOCK", block)
     monkeypatch.setattr(topk, "QUERY_BLOCK", 3)

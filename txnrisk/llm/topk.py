@@ -3,9 +3,11 @@
 Each component has a list of the vectors, sorted by its value. For a query the lists are read from
 the end that its sign favours. After each round of reads every vector has a lower bound (unread
 components at their list's worst value) and an upper bound (at the value the list has been read
-to). Reading stops when no vector outside the k best lower bounds can still reach them; scores of
-the vectors that remain are then resolved. All of this runs for blocks of queries against blocks of
-vectors, as products of matrices.
+to). Each round reads half of what is unread; vectors whose upper bound is below the k-th best lower
+bound go. Reading stops when no vector outside the k best can still reach them, or at the lists' ends,
+where ties are told apart; the scores of those left are what the lists bring of them. All of this runs
+for blocks of queries against blocks of vectors, as products of matrices while most vectors are left and
+by pairs of query and vector then.
 """
 
 from __future__ import annotations
@@ -21,10 +23,9 @@ from txnrisk.llm.common import by_value
 #: Queries held against the vectors in one pass, and vectors per block of lists.
 QUERY_BLOCK = 4096
 LIST_BLOCK = 4096
-#: Shares of the lists that are read before the bounds are looked at, and the share of survivors
-#: at which reading goes on no further.
-ROUNDS = (0.5, 0.75)
+#: Share of pairs left at which the bounds are kept by pairs, and pairs worked on at a time.
 FEW = 0.03
+PAIRS = 1 << 16
 _LIMIT = 2**63 - 1
 
 
@@ -62,23 +63,46 @@ class Lists:
         np.put_along_axis(self.place, order, np.arange(len(vectors))[:, None], axis=0)
         self.sorted = np.take_along_axis(vectors, order, axis=0)
 
-    def lower(self, up: np.ndarray, down: np.ndarray, depth: int) -> np.ndarray:
-        """Least possible scores of all vectors after ``depth`` reads of each list.
+    def read(self, depth: int, of: np.ndarray | slice) -> tuple[np.ndarray, ...]:
+        """What ``depth`` reads of each list tell of some vectors' components.
+
+        Lists read from the largest value down give the least and the largest possible components; so do
+        those read from the smallest value up.
+        """
+        x, place, n = self.vectors[of], self.place[of], len(self.vectors)
+        top, bottom = place >= n - depth, place < depth
+        return (
+            np.where(top, x, self.sorted[0]), np.where(top, x, self.sorted[n - depth]),
+            np.where(bottom, x, self.sorted[depth - 1]), np.where(bottom, x, self.sorted[-1]),
+        )
+
+    def bounds(self, up: np.ndarray, down: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+        """Least and largest possible scores of all vectors.
 
         ``up`` are the queries' positive components, which read their lists from the largest value
         down; ``down`` the negative ones, which read from the smallest value up.
         """
-        x, n = self.vectors, len(self.vectors)
-        high = np.where(self.place >= n - depth, x, self.sorted[0])
-        low = np.where(self.place < depth, x, self.sorted[-1])
-        return up @ high.T + down @ low.T
+        least, largest, small, great = self.read(depth, slice(None))
+        return up @ least.T + down @ great.T, up @ largest.T + down @ small.T
 
-    def upper(self, up: np.ndarray, down: np.ndarray, depth: int) -> np.ndarray:
-        """Largest possible scores: what is unread is at the value that its list has been read to."""
-        x, n = self.vectors, len(self.vectors)
-        high = np.where(self.place >= n - depth, x, self.sorted[n - depth])
-        low = np.where(self.place < depth, x, self.sorted[depth - 1])
-        return up @ high.T + down @ low.T
+    def bounds_of(self, up: np.ndarray, down: np.ndarray, row: np.ndarray, col: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+        """The same for some pairs of a query's row and a vector."""
+        low, high = np.empty(len(row), up.dtype), np.empty(len(row), up.dtype)
+        for at in range(0, len(row), PAIRS):
+            some = slice(at, at + PAIRS)
+            least, largest, small, great = self.read(depth, col[some])
+            a, b = up[row[some]], down[row[some]]
+            low[some] = np.einsum("ij,ij->i", a, least) + np.einsum("ij,ij->i", b, great)
+            high[some] = np.einsum("ij,ij->i", a, largest) + np.einsum("ij,ij->i", b, small)
+        return low, high
+
+
+def depths(n: int):
+    """Half of the lists, then half of what is unread, up to their ends."""
+    depth = 0
+    while depth < n:
+        depth += -(-(n - depth) // 2)
+        yield depth
 
 
 class Best:
@@ -95,21 +119,20 @@ class Best:
         width = max(q.shape[1], v.shape[1])
         q, v = (np.pad(x, ((0, 0), (0, width - x.shape[1]))) for x in (q, v))
         kind = kind_for(q, v)
-        if kind is object:
-            row, col = np.divmod(np.arange(len(q) * len(v)), len(v))
-        else:
+        if kind is not object:
             q, v = q.astype(kind), v.astype(kind)
-            row, col = self._survivors(ids, q, v)
-        other = self.ids[row] != ids[col]
-        row, col = row[other], col[other]
+        with np.errstate(all="ignore"):
+            # Bounds of numbers too large for exact sums are off by rounding; infinite if they overflow.
+            slack = 0 if kind is not object else np.abs(q) @ np.abs(v).max(axis=0) * (width + 4) * 2.0**-51
+            row, col = self._survivors(ids, q, v, np.broadcast_to(slack, len(q)))
         score = np.empty(len(row), dtype=np.int64)
-        for at in range(0, len(row), 1 << 16):
-            a, b = q[row[at : at + (1 << 16)]], v[col[at : at + (1 << 16)]]
+        for at in range(0, len(row), PAIRS):
+            a, b = q[row[at : at + PAIRS]], v[col[at : at + PAIRS]]
             if kind is object:
                 exact = (sum(int(x) * int(y) for x, y in zip(*pair)) for pair in zip(a, b))
-                score[at : at + (1 << 16)] = [max(-_LIMIT - 1, min(_LIMIT, s)) for s in exact]
+                score[at : at + PAIRS] = [max(-_LIMIT - 1, min(_LIMIT, s)) for s in exact]
             else:
-                score[at : at + (1 << 16)] = np.einsum("ij,ij->i", a, b)
+                score[at : at + PAIRS] = np.einsum("ij,ij->i", a, b)
         row, of, score = (np.concatenate(x) for x in zip(self.kept, (row, ids[col], score)))
         order = np.lexsort((of, -score.astype(object) if kind is object else -score, row))
         row, of, score = row[order], of[order], score[order]
@@ -119,21 +142,43 @@ class Best:
         last = rank == self.k - 1
         self.floor[row[last]] = score[last]
 
-    def _survivors(self, ids: np.ndarray, q: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs of queries and vectors that can still be among the k best."""
-        lists, n = Lists(v), len(v)
+    def _survivors(self, ids: np.ndarray, q: np.ndarray, v: np.ndarray, slack: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs of queries and vectors that can still be among the k best; none with a query's own id."""
+        lists, k = Lists(v), self.k
         up, down = np.maximum(q, 0), np.minimum(q, 0)
-        need = self.k + int(np.bincount(np.searchsorted(np.unique(ids), ids)).max(initial=0))
-        floor = self.floor
-        for share in ROUNDS:
-            depth = max(1, int(n * share))
-            if n > need and not np.isfinite(floor).all():  # later blocks start from the scores already resolved
-                kth = np.partition(lists.lower(up, down, depth), n - need, axis=1)[:, n - need]
-                floor = np.maximum(floor, kth)
-            alive = lists.upper(up, down, depth) >= floor[:, None]
-            if np.count_nonzero(alive) <= FEW * alive.size:
+        own = k + int(np.bincount(np.searchsorted(np.unique(ids), ids)).max(initial=0))
+        floor, most = self.floor.copy(), float(_LIMIT)  # later blocks start from the scores already resolved
+        row = col = None
+
+        def least(low, slack):
+            """Lower bounds that may be relied on; scores stay at the limits."""
+            return np.clip(np.nan_to_num(low - slack, nan=-np.inf, posinf=most, neginf=-np.inf), -np.inf, most)
+
+        def alive(high, slack, floor):
+            return ~(np.maximum(high + slack, -most) < np.maximum(floor, -most))
+
+        for depth in depths(len(v)):
+            if row is None:
+                low, high = lists.bounds(up, down, depth)
+                if len(v) > own:
+                    floor = np.maximum(floor, np.partition(least(low, slack[:, None]), -own, axis=1)[:, -own])
+                left = alive(high, slack[:, None], floor[:, None])
+                if depth < len(v) and np.count_nonzero(left) > FEW * left.size:
+                    continue
+                row, col = np.nonzero(left)
+                other = self.ids[row] != ids[col]
+                row, col = row[other], col[other]
+            else:
+                low, high = lists.bounds_of(up, down, row, col, depth)
+                low = least(low, slack[row])
+                order = np.lexsort((-low, row))
+                kth = order[np.arange(len(row)) - np.searchsorted(row, row) == k - 1]
+                floor[row[kth]] = np.maximum(floor[row[kth]], low[kth])
+                left = alive(high, slack[row], floor[row])
+                row, col = row[left], col[left]
+            if np.bincount(row).max(initial=0) <= k:
                 break
-        return np.nonzero(alive)
+        return row, col
 
 
 def query_blocks(queries: DataFrame):
