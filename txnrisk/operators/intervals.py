@@ -34,23 +34,36 @@ def within(
     spread_by: str,
     max_rows: int,
     salts: int,
+    mark: tuple[str, int] | None = None,
 ) -> DataFrame:
     """The rows in any interval [first_sec - before, last_sec + after] of their entity, each once.
 
     An equi-join on (entity, tile of time) instead of a comparison with all of an entity's intervals;
-    each is entered in the tiles it touches. Few entries are broadcast, after counting them; otherwise rows
-    of one entity and tile are spread over salts, of which the entries have a copy each.
+    each is entered in the tiles it touches, a tile's intervals in one entry. Few entries are broadcast, after
+    counting them; otherwise rows of one entity and tile are spread over salts, of which the entries have a
+    copy each, and both sides are shuffled whatever sizes the planner guesses: it does not see what the tiles
+    and salts multiply. ``mark`` (a name and another ``before``) adds a column that tells the rows that are in
+    an interval with that one, so that a second join isn't needed.
     """
     low, high = F.col("first_sec") - before, F.col("last_sec") + after
     touched = F.sequence(F.floor(low / tile), F.floor(high / tile))
-    entries = spans.select(F.col(entity).alias("_entity"), low.alias("_low"), high.alias("_high"), F.explode(touched).alias("_in"))
+    each = spans.select(F.col(entity).alias("_entity"), "first_sec", "last_sec", F.explode(touched).alias("_in"))
+    entries = each.groupBy("_entity", "_in").agg(F.collect_list(F.struct("first_sec", "last_sec")).alias("_spans"))
     tiled = rows.withColumns({"_sec": second, "_tile": F.floor(second / tile)})
     same = (F.col(entity) == F.col("_entity")) & (F.col("_tile") == F.col("_in"))
-    inside = F.col("_sec").between(F.col("_low"), F.col("_high"))
-    if entries.limit(max_rows + 1).count() <= max_rows:
-        return tiled.join(F.broadcast(entries), same & inside, "left_semi").drop("_sec", "_tile")
+
+    def inside(early: int) -> Column:
+        return F.exists("_spans", lambda x: F.col("_sec").between(x["first_sec"] - early, x["last_sec"] + after))
+
+    def found(joined: DataFrame) -> DataFrame:
+        kept = joined.where(inside(before))
+        names = [F.col(c) for c in rows.columns]
+        return kept.select(*names) if mark is None else kept.select(*names, inside(mark[1]).alias(mark[0]))
+
+    if entries.count() <= max_rows:
+        return found(tiled.join(F.broadcast(entries), same))
     salted = tiled.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)))
     every = F.sequence(*[F.lit(salt).cast("bigint") for salt in (0, salts - 1)])
-    copies = entries.withColumn("_of_salt", F.explode(every))
+    copies = entries.withColumn("_of_salt", F.explode(every)).hint("merge")
     both = (F.col(entity) == F.col("_entity")) & (F.col("_salt") == F.col("_of_salt")) & (F.col("_tile") == F.col("_in"))
-    return salted.join(copies, both & inside, "left_semi").drop("_sec", "_tile", "_salt")
+    return found(salted.join(copies, both))

@@ -12,6 +12,7 @@ from txnrisk.operators.rolling import Trailing, with_trailing_stats
 from txnrisk.sources.tables import DAY_SECONDS, ranges
 
 SECOND = "event_sec"
+AFFECTED = "_affected"
 
 
 def _rolled(silver: DataFrame, counts: list[Trailing], moments: list[Trailing]) -> DataFrame:
@@ -86,22 +87,18 @@ def days_in_reach(spans: DataFrame, cfg: RiskConfig) -> list[tuple[int, int]]:
     return ranges({r[0] for r in days.collect()})
 
 
-def _within(rows: DataFrame, spans: DataFrame, cfg: RiskConfig, before: int) -> DataFrame:
-    return within(
-        rows, event_seconds(), spans, "customer_id", before=before, after=_reach(cfg), tile=_reach(cfg),
-        spread_by="transaction_id", max_rows=cfg.broadcast_rows, salts=cfg.salts,
-    )
-
-
 def in_reach(silver: DataFrame, spans: DataFrame, cfg: RiskConfig) -> DataFrame:
     """Rows needed to refresh what changes within the stretches affect.
 
     A change at time t alters the frames of that customer's rows in [t, t + look-back]; to
-    compute those, rows from t - look-back on are needed.
+    compute those, rows from t - look-back on are needed. The column ``AFFECTED`` tells them apart.
     """
-    return _within(silver, spans, cfg, before=_reach(cfg))
+    return within(
+        silver, event_seconds(), spans, "customer_id", before=_reach(cfg), after=_reach(cfg), tile=_reach(cfg),
+        spread_by="transaction_id", max_rows=cfg.broadcast_rows, salts=cfg.salts, mark=(AFFECTED, 0),
+    )
 
 
 def refreshed(reached: DataFrame, spans: DataFrame, cfg: RiskConfig) -> DataFrame:
-    """Features of the affected rows among those :func:`in_reach` of the current Silver table."""
-    return _within(features(reached, cfg), spans, cfg, before=0)
+    """Features of the affected rows among those :func:`in_reach` of the current Silver table for the same stretches."""
+    return features(reached, cfg).where(AFFECTED).drop(AFFECTED)

@@ -268,14 +268,24 @@ def key_index(spark: SparkSession, table: str, after: int | None = None) -> Data
 def lookup(spark: SparkSession, table: str, keys: DataFrame, after: int | None = None) -> DataFrame:
     """The key index for a table of keys: reads their buckets alone, and moves their rows alone.
 
-    A few keys are named to the scan, whose Bloom filters then skip most files.
+    A few keys are named to the scan, whose Bloom filters then skip most files. Many are joined by a shuffle,
+    which the planner, going by the size of files, might take for a small side.
     """
-    wanted = keys.select(KEY).where(F.col(KEY).isNotNull()).distinct()
+    wanted = keys.select(KEY).where(F.col(KEY).isNotNull())
     n, buckets = wanted.agg(F.count(F.lit(1)), F.collect_set(key_bucket())).first()
     index = key_index(spark, table, after).where(F.col(BUCKET).isin(buckets))
     if n <= MOST_LISTED:
         return index.where(F.col(KEY).isin([r[0] for r in wanted.collect()]))
-    return index.join(F.broadcast(wanted) if n <= MOST_BROADCAST else wanted, KEY, "left_semi")
+    return index.join(F.broadcast(wanted) if n <= MOST_BROADCAST else wanted.hint("merge"), KEY, "left_semi")
+
+
+def _newest(spark: SparkSession, table: str, versions: DataFrame, after: int | None) -> DataFrame:
+    """The newest log id of the versions' keys. Beyond ``MOST_BROADCAST`` of them the index is grouped without
+    a look at the keys first: a join with them would move all of it as well, and read the versions once more."""
+    many = versions.count() > MOST_BROADCAST
+    known = key_index(spark, table, after) if many else lookup(spark, table, versions, after)
+    newest = known.groupBy(KEY).agg(F.max(LOG_ID).alias("_newest"))
+    return newest.hint("merge") if many else newest
 
 
 def positions(spark: SparkSession, table: str, keys: DataFrame) -> DataFrame:
