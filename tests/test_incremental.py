@@ -173,3 +173,89 @@ def test_a_batch_appears_whole_and_is_replaced_whole(spark, layout):
 
 def test_ranges():
     assert ranges({5, 1, 2, 3, 9, 8}) == [(1, 3), (5, 5), (8, 9)] and ranges(set()) == []
+
+
+def test_a_large_refresh_is_never_broadcast_whatever_its_spans_are_guessed_at(spark):
+    """The planner sees few bytes of spans, not the tiles and salts that they are multiplied by."""
+    cfg = RiskConfig(broadcast_rows=0)
+    rows = silver(spark, *[{"sec": s * DAY, "customer_id": f"C{s % 3}"} for s in range(20)])
+    spans = gold.touched_spans(gold.places(rows), cfg).persist()
+    try:
+        spans.count()
+        reached = gold.in_reach(rows, spans, cfg)
+        assert reached.count() == 20
+        assert not any("Broadcast" in x for x in node_lines(reached))
+    finally:
+        spans.unpersist()
+
+
+@pytest.mark.parametrize("max_rows", [0, 1000])
+def test_rows_in_reach_tell_which_are_affected(spark, max_rows):
+    rows = spark.range(-50, 100).select(F.col("id").cast("string").alias("k"), F.col("id").alias("s"), F.lit("a").alias("c"))
+    spans = [("a", 0, 5), ("a", 8, 8), ("a", 40, 41), (None, 60, 60)]
+    df = spark.createDataFrame(spans, "c string, first_sec bigint, last_sec bigint")
+    got = within(rows, F.col("s"), df, "c", before=9, after=7, tile=10, spread_by="k", max_rows=max_rows, salts=3, mark=("hit", 0))
+    want = {s: any(a <= s <= b + 7 for _, a, b in spans[:3]) for s in range(-50, 100) if any(a - 9 <= s <= b + 7 for _, a, b in spans[:3])}
+    found = [(r.s, r.hit) for r in got.collect()]
+    assert dict(found) == want and len(found) == len(want)
+
+
+def test_many_versions_read_the_index_without_their_keys(spark, layout, monkeypatch):
+    """Many rows are worked out once to be counted and once to be returned; the newest version wins all the same."""
+    from txnrisk.sources import tables
+
+    monkeypatch.setattr(tables, "MOST_BROADCAST", 3)
+    upsert_batch(silver(spark, *[{"sec": d * DAY} for d in range(10)]), layout.silver, 0)
+    upsert_batch(silver(spark, {"transaction_id": "T3", "sec": 4 * DAY}, {"transaction_id": "T5", "sec": 40 * DAY}), layout.silver, 1)
+    view = current_view(spark, layout.silver, schemas.silver(), days=[(FIRST_DAY, FIRST_DAY + 20)])
+    base = START.replace(tzinfo=None)
+    assert {r.transaction_id: (r.transaction_time - base).days for r in view.collect()} == {
+        **{f"T{d}": d for d in range(10) if d != 5}, "T3": 4
+    }
+    assert sum("Scan parquet" in x for x in node_lines(view)) == 2 * (1 + any("Initial Plan" in x for x in node_lines(view)))
+
+
+def test_days_are_stored_before_they_are_dealt_by_ranges(spark, layout, monkeypatch):
+    """Finding the ranges reads the rows once more, so what is dealt is a stored table, and it is gone afterwards."""
+    from txnrisk.sinks import maintenance
+
+    kept = []
+    real = maintenance.staged
+    monkeypatch.setattr(maintenance, "staged", lambda df, label: kept.append(label) or real(df, label))
+    upsert_batch(silver(spark, {"sec": 0}, {"sec": DAY}), layout.silver, 0)
+    compact(spark, layout.silver, schemas.silver())
+    assert kept == ["days"] and current_view(spark, layout.silver, schemas.silver()).count() == 2
+
+
+def event_rows(spark, n, step):
+    """Rows of the events table, ``step`` seconds apart, in four files."""
+    second = F.lit(int(START.timestamp())) + F.col("id") * step
+    return spark.range(0, n, 1, 4).select(
+        F.col("id").alias("event_id"), F.timestamp_seconds(second).cast("timestamp_ntz").alias("ts"), (F.col("id") % 3).alias("user_id"),
+        F.lit("x").alias("event_type"), F.lit(1.5).alias("value"), F.lit("").alias("props"),
+    )
+
+
+def test_arrivals_are_read_from_their_own_partitions(spark, tmp_path):
+    from txnrisk.plans import catalog
+
+    event_rows(spark, 30, DAY).write.parquet(f"{tmp_path}/events.parquet")
+    rows = catalog._stored_arrivals(spark, str(tmp_path))
+    for batch, n in ((0, 10), (1, 10), (2, 10)):
+        part = catalog._arrival(rows, batch)
+        assert part.count() == n and any("PartitionFilters: [isnotnull(batch_id" in x for x in node_lines(part))
+
+
+def test_a_fifth_of_the_queue_is_one_micro_batch_however_many_files_it_has(spark, tmp_path):
+    from txnrisk.plans import catalog
+    from txnrisk.streaming.metrics import read_metrics
+
+    event_rows(spark, 340, 3600).write.parquet(f"{tmp_path}/events.parquet")
+    layout = catalog._late_streams(spark, str(tmp_path))
+    files = spark.read.parquet(layout.bronze).select("batch_id", F.input_file_name()).distinct().groupBy("batch_id").count()
+    assert max(r[1] for r in files.collect()) > 1
+    seen = read_metrics(spark, layout.stream_metrics).where("name = 'n_rows' and value is not null")
+    assert {r[0]: r[1] for r in seen.groupBy("layer").agg(F.countDistinct("micro_batch")).collect()} == {"bronze": 5, "silver": 5}
+    late = {i for i in range(340) if i % 17 == 5 and i * 5 // 340 < 3}
+    passed = current_view(spark, layout.silver, schemas.silver()).select("offset").collect()
+    assert not late & {r[0] for r in passed} and len(passed) > 250

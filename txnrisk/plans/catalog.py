@@ -121,6 +121,13 @@ def _ingested(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(*schemas.bronze().fieldNames())
 
 
+def _stored_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The arrival batches as Bronze stores them, a partition each: a batch is read several times."""
+    path = new_folder(spark, "arrivals")
+    append_batch(_ingested(spark, sf_dir), path)
+    return spark.read.schema(schemas.bronze()).parquet(path)
+
+
 ARRIVALS = (0, 1, 2)
 
 
@@ -265,7 +272,7 @@ def gold_burst_60s(spark, sf_dir):
 
 def _write_layers(spark, sf_dir, layout):
     """Feed the arrival batches through the Silver and Gold batch writers, one after the other; gives their ids."""
-    rows = _ingested(spark, sf_dir)
+    rows = _stored_arrivals(spark, sf_dir)
     to_silver, to_gold = layers.silver_batch(layout, CFG), layers.gold_batch(layout, CFG)
     for batch_id in ARRIVALS:
         to_silver(_arrival(rows, batch_id), batch_id)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from txnrisk.session import staged
 from txnrisk.sinks.upsert import write_index
 from txnrisk.sources.tables import (
     BUCKET,
@@ -65,17 +66,19 @@ def replace_days(rows: DataFrame, path: str, index: str, before: Manifest | None
     """
     spark = rows.sparkSession
     number = 0 if before is None else before.number + 1
-    laid_out = (
-        rows.withColumns({DAY: day_of(), VERSION: F.lit(number).cast("bigint")})
-        .repartitionByRange(DAY, "customer_id", KEY)
-        .sortWithinPartitions(DAY, "customer_id")
-    )
-    (
-        laid_out.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(DAY, VERSION)
-        .parquet(path)
-    )
+    # Dealing by ranges reads the rows twice, first to find the ranges, so they are stored and not worked out twice.
+    with staged(rows, "days") as stored:
+        laid_out = (
+            stored.withColumns({DAY: day_of(), VERSION: F.lit(number).cast("bigint")})
+            .repartitionByRange(DAY, "customer_id", KEY)
+            .sortWithinPartitions(DAY, "customer_id")
+        )
+        (
+            laid_out.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(DAY, VERSION)
+            .parquet(path)
+        )
     kept = {} if before is None else {d: v for d, v in before.days.items() if d not in touched}
     written = {d: number for d in touched if path_exists(spark, f"{path}/{DAY}={d}/{VERSION}={number}")}
     days = {d: v for d, v in (kept | written).items() if first is None or d >= first}

@@ -335,8 +335,7 @@ def current_view(
     if manifest is not None:
         older = limited(read_days(spark, snapshot_path(table), schema, manifest, days))
         versions = versions.unionByName(older.withColumn(LOG_ID, F.lit(manifest.covered).cast("bigint")))
-    known = lookup(spark, table, versions, None if manifest is None else manifest.covered)
-    newest = known.groupBy(KEY).agg(F.max(LOG_ID).alias("_newest"))
+    newest = _newest(spark, table, versions, None if manifest is None else manifest.covered)
     current = versions.join(newest, KEY, "left").where(F.col("_newest").isNull() | (F.col(LOG_ID) >= F.col("_newest")))
     return current.select(*_column_order(current.drop(LOG_ID, "_newest"), schema))
 
