@@ -619,23 +619,31 @@ def stream_dedup_watermark(spark, sf_dir):
     return spark.read.schema("transaction_id string").parquet(out)
 
 
-def _arrival_files(spark, sf_dir, path, files):
-    """Queue files in the order of events, of which every 17th comes two files late."""
+FILES = 5
+
+
+def _arrival_file(spark, sf_dir, path, i, last):
+    """A fifth of the messages in the order of events, of which every 17th comes two fifths late.
+
+    Any number of tasks write it, so what is one file of a small queue is several of a large one.
+    """
     rows = events.envelopes(spark, sf_dir)
-    last = rows.agg(F.max("offset")).first()[0]
     late = F.when(F.col("offset") % 17 == 5, 2).otherwise(0)
-    number = F.least(F.lit(4), F.floor(F.col("offset") * 5 / (last + 1)) + late)
-    for i in files:
-        part = rows.where(number == i).select(*schemas.QUEUE.fieldNames())
-        part.coalesce(1).write.mode("append").parquet(path)
+    number = F.least(F.lit(FILES - 1), F.floor(F.col("offset") * FILES / (last + 1)) + late)
+    rows.where(number == i).select(*schemas.QUEUE.fieldNames()).write.mode("append").parquet(path)
 
 
 def _late_streams(spark, sf_dir):
-    """Bronze and Silver with a watermark, a file per micro-batch, stopped and started again after three of five."""
+    """Bronze and Silver with a watermark, a fifth of the queue per micro-batch; after each they stop and start again.
+
+    What one run finds is one micro-batch of either layer, in whatever number of files it lies. A limit of
+    files per micro-batch would cut a fifth that several tasks wrote, and move the watermark in between.
+    """
     layout, queue = Layout(new_folder(spark, "late-streams")), new_folder(spark, "late-queue")
-    cfg = RiskConfig(max_files_per_trigger=1, watermark=WATERMARK)
-    for files in ((0, 1, 2), (3, 4)):
-        _arrival_files(spark, sf_dir, queue, files)
+    cfg = RiskConfig(watermark=WATERMARK)
+    last = events.records(spark, sf_dir).agg(F.max("offset")).first()[0]
+    for i in range(FILES):
+        _arrival_file(spark, sf_dir, queue, i, last)
         metrics = BatchMetrics(spark, layout.stream_metrics).start()
         try:
             layers.start_bronze(queue_files(spark, queue, cfg), layout, None, metrics=metrics).awaitTermination()
