@@ -219,3 +219,14 @@ def test_seating_agrees_with_one_by_one(spark):
             new[t] += p * (1 - opens)
         state = new
     assert tables.mean() == pytest.approx(sum(t * p for t, p in state.items()), abs=0.03)
+
+
+def test_the_query_makes_several_sweeps(spark, monkeypatch, tmp_path):
+    from txnrisk.llm import catalog
+
+    documents(spark, 40).write.parquet(f"{tmp_path}/documents.parquet")
+    swept = []
+    real = pitmanyor.score_documents
+    monkeypatch.setattr(pitmanyor, "score_documents", lambda *a, **k: swept.append(k.get("sweeps", pitmanyor.SWEEPS)) or real(*a, **k))
+    got = catalog.op4_pitmanyor(spark, str(tmp_path))
+    assert swept[0] > 1 and got.where("score <= 1e-9").count() == spark.read.parquet(f"{tmp_path}/documents.parquet").count()

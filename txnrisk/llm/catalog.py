@@ -74,7 +74,7 @@ def op3_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_pitmanyor(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = crc_fold("doc_id", 7) == 2
-    scored = pitmanyor.score_documents(table(spark, sf_dir, "documents"), ~held_out)
+    scored = pitmanyor.score_documents(table(spark, sf_dir, "documents"), ~held_out, sweeps=pitmanyor.QUERY_SWEEPS)
     return scored.withColumn("held_out", held_out)
 
 

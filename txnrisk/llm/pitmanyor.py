@@ -36,6 +36,8 @@ from txnrisk.llm.exchange import NOBODY, bucket_of, documents, in_blocks, per_bl
 #: Marks of the beginning and the end of a text among the hashes of words.
 BEGIN, END = np.uint64(0x0123456789ABCDEF), np.uint64(0xFEDCBA9876543210)
 CHAINS, SWEEPS = 4, 1
+#: Sweeps of the query: the first start from average seatings, the last ones from what the sweeps before led to.
+QUERY_SWEEPS = 4
 THETA = 1.0
 #: Customers are seated one by one up to twice this number, then in steps of this share of those seated.
 SINGLY = 8
@@ -317,7 +319,8 @@ def score_documents(docs: DataFrame, train: Column, key: str = "doc_id", sweeps:
         "parent_discount": discount_of(total.get("word once", 0), total.get("word twice", 0)),
         "seated": [],
     }
-    rows = blocks.unionByName(exchange.for_blocks(answers))
+    counts = rows = blocks.unionByName(exchange.for_blocks(answers))
+    seatings: list[DataFrame] = []
     for sweep in range(sweeps):
         now = {**model, "seated": list(model["seated"])}
         seated = per_block(rows, lambda block, pdf, s=sweep, m=now: sit_down(block, pdf, m, s, n))
@@ -325,7 +328,11 @@ def score_documents(docs: DataFrame, train: Column, key: str = "doc_id", sweeps:
         total = exchange.sums(answers)
         names = ("customers", "tables", "begin")
         model["seated"].append({x: np.array([float(total.get(f"{x} {c}", 0)) for c in range(CHAINS)]) for x in names})
-        rows = rows.unionByName(exchange.for_blocks(answers))
+        # Two sweeps' seatings are asked for at most: the one to start from and, for the probabilities, the one it led to.
+        seatings = [*seatings[-1:], exchange.for_blocks(answers)]
+        rows = counts
+        for seating in seatings:
+            rows = rows.unionByName(seating)
     schema = f"{key} long, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     return rows.groupBy("block").applyInPandas(lambda pdf: score_block(pdf, model, sweeps, key), schema)
 
