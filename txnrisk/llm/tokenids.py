@@ -29,9 +29,9 @@ from txnrisk.session import new_folder
 #: Bytes of text in a range: a task that has met many words already encodes few new ones.
 RANGE_BYTES = 48 << 20
 #: Ids in a shard, beyond which it is closed; a document is never cut.
-SHARD_TOKENS = 4 << 20
+SHARD_TOKENS = 1 << 20
 #: Bytes of text that are split and encoded at a time.
-STEP_BYTES = 6 << 20
+STEP_BYTES = 3 << 20
 #: Words whose ids a task keeps; above that it starts anew, which changes no id.
 MOST_WORDS = 500_000
 #: Marks that end a word: ASCII punctuation but for the apostrophe, which may begin one.
