@@ -2,12 +2,13 @@ import math
 import random
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
 from llm.rows import documents, empty, plain, sentence
 
-from txnrisk.llm import langid, pitmanyor, quality, tokens
+from txnrisk.llm import exchange, langid, pitmanyor, quality, tokens
 from txnrisk.llm.common import crc_fold
 
 
@@ -230,3 +231,28 @@ def test_the_query_makes_several_sweeps(spark, monkeypatch, tmp_path):
     monkeypatch.setattr(pitmanyor, "score_documents", lambda *a, **k: swept.append(k.get("sweeps", pitmanyor.SWEEPS)) or real(*a, **k))
     got = catalog.op4_pitmanyor(spark, str(tmp_path))
     assert swept[0] > 1 and got.where("score <= 1e-9").count() == spark.read.parquet(f"{tmp_path}/documents.parquet").count()
+
+
+def test_sweeps_read_books_instead_of_documents(spark, monkeypatch):
+    """A sweep's rows are the books and the last sweep's seatings; older ones are deleted, and the scores are those of any number of blocks."""
+    docs = documents(spark, 90)
+    read, written = [], []
+    per_block, stage = pitmanyor.per_block, exchange.stage
+    monkeypatch.setattr(pitmanyor, "per_block", lambda rows, work: read.append(rows) or per_block(rows, work))
+    monkeypatch.setattr(exchange, "stage", lambda df, label: written.append((label, stage(df, label))) or written[-1][1])
+    got = plain(pitmanyor.score_documents(docs, crc_fold("doc_id", 7) != 2, sweeps=4))
+    ask, books, *sweeps = read
+    assert len(sweeps) == 4 and "doc" in {r["kind"] for r in plain(books.select("kind").distinct())}
+    left = [Path(x.inputFiles()[0].removeprefix("file:")).exists() for label, x in written if label == "lm-seated"]
+    assert left == [False, False, True, True]
+    assert all("documents" not in x and "lm-books" in x for x in (r._jdf.queryExecution().toString() for r in sweeps))
+    monkeypatch.setattr(pitmanyor, "BLOCK_BYTES", 1 << 10)
+    more = plain(pitmanyor.score_documents(docs, crc_fold("doc_id", 7) != 2, sweeps=4))
+    assert sorted(r["score"] for r in more) == pytest.approx(sorted(r["score"] for r in got), rel=1e-9)
+
+
+def test_packed_numbers():
+    for numbers in (np.array([[1, 70_000], [2**32 - 1, 0]], dtype=np.uint32), np.array([-1, 5, 2**62]), np.empty(0, np.uint64)):
+        assert (exchange.unplanes(exchange.planes(numbers), numbers.dtype) == numbers.ravel()).all()
+    sent = exchange.send(3, "k", np.array([0, 0, 2]), np.array([5, 6, 7], dtype=np.uint64), pack=exchange.planes)
+    assert [(r[2], exchange.unplanes(r[4], np.uint64).tolist()) for r in sent] == [(0, [5, 6]), (2, [7])]

@@ -28,8 +28,11 @@ NO_ID = np.iinfo(np.int64).max
 
 
 def block_count(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> int:
-    total = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-    return partitions(docs.sparkSession, total, block_bytes)
+    return partitions(docs.sparkSession, text_bytes(docs), block_bytes)
+
+
+def text_bytes(docs: DataFrame) -> int:
+    return int(docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0)
 
 
 def in_blocks(docs: DataFrame, key: str, n: int, mark: Column | None = None) -> DataFrame:
@@ -52,12 +55,34 @@ def bucket_of(key: np.ndarray, n: int) -> np.ndarray:
     return (((key >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)).astype(np.int32)
 
 
-def send(block: int, kind: str, bucket: np.ndarray, *arrays: np.ndarray) -> list[tuple]:
+def plain(numbers: np.ndarray) -> bytes:
+    return np.ascontiguousarray(numbers).tobytes()
+
+
+def planes(numbers: np.ndarray) -> bytes:
+    """Whole numbers as the lowest bytes of all, then the next, as far as any is not 0; their number per item comes first.
+
+    Of sorted or small numbers, little is left once compressed.
+    """
+    numbers = np.ascontiguousarray(numbers).ravel()
+    by_place = numbers.view(np.uint8).reshape(-1, numbers.itemsize).T
+    used = max([place + 1 for place in range(numbers.itemsize) if by_place[place].any()], default=1)
+    return bytes([used]) + by_place[:used].tobytes()
+
+
+def unplanes(packed: bytes, dtype: type) -> np.ndarray:
+    by_place = np.frombuffer(packed, dtype=np.uint8)[1:].reshape(packed[0], -1)
+    out = np.zeros((by_place.shape[1], np.dtype(dtype).itemsize), dtype=np.uint8)
+    out[:, : packed[0]] = by_place.T
+    return out.view(dtype).ravel()
+
+
+def send(block: int, kind: str, bucket: np.ndarray, *arrays: np.ndarray, pack: Callable[[np.ndarray], bytes] = plain) -> list[tuple]:
     """One row per bucket; the items are in order of their buckets."""
     cuts = np.flatnonzero(np.diff(bucket)) + 1 if len(bucket) else []
     out = []
     for at in np.split(np.arange(len(bucket)), cuts) if len(bucket) else []:
-        blobs = [np.ascontiguousarray(a[at[0] : at[-1] + 1]).tobytes() for a in arrays]
+        blobs = [pack(a[at[0] : at[-1] + 1]) for a in arrays]
         out.append((block, kind, int(bucket[at[0]]), None, *blobs, *[None] * (3 - len(blobs))))
     return out
 

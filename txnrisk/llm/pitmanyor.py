@@ -18,6 +18,10 @@ scored with the average of their predictive probabilities.
 All counts cover all training documents. They are gathered by the exchange of blocks and buckets: what
 a block sends is its distinct pairs of words and its distinct words. Draws are taken from hashes of
 the pair and the chain, so every block that meets a pair seats it alike.
+
+Sweeps read the books instead of the documents: of each block its words and the pairs it seats, which are
+those of several customers that no block before it has. A pair with a single customer has one table
+in every sweep; such pairs are added up once.
 """
 
 from __future__ import annotations
@@ -30,8 +34,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txnrisk.llm import common, exchange
-from txnrisk.llm.common import by_value
-from txnrisk.llm.exchange import NOBODY, bucket_of, documents, in_blocks, per_block, per_bucket, received, send
+from txnrisk.llm.common import by_value, discard, partitions, stage
+from txnrisk.llm.exchange import NOBODY, bucket_of, documents, in_blocks, per_block, per_bucket, planes, send, unplanes
 
 #: Marks of the beginning and the end of a text among the hashes of words.
 BEGIN, END = np.uint64(0x0123456789ABCDEF), np.uint64(0xFEDCBA9876543210)
@@ -66,16 +70,22 @@ def seat(key: np.ndarray, customers: np.ndarray, weight: np.ndarray, discount: f
     """
     tables = np.minimum(customers, 1).astype(np.float64)
     live = np.flatnonzero(customers > 1)
-    own = salted(salted(key, chain), sweep)
-    seated = 1
-    while len(live):
+    # Those with the most customers first, so that those still to be seated are always the first ones.
+    most = np.iinfo(np.uint16).max
+    live = live[np.argsort(most - np.minimum(customers[live], most).astype(np.uint16), kind="stable")]
+    large = live[: np.count_nonzero(customers[live] > most)]
+    large[:] = large[np.argsort(-customers[large], kind="stable")]
+    own, count, odds, opened = salted(salted(key[live], chain), sweep), customers[live], weight[live], tables[live]
+    fewest_first, seated, left = count[::-1], 1, len(live)
+    while left:
         step = max(1, seated // SINGLY)
-        n = np.minimum(step, customers[live] - seated)
-        opens = n * weight[live] / (weight[live] + seated - discount * tables[live])
+        n = np.minimum(step, count[:left] - seated)
+        opens = n * odds[:left] / (odds[:left] + seated - discount * opened[:left])
         whole = np.floor(opens)
-        tables[live] += whole + (uniform(own[live], seated) < opens - whole)
+        opened[:left] += whole + (uniform(own[:left], seated) < opens - whole)
         seated += step
-        live = live[customers[live] > seated]
+        left = len(live) - int(np.searchsorted(fewest_first, seated, side="right"))
+    tables[live] = opened
     return np.minimum(tables, customers)
 
 
@@ -128,8 +138,8 @@ class Block:
 
 def add_up(pdf: pd.DataFrame, width: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
     """Keys of each block, the distinct keys, every item's distinct key, and the sums of counts."""
-    keys = [np.frombuffer(x, dtype=np.uint64) for x in pdf["x"]]
-    counts = np.concatenate([np.frombuffer(x, dtype=np.uint32).reshape(-1, width) for x in pdf["y"]])
+    keys = [unplanes(x, np.uint64) for x in pdf["x"]]
+    counts = np.concatenate([unplanes(x, np.uint32).reshape(-1, width) for x in pdf["y"]])
     values, _, number = common.distinct(np.concatenate(keys))
     sums = np.stack([np.bincount(number, counts[:, j], len(values)) for j in range(width)], axis=1)
     return keys, values, number, sums
@@ -179,6 +189,19 @@ def counted(pdf: pd.DataFrame, kind: str) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(counts), np.concatenate(books)
 
 
+def by_chain(numbers: np.ndarray) -> bytes:
+    """A column per chain, packed. Chains differ little, so the others are told by how far they are from the first."""
+    first = numbers[:, :1].astype(np.int64)
+    apart = numbers[:, 1:].astype(np.int64) - first
+    return planes(np.hstack([first, (apart << 1) ^ (apart >> 63)]).astype(np.uint32).T)
+
+
+def of_chains(packed: bytes) -> np.ndarray:
+    out = unplanes(packed, np.uint32).reshape(CHAINS, -1).astype(np.int64)
+    out[1:] = ((out[1:] >> 1) ^ -(out[1:] & 1)) + out[0]
+    return out.T
+
+
 class State:
     """What a block knows of its words after some sweeps, one column per chain.
 
@@ -192,14 +215,47 @@ class State:
             parent = (n_word + THETA / (model["words"] + 1)) / (model["tokens"] + THETA)
             self.tables, self.parent = (np.repeat(x[:, None], CHAINS, axis=1) for x in (tables, parent))
             return
-        known = model["seated"][sweeps - 1]
-        tables, net = (x.reshape(-1, CHAINS) for x in received(pdf, f"seated{sweeps - 1}", (np.uint32, np.float32)))
+        known, d = model["seated"][sweeps - 1], model["parent_discount"]
+        rows = pdf[pdf["kind"] == f"seated{sweeps - 1}"].sort_values("bucket")
+        none = np.empty((0, CHAINS), dtype=np.int64)
+        tables, customers, seated = (np.concatenate([none, *(of_chains(x) for x in rows[c])]) for c in ("x", "y", "z"))
         self.tables = np.vstack([tables.astype(np.float64), known["begin"][None, :]])
-        base = (THETA + model["parent_discount"] * known["tables"]) / (model["words"] + 1)
+        net = np.maximum(customers - d * seated, 0).astype(np.float32)
+        base = (THETA + d * known["tables"]) / (model["words"] + 1)
         self.parent = (net + base) / (THETA + known["customers"])
 
 
-def chain_tables(b: Block, counts: np.ndarray, state: State, model: dict, chain: int, sweep: int, only: np.ndarray) -> np.ndarray:
+class Books:
+    """What the sweeps need of a block.
+
+    ``word`` and ``n_word`` are its distinct words and their counts. ``pair``, ``context``, ``follows`` and ``n_pair`` are of the
+    pairs that it seats. ``once`` has for each word, and last for the context of first words, the pairs with
+    a single customer that it keeps the books of: those in that context, and those of that dish.
+    """
+
+    def __init__(self, pdf: pd.DataFrame):
+        words, pairs = (pdf[pdf["kind"] == kind].iloc[0] for kind in ("words", "pairs"))
+        self.word, self.n_word = unplanes(words["x"], np.uint64), unplanes(words["y"], np.int64)
+        self.once = unplanes(words["z"], np.uint32).reshape(-1, 2)
+        self.pair, self.n_pair = unplanes(pairs["x"], np.uint64), unplanes(pairs["y"], np.int64)
+        self.context, self.follows = unplanes(pairs["z"], np.int32).reshape(-1, 2).T
+
+
+def keep_books(block: int, pdf: pd.DataFrame) -> list[tuple]:
+    b = Block(documents(pdf)[1])
+    del b.of_word, b.of_pair  # only the distinct ones are seated
+    n_word, _ = counted(pdf, "word")
+    n_pair, books = counted(pdf, "pair")
+    single, several = (np.flatnonzero(books & x) for x in (n_pair == 1, n_pair > 1))
+    once = np.stack([np.bincount(x[single], minlength=len(b.word) + 1) for x in (b.context, b.follows)], axis=1)
+    seats = np.stack([b.context[several], b.follows[several]], axis=1)
+    return [
+        (block, "words", 0, None, planes(b.word), planes(n_word), planes(once.astype(np.uint32))),
+        (block, "pairs", 0, None, planes(b.pair[several]), planes(n_pair[several]), planes(seats.astype(np.int32))),
+    ]
+
+
+def chain_tables(b: Block | Books, counts: np.ndarray, state: State, model: dict, chain: int, sweep: int, only: np.ndarray) -> np.ndarray:
     """Tables of the chosen pairs in one chain; a single customer has a table of its own."""
     out = np.minimum(counts[only], 1).astype(np.float64)
     several, d = np.flatnonzero(counts[only] > 1), model["discount"]
@@ -213,20 +269,17 @@ def chain_tables(b: Block, counts: np.ndarray, state: State, model: dict, chain:
 
 def sit_down(block: int, pdf: pd.DataFrame, model: dict, sweep: int, n_buckets: int) -> list[tuple]:
     """Seat the pairs that the block keeps the books of; send the tables of each context and dish."""
-    b = Block(documents(pdf)[1])
-    del b.of_word, b.of_pair  # only the distinct ones are seated
-    n_word, _ = counted(pdf, "word")
-    n_pair, books = counted(pdf, "pair")
-    state = State(model, n_word, pdf, sweep)
-    own = np.flatnonzero(books & (n_pair > 0)).astype(np.int32)
-    sent = np.zeros((len(b.word) + 1, 2 * CHAINS), dtype=np.uint32)
+    b = Books(pdf)
+    state = State(model, b.n_word, pdf, sweep)
+    own = np.arange(len(b.pair), dtype=np.int32)
+    sent = np.repeat(b.once, CHAINS, axis=1)
     for chain in range(CHAINS):
-        tables = chain_tables(b, n_pair, state, model, chain, sweep, own)
-        sent[:, chain] = np.bincount(b.context[own], tables, len(sent))
-        sent[:, CHAINS + chain] = np.bincount(b.follows[own], tables, len(sent))
+        tables = chain_tables(b, b.n_pair, state, model, chain, sweep, own)
+        sent[:, chain] += np.bincount(b.context, tables, len(sent)).astype(np.uint32)
+        sent[:, CHAINS + chain] += np.bincount(b.follows, tables, len(sent)).astype(np.uint32)
     kind, begin = f"seated{sweep}", np.array([BEGIN])
-    out = send(block, kind, bucket_of(b.word, n_buckets), b.word, sent[:-1])
-    return out + send(block, kind, bucket_of(begin, n_buckets), begin, sent[-1:])
+    out = send(block, kind, bucket_of(b.word, n_buckets), b.word, sent[:-1], pack=planes)
+    return out + send(block, kind, bucket_of(begin, n_buckets), begin, sent[-1:], pack=planes)
 
 
 def reseat_parent(kind: str, pdf: pd.DataFrame, model: dict, sweep: int) -> list[tuple]:
@@ -240,20 +293,19 @@ def reseat_parent(kind: str, pdf: pd.DataFrame, model: dict, sweep: int) -> list
         opened = model["seated"][sweep - 1]["tables"]
     else:
         opened = np.full(CHAINS, model["words"], dtype=np.float64)
-    net = np.empty(customers.shape)
+    parent = np.empty(customers.shape, dtype=np.int64)
     out = []
     for chain in range(CHAINS):
         weight = np.full(len(distinct), (THETA + d * opened[chain]) / (model["words"] + 1))
         seated = seat(distinct, customers[:, chain], weight, d, chain, 1000 + sweep)
-        net[:, chain] = np.maximum(customers[:, chain] - d * seated, 0)
+        parent[:, chain] = seated
         facts = {"customers": customers[:, chain].sum(), "tables": seated.sum(), "begin": tables[distinct == BEGIN, chain].sum()}
         out += [(NOBODY, f"{name} {chain}", bucket, int(x), None, None, None) for name, x in facts.items()]
     at = 0
     for block, own in zip(pdf["block"], keys):
         here = number[at : at + len(own)][own != BEGIN]
         at += len(own)
-        answer = tables[here].astype(np.uint32).tobytes(), net[here].astype(np.float32).tobytes()
-        out.append((int(block), kind, bucket, None, *answer, None))
+        out.append((int(block), kind, bucket, None, *(by_chain(x[here]) for x in (tables, customers, parent))))
     return out
 
 
@@ -300,14 +352,16 @@ def score_documents(docs: DataFrame, train: Column, key: str = "doc_id", sweeps:
     probability, score the model's. Null and blank texts consist of the end alone. Without training
     rows V is 0 and every token has probability 1. Repeated rows count, and are scored, each.
     """
-    n = exchange.block_count(docs, BLOCK_BYTES)
+    size = exchange.text_bytes(docs)
+    n, buckets = partitions(docs.sparkSession, size, BLOCK_BYTES), max(1, -(-size // BLOCK_BYTES))
     blocks = in_blocks(docs, key, n, F.coalesce(train, F.lit(False)))
 
     def ask(block, pdf):
         b = Block(documents(pdf)[1])
         mark = np.array([y is not None for y in pdf[pdf["kind"] == "doc"]["y"]], dtype=bool)
         words, pairs = b.counts(b.of_word, len(b.word), mark), b.counts(b.of_pair, len(b.pair), mark)
-        return send(block, "word", bucket_of(b.word, n), b.word, words) + send(block, "pair", bucket_of(b.pair, n), b.pair, pairs)
+        out = send(block, "word", bucket_of(b.word, buckets), b.word, words, pack=planes)
+        return out + send(block, "pair", bucket_of(b.pair, buckets), b.pair, pairs, pack=planes)
 
     answers = per_bucket(per_block(blocks, ask), count_items, "lm-counts")
     total = exchange.sums(answers)
@@ -319,20 +373,23 @@ def score_documents(docs: DataFrame, train: Column, key: str = "doc_id", sweeps:
         "parent_discount": discount_of(total.get("word once", 0), total.get("word twice", 0)),
         "seated": [],
     }
-    counts = rows = blocks.unionByName(exchange.for_blocks(answers))
+    rows = blocks.unionByName(exchange.for_blocks(answers))
+    books = stage(per_block(rows, keep_books), "lm-books")
     seatings: list[DataFrame] = []
     for sweep in range(sweeps):
         now = {**model, "seated": list(model["seated"])}
-        seated = per_block(rows, lambda block, pdf, s=sweep, m=now: sit_down(block, pdf, m, s, n))
-        answers = per_bucket(seated, lambda kind, pdf, s=sweep, m=now: reseat_parent(kind, pdf, m, s), "lm-seated")
-        total = exchange.sums(answers)
+        known = books.unionByName(exchange.for_blocks(seatings[-1])) if seatings else books
+        seated = per_block(known, lambda block, pdf, s=sweep, m=now: sit_down(block, pdf, m, s, buckets))
+        seatings.append(per_bucket(seated, lambda kind, pdf, s=sweep, m=now: reseat_parent(kind, pdf, m, s), "lm-seated"))
+        total = exchange.sums(seatings[-1])
         names = ("customers", "tables", "begin")
         model["seated"].append({x: np.array([float(total.get(f"{x} {c}", 0)) for c in range(CHAINS)]) for x in names})
-        # Two sweeps' seatings are asked for at most: the one to start from and, for the probabilities, the one it led to.
-        seatings = [*seatings[-1:], exchange.for_blocks(answers)]
-        rows = counts
-        for seating in seatings:
-            rows = rows.unionByName(seating)
+        # A sweep asks for the last one's seatings, the probabilities for the last two: what a sweep started from and what it led to.
+        if sweep + 1 < sweeps and len(seatings) > 1:
+            discard(seatings.pop(0))
+    discard(books)
+    for seating in seatings:
+        rows = rows.unionByName(exchange.for_blocks(seating))
     schema = f"{key} long, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     return rows.groupBy("block").applyInPandas(lambda pdf: score_block(pdf, model, sweeps, key), schema)
 
