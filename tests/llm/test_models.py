@@ -1,14 +1,16 @@
 import math
 import random
+import re
 import zlib
 from collections import Counter
 from pathlib import Path
 
 import numpy as np
+import pandas as pd
 import pytest
 from llm.rows import documents, empty, plain, sentence
 
-from txnrisk.llm import exchange, langid, pitmanyor, quality, tokens
+from txnrisk.llm import common, exchange, langid, pitmanyor, quality, tokens
 from txnrisk.llm.common import crc_fold
 
 
@@ -256,3 +258,50 @@ def test_packed_numbers():
         assert (exchange.unplanes(exchange.planes(numbers), numbers.dtype) == numbers.ravel()).all()
     sent = exchange.send(3, "k", np.array([0, 0, 2]), np.array([5, 6, 7], dtype=np.uint64), pack=exchange.planes)
     assert [(r[2], exchange.unplanes(r[4], np.uint64).tolist()) for r in sent] == [(0, [5, 6]), (2, [7])]
+
+
+def test_words_are_hashed_by_their_letters_and_places(monkeypatch):
+    """Words of any length, any bytes, texts with and without white space at their ends, one or many segments."""
+    texts = [b"Ab ab\tAB", b"", b"x", b" y ", "é日 Ä".encode(), b"z" * 31 + b" " + b"z" * 32 + b"\x0b" + b"q" * 33, b"m" * 500 + b"\r\n" + b"k", b"\xff\x08\x0e \x1c"]
+    power, numbers = common.powers(600).tolist(), common._BYTE.tolist()
+    words = [re.findall(rb"[^\x20\x09-\x0D]+", t.lower()) for t in texts]
+    want = common.mix(np.array([sum(numbers[c] * power[i] for i, c in enumerate(w)) % 2**64 for t in words for w in t], dtype=np.uint64))
+    for chunk in (common.CHUNK_BYTES, 16):
+        monkeypatch.setattr(common, "CHUNK_BYTES", chunk)
+        hashes, counts = common.word_hashes(texts)
+        assert hashes.tolist() == want.tolist() and counts.tolist() == [len(t) for t in words]
+
+
+def test_distinct_keys_in_order():
+    rng = np.random.default_rng(3)
+    spread = rng.integers(0, 2**64, 500, dtype=np.uint64)
+    near = np.array([2**64 - 1, 0, 2**64 - 1, 2**63 + 1, 2**63, 5], dtype=np.uint64)  # some differ in their last bits alone
+    for keys in (rng.choice(spread, 3000), near, rng.permutation(np.arange(1000, dtype=np.uint64)), near[:1], near[:0]):
+        values, some, number = common.distinct(keys)
+        assert (values == np.unique(keys)).all() and (keys[some] == values).all() and (values[number] == keys).all()
+
+
+def test_books_are_sorted_once_for_all_sweeps_and_chains(monkeypatch):
+    rng = random.Random(4)
+    texts = [" ".join(f"w{int(rng.paretovariate(0.7))}" for _ in range(60)).encode() for _ in range(80)]
+    docs = pd.DataFrame([(0, "doc", 0, i, t, b"1", None) for i, t in enumerate(texts)], columns=exchange.COLUMNS)
+    b = pitmanyor.Block(texts)
+    asked = [(kind, exchange.send(0, kind, np.zeros(len(key), np.int32), key, b.counts(of, len(key), np.ones(80, bool)), pack=exchange.planes))
+             for kind, key, of in (("word", b.word, b.of_word), ("pair", b.pair, b.of_pair))]
+    answers = [r for kind, rows in asked for r in pitmanyor.count_items(kind, exchange.frame(rows)) if r[0] == 0]
+    books = exchange.frame(pitmanyor.keep_books(0, pd.concat([docs, exchange.frame(answers)], ignore_index=True)))
+    kept = pitmanyor.Books(books)
+    assert kept.n_pair[0] > 50 and kept.n_pair[-1] == 2 and (np.diff(kept.n_pair) <= 0).all()
+    model = {"tokens": len(b.of_word), "words": len(b.word), "texts": 80, "discount": 0.6, "parent_discount": 0.5, "seated": []}
+    n_word = pitmanyor.counted(exchange.frame(answers), "word")[0]
+    state = pitmanyor.State(model, n_word, books, 0)
+    # What sit_down sends is what seating the pairs one chain at a time, in any order, gives.
+    order = np.random.default_rng(5).permutation(len(kept.pair))
+    weight = (1 + 0.6 * state.tables[kept.context]) * state.parent[kept.follows]
+    want = [np.bincount(kept.context[order], pitmanyor.seat(kept.pair[order], kept.n_pair[order], weight[order, c], 0.6, c, 0), len(kept.once)) for c in range(4)]
+    monkeypatch.setattr(np, "argsort", lambda *a, **k: pytest.fail("the sweep sorts its pairs"))
+    for step in (pitmanyor.PAIRS, 7):
+        monkeypatch.setattr(pitmanyor, "PAIRS", step)
+        sent = pitmanyor.sit_down(0, books, model, 0, 1)
+        got = np.vstack([exchange.unplanes(r[5], np.uint32).reshape(-1, 8) for r in sent])[:, :4]
+        assert (got == (np.stack(want, axis=1) + kept.once[:, :1])).all()

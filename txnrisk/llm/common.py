@@ -19,11 +19,12 @@ BROADCAST_ROWS = 100_000
 BROADCAST_BYTES = 8 << 20
 #: Bytes of text that one numpy step handles at a time.
 CHUNK_BYTES = 2 << 20
+#: Numbers that one numpy step mixes, so that they stay in a core's cache.
+STEP = 1 << 14
+#: Words are hashed by their first letters, their second letters and so on, up to this length; what is longer, by word.
+SHORT = 32
 
-_SPACE = np.zeros(256, dtype=bool)
-_SPACE[list(SPACES)] = True
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
+_LOWER = bytes(range(256)).lower()
 _BYTE = np.random.default_rng(20240501).integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
 _BASE = 0x9E3779B97F4A7C17  # 3 modulo 4, so that differences of powers are divisible by 2 only once or so
 
@@ -144,22 +145,41 @@ def ranked(df: DataFrame, order: Column, name: str) -> DataFrame:
 
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that spreads all bits (the finalizer of splitmix64)."""
-    x = x.astype(np.uint64, copy=True)
-    x ^= x >> np.uint64(30)
-    x *= np.uint64(0xBF58476D1CE4E5B9)
-    x ^= x >> np.uint64(27)
-    x *= np.uint64(0x94D049BB133111EB)
-    x ^= x >> np.uint64(31)
+    return mix_in_place(np.array(x, dtype=np.uint64, order="C"))
+
+
+def mix_in_place(x: np.ndarray) -> np.ndarray:
+    flat = x.reshape(-1)
+    spare = np.empty(min(len(flat), STEP), dtype=np.uint64)
+    for at in range(0, len(flat), STEP):
+        part = flat[at : at + STEP]
+        shifted = spare[: len(part)]
+        part ^= np.right_shift(part, np.uint64(30), out=shifted)
+        part *= np.uint64(0xBF58476D1CE4E5B9)
+        part ^= np.right_shift(part, np.uint64(27), out=shifted)
+        part *= np.uint64(0x94D049BB133111EB)
+        part ^= np.right_shift(part, np.uint64(31), out=shifted)
     return x
 
 
 def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The distinct keys in order, the place of one occurrence of each, and every item's distinct key.
 
-    Like numpy's unique, in about half its memory: places and numbers are 32-bit, and copies go as soon as they are used.
+    Keys are unsigned 64-bit numbers. Like numpy's unique, in about half its memory: places and numbers are
+    32-bit, and copies go as soon as they are used.
     """
-    order = np.argsort(keys).astype(np.int32)
+    # Sorted as numbers, the key's last bits replaced by its place: quicker than an argsort, and few keys differ in those bits alone.
+    low = np.uint64((1 << max(len(keys) - 1, 0).bit_length()) - 1)
+    packed = keys & ~low
+    packed |= np.arange(len(keys), dtype=np.uint64)
+    packed.sort()
+    packed &= low
+    order = packed.astype(np.int32)
+    del packed
     ordered = keys[order]
+    if (ordered[1:] < ordered[:-1]).any():
+        order = order[np.argsort(ordered, kind="stable")]
+        ordered = keys[order]
     new = np.ones(len(keys), dtype=bool)
     np.not_equal(ordered[1:], ordered[:-1], out=new[1:])
     values, some = ordered[new], order[new]
@@ -175,9 +195,15 @@ def powers(n: int) -> np.ndarray:
     return np.cumprod(out, dtype=np.uint64)
 
 
+_TERMS = _BYTE * powers(SHORT)[:, None]
+
+
 def _hash_segment(a: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words of lower-cased bytes, and where each word begins."""
-    space = _SPACE[a]
+    """Hashes of the words of lower-cased bytes, and where each word begins.
+
+    A word's hash is mixed from the sum of its letters' numbers times the powers of their places.
+    """
+    space = (a - np.uint8(9) < 5) | (a == 32)
     begins = ~space
     begins[1:] &= space[:-1]
     cut = starts[(starts > 0) & (starts < len(a))]
@@ -185,13 +211,29 @@ def _hash_segment(a: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.nda
     first = np.flatnonzero(begins)
     if not len(first):
         return np.empty(0, np.uint64), first
-    ordinal = np.cumsum(~space)
-    at = ordinal[first] - 1
-    letters = a[~space]
-    lengths = np.diff(np.append(at, len(letters)))
-    place = np.arange(len(letters)) - np.repeat(at, lengths)
-    terms = _BYTE[letters] * powers(int(lengths.max()))[place]
-    return mix(np.add.reduceat(terms, at)), first
+    ends = ~space
+    ends[:-1] &= space[1:] | begins[1:]
+    lengths = np.flatnonzero(ends) - first + 1
+    # Long words first, so that those that have a letter at a place are always the first ones.
+    order = np.argsort(SHORT + 1 - np.minimum(lengths, SHORT + 1).astype(np.uint8), kind="stable")
+    longest_first, at = lengths[order], first[order]
+    longer = len(at) - np.cumsum(np.bincount(np.minimum(lengths, SHORT + 1), minlength=SHORT + 2))
+    sums = np.zeros(len(at), dtype=np.uint64)
+    for place in range(SHORT):
+        n = longer[place]
+        if not n:
+            break
+        sums[:n] += _TERMS[place].take(a.take(at[:n] + place))
+    if longer[SHORT]:
+        n = longer[SHORT]
+        rest = longest_first[:n] - SHORT
+        begin = np.cumsum(rest) - rest
+        place = np.arange(int(rest.sum())) - np.repeat(begin, rest) + SHORT
+        letters = a[np.repeat(at[:n], rest) + place]
+        sums[:n] += np.add.reduceat(_BYTE[letters] * powers(int(longest_first[:n].max()))[place], begin)
+    hashes = np.empty(len(at), dtype=np.uint64)
+    hashes[order] = sums
+    return mix_in_place(hashes), first
 
 
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -208,12 +250,11 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         nonlocal held
         if not group:
             return
-        a = _LOWER[np.frombuffer(b"".join(group), dtype=np.uint8)]
-        starts = np.cumsum([0, *map(len, group)])[:-1]
-        h, first = _hash_segment(a, starts)
+        a = np.frombuffer(b"".join(group).translate(_LOWER), dtype=np.uint8)
+        starts = np.cumsum([0, *map(len, group)])
+        h, first = _hash_segment(a, starts[:-1])
         hashes.append(h)
-        which = np.searchsorted(starts, first, side="right") - 1
-        np.add.at(counts, np.asarray(owner)[which], 1)
+        np.add.at(counts, owner, np.diff(np.searchsorted(first, starts)))
         group.clear()
         owner.clear()
         held = 0

@@ -65,16 +65,21 @@ def planes(numbers: np.ndarray) -> bytes:
     Of sorted or small numbers, little is left once compressed.
     """
     numbers = np.ascontiguousarray(numbers).ravel()
-    by_place = numbers.view(np.uint8).reshape(-1, numbers.itemsize).T
-    used = max([place + 1 for place in range(numbers.itemsize) if by_place[place].any()], default=1)
-    return bytes([used]) + by_place[:used].tobytes()
+    numbers = numbers.view(f"u{numbers.itemsize}")
+    used = max(1, -(-int(numbers.max(initial=0)).bit_length() // 8))
+    by_place = np.empty((used, len(numbers)), dtype=np.uint8)
+    for place in range(used):
+        by_place[place] = numbers >> numbers.dtype.type(8 * place)
+    return bytes([used]) + by_place.tobytes()
 
 
 def unplanes(packed: bytes, dtype: type) -> np.ndarray:
     by_place = np.frombuffer(packed, dtype=np.uint8)[1:].reshape(packed[0], -1)
-    out = np.zeros((by_place.shape[1], np.dtype(dtype).itemsize), dtype=np.uint8)
-    out[:, : packed[0]] = by_place.T
-    return out.view(dtype).ravel()
+    unsigned = np.dtype(f"u{np.dtype(dtype).itemsize}")
+    out = by_place[0].astype(unsigned)
+    for place in range(1, packed[0]):
+        out |= by_place[place].astype(unsigned) << unsigned.type(8 * place)
+    return out.view(dtype)
 
 
 def send(block: int, kind: str, bucket: np.ndarray, *arrays: np.ndarray, pack: Callable[[np.ndarray], bytes] = plain) -> list[tuple]:

@@ -47,46 +47,66 @@ THETA = 1.0
 SINGLY = 8
 #: Bytes of text in a block. Its pairs of words take about twice as much again on their way to the buckets.
 BLOCK_BYTES = 8 << 20
-#: Pairs that are seated in one numpy step.
-PAIRS = 1 << 18
+#: Pairs that are seated in one numpy step, so that their numbers stay in a core's cache.
+PAIRS = 1 << 14
 
 
 def salted(key: np.ndarray, salt: int) -> np.ndarray:
-    return common.mix(key ^ np.uint64(0x9E3779B97F4A7C15 * (salt + 1) % 2**64))
+    return common.mix_in_place(key ^ np.uint64(0x9E3779B97F4A7C15 * (salt + 1) % 2**64))
 
 
 def uniform(key: np.ndarray, salt: int) -> np.ndarray:
     """Numbers in [0, 1) that depend on the keys and the salt alone."""
-    return (salted(key, salt) >> np.uint64(11)).astype(np.float64) / 2.0**53
+    out = salted(key, salt)
+    out >>= np.uint64(11)
+    return out * 2.0**-53
+
+
+def most_first(customers: np.ndarray) -> np.ndarray:
+    """The order in which those with the most customers come first."""
+    most = np.iinfo(np.uint16).max
+    order = np.argsort(most - np.minimum(customers, most).astype(np.uint16), kind="stable")
+    large = order[: np.count_nonzero(customers > most)]
+    large[:] = large[np.argsort(-customers[large], kind="stable")]
+    return order
 
 
 def seat(key: np.ndarray, customers: np.ndarray, weight: np.ndarray, discount: float, chain: int, sweep: int) -> np.ndarray:
-    """Tables at which each dish's customers sit when they are seated one after the other.
+    """Tables at which each dish's customers sit when they are seated one after the other, for dishes in any order."""
+    tables = np.minimum(customers, 1).astype(np.float64)
+    live = np.flatnonzero(customers > 1)
+    live = live[most_first(customers[live])]
+    for at in range(0, len(live), PAIRS):
+        here = live[at : at + PAIRS]
+        tables[here] = seat_in_order(key[here], customers[here], weight[here], discount, chain, sweep)
+    return tables
+
+
+def seat_in_order(key: np.ndarray, customers: np.ndarray, weight: np.ndarray, discount: float, chain: int, sweep: int) -> np.ndarray:
+    """Tables of dishes of two customers at least, those with the most first, so that those still to be seated are always the first ones.
 
     ``weight`` is (theta + d T) P(dish): the odds of a new table against customers already seated less
     discount times their tables. The first customer opens a table. Far on, where one customer
     changes little, a step seats as many as 1/SINGLY of those seated and opens the expected number of
     tables, rounded at random.
     """
-    tables = np.minimum(customers, 1).astype(np.float64)
-    live = np.flatnonzero(customers > 1)
-    # Those with the most customers first, so that those still to be seated are always the first ones.
-    most = np.iinfo(np.uint16).max
-    live = live[np.argsort(most - np.minimum(customers[live], most).astype(np.uint16), kind="stable")]
-    large = live[: np.count_nonzero(customers[live] > most)]
-    large[:] = large[np.argsort(-customers[large], kind="stable")]
-    own, count, odds, opened = salted(salted(key[live], chain), sweep), customers[live], weight[live], tables[live]
-    fewest_first, seated, left = count[::-1], 1, len(live)
+    opened = np.ones(len(key))
+    own, fewest_first, seated, left = salted(salted(key, chain), sweep), customers[::-1], 1, len(key)
     while left:
         step = max(1, seated // SINGLY)
-        n = np.minimum(step, count[:left] - seated)
-        opens = n * odds[:left] / (odds[:left] + seated - discount * opened[:left])
-        whole = np.floor(opens)
-        opened[:left] += whole + (uniform(own[:left], seated) < opens - whole)
+        odds, now = weight[:left], opened[:left]
+        opens = odds + seated
+        opens -= discount * now
+        if step == 1:
+            np.divide(odds, opens, out=opens)
+            now += uniform(own[:left], seated) < opens
+        else:
+            np.divide(np.minimum(step, customers[:left] - seated) * odds, opens, out=opens)
+            whole = np.floor(opens)
+            now += whole + (uniform(own[:left], seated) < opens - whole)
         seated += step
-        left = len(live) - int(np.searchsorted(fewest_first, seated, side="right"))
-    tables[live] = opened
-    return np.minimum(tables, customers)
+        left = len(key) - int(np.searchsorted(fewest_first, seated, side="right"))
+    return np.minimum(opened, customers)
 
 
 def expected_tables(customers: np.ndarray, discount: float) -> np.ndarray:
@@ -120,7 +140,7 @@ class Block:
         before[first] = BEGIN
         tokens += common.mix(before)
         del before
-        tokens = common.mix(tokens)
+        common.mix_in_place(tokens)
         self.pair, some, self.of_pair = common.distinct(tokens)
         del tokens
         context = np.roll(self.of_word, 1)
@@ -189,11 +209,11 @@ def counted(pdf: pd.DataFrame, kind: str) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(counts), np.concatenate(books)
 
 
-def by_chain(numbers: np.ndarray) -> bytes:
-    """A column per chain, packed. Chains differ little, so the others are told by how far they are from the first."""
+def by_chain(numbers: np.ndarray) -> np.ndarray:
+    """A column per chain. Chains differ little, so the others are told by how far they are from the first."""
     first = numbers[:, :1].astype(np.int64)
     apart = numbers[:, 1:].astype(np.int64) - first
-    return planes(np.hstack([first, (apart << 1) ^ (apart >> 63)]).astype(np.uint32).T)
+    return np.hstack([first, (apart << 1) ^ (apart >> 63)]).astype(np.uint32)
 
 
 def of_chains(packed: bytes) -> np.ndarray:
@@ -219,14 +239,14 @@ class State:
         rows = pdf[pdf["kind"] == f"seated{sweeps - 1}"].sort_values("bucket")
         none = np.empty((0, CHAINS), dtype=np.int64)
         tables, customers, seated = (np.concatenate([none, *(of_chains(x) for x in rows[c])]) for c in ("x", "y", "z"))
-        self.tables = np.vstack([tables.astype(np.float64), known["begin"][None, :]])
+        self.tables = np.ascontiguousarray(np.vstack([tables.astype(np.float64), known["begin"][None, :]]))
         net = np.maximum(customers - d * seated, 0).astype(np.float32)
         base = (THETA + d * known["tables"]) / (model["words"] + 1)
-        self.parent = (net + base) / (THETA + known["customers"])
+        self.parent = np.ascontiguousarray((net + base) / (THETA + known["customers"]))
 
 
 class Books:
-    """What the sweeps need of a block.
+    """What the sweeps need of a block. Its pairs are in order of their customers, those with the most first.
 
     ``word`` and ``n_word`` are its distinct words and their counts. ``pair``, ``context``, ``follows`` and ``n_pair`` are of the
     pairs that it seats. ``once`` has for each word, and last for the context of first words, the pairs with
@@ -238,7 +258,7 @@ class Books:
         self.word, self.n_word = unplanes(words["x"], np.uint64), unplanes(words["y"], np.int64)
         self.once = unplanes(words["z"], np.uint32).reshape(-1, 2)
         self.pair, self.n_pair = unplanes(pairs["x"], np.uint64), unplanes(pairs["y"], np.int64)
-        self.context, self.follows = unplanes(pairs["z"], np.int32).reshape(-1, 2).T
+        self.context, self.follows = unplanes(pairs["z"], np.int32).reshape(2, -1).astype(np.intp)
 
 
 def keep_books(block: int, pdf: pd.DataFrame) -> list[tuple]:
@@ -247,23 +267,25 @@ def keep_books(block: int, pdf: pd.DataFrame) -> list[tuple]:
     n_word, _ = counted(pdf, "word")
     n_pair, books = counted(pdf, "pair")
     single, several = (np.flatnonzero(books & x) for x in (n_pair == 1, n_pair > 1))
+    several = several[most_first(n_pair[several])]
     once = np.stack([np.bincount(x[single], minlength=len(b.word) + 1) for x in (b.context, b.follows)], axis=1)
-    seats = np.stack([b.context[several], b.follows[several]], axis=1)
+    seats = np.stack([b.context[several], b.follows[several]])
     return [
         (block, "words", 0, None, planes(b.word), planes(n_word), planes(once.astype(np.uint32))),
         (block, "pairs", 0, None, planes(b.pair[several]), planes(n_pair[several]), planes(seats.astype(np.int32))),
     ]
 
 
-def chain_tables(b: Block | Books, counts: np.ndarray, state: State, model: dict, chain: int, sweep: int, only: np.ndarray) -> np.ndarray:
-    """Tables of the chosen pairs in one chain; a single customer has a table of its own."""
-    out = np.minimum(counts[only], 1).astype(np.float64)
-    several, d = np.flatnonzero(counts[only] > 1), model["discount"]
-    for at in range(0, len(several), PAIRS):
-        here = several[at : at + PAIRS]
-        pairs = only[here]
-        weight = (THETA + d * state.tables[b.context[pairs], chain]) * state.parent[b.follows[pairs], chain]
-        out[here] = seat(b.pair[pairs], counts[pairs], weight, d, chain, sweep)
+def chain_tables(
+    pair: np.ndarray, counts: np.ndarray, context: np.ndarray, follows: np.ndarray, state: State, model: dict, sweep: int
+) -> np.ndarray:
+    """Tables of pairs of several customers, those with the most first; a row per chain."""
+    out, d = np.empty((CHAINS, len(pair))), model["discount"]
+    for at in range(0, len(pair), PAIRS):
+        some = slice(at, at + PAIRS)
+        weight = (THETA + d * state.tables.take(context[some], axis=0)) * state.parent.take(follows[some], axis=0)
+        for chain, odds in enumerate(np.ascontiguousarray(weight.T)):
+            out[chain, some] = seat_in_order(pair[some], counts[some], odds, d, chain, sweep)
     return out
 
 
@@ -271,10 +293,8 @@ def sit_down(block: int, pdf: pd.DataFrame, model: dict, sweep: int, n_buckets:
     """Seat the pairs that the block keeps the books of; send the tables of each context and dish."""
     b = Books(pdf)
     state = State(model, b.n_word, pdf, sweep)
-    own = np.arange(len(b.pair), dtype=np.int32)
     sent = np.repeat(b.once, CHAINS, axis=1)
-    for chain in range(CHAINS):
-        tables = chain_tables(b, b.n_pair, state, model, chain, sweep, own)
+    for chain, tables in enumerate(chain_tables(b.pair, b.n_pair, b.context, b.follows, state, model, sweep)):
         sent[:, chain] += np.bincount(b.context, tables, len(sent)).astype(np.uint32)
         sent[:, CHAINS + chain] += np.bincount(b.follows, tables, len(sent)).astype(np.uint32)
     kind, begin = f"seated{sweep}", np.array([BEGIN])
@@ -301,11 +321,11 @@ def reseat_parent(kind: str, pdf: pd.DataFrame, model: dict, sweep: int) -> list
         parent[:, chain] = seated
         facts = {"customers": customers[:, chain].sum(), "tables": seated.sum(), "begin": tables[distinct == BEGIN, chain].sum()}
         out += [(NOBODY, f"{name} {chain}", bucket, int(x), None, None, None) for name, x in facts.items()]
-    at = 0
+    told, at = [by_chain(x) for x in (tables, customers, parent)], 0
     for block, own in zip(pdf["block"], keys):
         here = number[at : at + len(own)][own != BEGIN]
         at += len(own)
-        out.append((int(block), kind, bucket, None, *(by_chain(x[here]) for x in (tables, customers, parent))))
+        out.append((int(block), kind, bucket, None, *(planes(x.take(here, axis=0).T) for x in told)))
     return out
 
 
@@ -314,12 +334,17 @@ def predict_pairs(b: Block, pdf: pd.DataFrame, n_word: np.ndarray, model: dict,
     n_pair, _ = counted(pdf, "pair")
     before, after = State(model, n_word, pdf, sweeps - 1), State(model, n_word, pdf, sweeps)
     d, p = model["discount"], np.zeros(len(b.pair))
+    several = np.flatnonzero(n_pair > 1)
+    several = several[most_first(n_pair[several])]
+    tables = np.repeat(np.minimum(n_pair, 1).astype(np.float64)[None, :], CHAINS, axis=0)
+    tables[:, several] = chain_tables(b.pair[several], n_pair[several], b.context[several], b.follows[several], before, model, sweeps - 1)
     for at in range(0, len(p), PAIRS):
-        some = np.arange(at, min(at + PAIRS, len(p)), dtype=np.int32)
+        some = slice(at, at + PAIRS)
         context, follows = b.context[some], b.follows[some]
+        new = (THETA + d * after.tables.take(context, axis=0)) * after.parent.take(follows, axis=0)
         for chain in range(CHAINS):
-            p[some] += np.maximum(n_pair[some] - d * chain_tables(b, n_pair, before, model, chain, sweeps - 1, some), 0)
-            p[some] += (THETA + d * after.tables[context, chain]) * after.parent[follows, chain]
+            p[some] += np.maximum(n_pair[some] - d * tables[chain, some], 0)
+            p[some] += new[:, chain]
         p[some] /= CHAINS * (THETA + after.customers[context])
     return p
 
