@@ -266,8 +266,8 @@ def test_words_are_hashed_by_their_letters_and_places(monkeypatch):
     power, numbers = common.powers(600).tolist(), common._BYTE.tolist()
     words = [re.findall(rb"[^\x20\x09-\x0D]+", t.lower()) for t in texts]
     want = common.mix(np.array([sum(numbers[c] * power[i] for i, c in enumerate(w)) % 2**64 for t in words for w in t], dtype=np.uint64))
-    for chunk in (common.CHUNK_BYTES, 16):
-        monkeypatch.setattr(common, "CHUNK_BYTES", chunk)
+    for size in (common.SEGMENT_BYTES, 16):
+        monkeypatch.setattr(common, "SEGMENT_BYTES", size)
         hashes, counts = common.word_hashes(texts)
         assert hashes.tolist() == want.tolist() and counts.tolist() == [len(t) for t in words]
 
@@ -303,5 +303,5 @@ def test_books_are_sorted_once_for_all_sweeps_and_chains(monkeypatch):
     for step in (pitmanyor.PAIRS, 7):
         monkeypatch.setattr(pitmanyor, "PAIRS", step)
         sent = pitmanyor.sit_down(0, books, model, 0, 1)
-        got = np.vstack([exchange.unplanes(r[5], np.uint32).reshape(-1, 8) for r in sent])[:, :4]
-        assert (got == (np.stack(want, axis=1) + kept.once[:, :1])).all()
+        got = np.hstack([exchange.unplanes(r[5], np.uint32).reshape(8, -1) for r in sent])[:4]
+        assert (got == np.stack(want) + kept.once[:, 0]).all()

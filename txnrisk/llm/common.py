@@ -19,6 +19,8 @@ BROADCAST_ROWS = 100_000
 BROADCAST_BYTES = 8 << 20
 #: Bytes of text that one numpy step handles at a time.
 CHUNK_BYTES = 2 << 20
+#: Bytes of text whose words are hashed in one numpy step.
+SEGMENT_BYTES = 1 << 19
 #: Numbers that one numpy step mixes, so that they stay in a core's cache.
 STEP = 1 << 14
 #: Words are hashed by their first letters, their second letters and so on, up to this length; what is longer, by word.
@@ -174,9 +176,8 @@ def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     packed |= np.arange(len(keys), dtype=np.uint64)
     packed.sort()
     packed &= low
-    order = packed.astype(np.int32)
+    order, ordered = packed.astype(np.int32), keys.take(packed.view(np.int64))
     del packed
-    ordered = keys[order]
     if (ordered[1:] < ordered[:-1]).any():
         order = order[np.argsort(ordered, kind="stable")]
         ordered = keys[order]
@@ -263,9 +264,9 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         at = 0
         while at < len(text):
             end = len(text)
-            if end - at > CHUNK_BYTES:
-                end = next((j + 1 for j in range(at + CHUNK_BYTES, len(text)) if text[j] in SPACES), len(text))
-            if held + end - at > CHUNK_BYTES:
+            if end - at > SEGMENT_BYTES:
+                end = next((j + 1 for j in range(at + SEGMENT_BYTES, len(text)) if text[j] in SPACES), len(text))
+            if held + end - at > SEGMENT_BYTES:
                 flush()
             group.append(text[at:end])
             owner.append(i)

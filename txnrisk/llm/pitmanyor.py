@@ -157,11 +157,11 @@ class Block:
 
 
 def add_up(pdf: pd.DataFrame, width: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
-    """Keys of each block, the distinct keys, every item's distinct key, and the sums of counts."""
+    """Keys of each block, the distinct keys, every item's distinct key, and the sums of counts, a row per kind of count."""
     keys = [unplanes(x, np.uint64) for x in pdf["x"]]
-    counts = np.concatenate([unplanes(x, np.uint32).reshape(-1, width) for x in pdf["y"]])
+    counts = np.concatenate([unplanes(x, np.uint32).reshape(width, -1) for x in pdf["y"]], axis=1)
     values, _, number = common.distinct(np.concatenate(keys))
-    sums = np.stack([np.bincount(number, counts[:, j], len(values)) for j in range(width)], axis=1)
+    sums = np.stack([np.bincount(number, x, len(values)) for x in counts])
     return keys, values, number, sums
 
 
@@ -172,7 +172,7 @@ def count_items(kind: str, pdf: pd.DataFrame) -> list[tuple]:
     """
     bucket = int(pdf["bucket"].iloc[0])
     keys, values, number, sums = add_up(pdf, 1)
-    total = sums[:, 0].astype(np.int64)
+    total = sums[0].astype(np.int64)
     del sums
     facts = {"customers": total.sum(), "distinct": (total > 0).sum(), "once": (total == 1).sum(), "twice": (total == 2).sum()}
     out = [(NOBODY, f"{kind} {name}", bucket, int(x), None, None, None) for name, x in facts.items()]
@@ -210,15 +210,17 @@ def counted(pdf: pd.DataFrame, kind: str) -> tuple[np.ndarray, np.ndarray]:
 
 
 def by_chain(numbers: np.ndarray) -> np.ndarray:
-    """A column per chain. Chains differ little, so the others are told by how far they are from the first."""
-    first = numbers[:, :1].astype(np.int64)
-    apart = numbers[:, 1:].astype(np.int64) - first
-    return np.hstack([first, (apart << 1) ^ (apart >> 63)]).astype(np.uint32)
+    """A row per chain. Chains differ little, so the others are told by how far they are from the first."""
+    out = numbers.astype(np.int64)
+    out[1:] -= out[0]
+    out[1:] = (out[1:] << 1) ^ (out[1:] >> 63)
+    return out.astype(np.uint32)
 
 
 def of_chains(packed: bytes) -> np.ndarray:
-    out = unplanes(packed, np.uint32).reshape(CHAINS, -1).astype(np.int64)
-    out[1:] = ((out[1:] >> 1) ^ -(out[1:] & 1)) + out[0]
+    out = unplanes(packed, np.uint32).reshape(CHAINS, -1)
+    apart = out[1:]
+    out[1:] = ((apart >> np.uint32(1)) ^ -(apart & np.uint32(1))) + out[0]
     return out.T
 
 
@@ -237,7 +239,7 @@ class State:
             return
         known, d = model["seated"][sweeps - 1], model["parent_discount"]
         rows = pdf[pdf["kind"] == f"seated{sweeps - 1}"].sort_values("bucket")
-        none = np.empty((0, CHAINS), dtype=np.int64)
+        none = np.empty((0, CHAINS), dtype=np.uint32)
         tables, customers, seated = (np.concatenate([none, *(of_chains(x) for x in rows[c])]) for c in ("x", "y", "z"))
         self.tables = np.ascontiguousarray(np.vstack([tables.astype(np.float64), known["begin"][None, :]]))
         net = np.maximum(customers - d * seated, 0).astype(np.float32)
@@ -289,24 +291,28 @@ def chain_tables(
     return out
 
 
+def by_column(numbers: np.ndarray) -> bytes:
+    return planes(numbers.T)
+
+
 def sit_down(block: int, pdf: pd.DataFrame, model: dict, sweep: int, n_buckets: int) -> list[tuple]:
     """Seat the pairs that the block keeps the books of; send the tables of each context and dish."""
     b = Books(pdf)
     state = State(model, b.n_word, pdf, sweep)
-    sent = np.repeat(b.once, CHAINS, axis=1)
+    sent = np.repeat(b.once.T, CHAINS, axis=0)
     for chain, tables in enumerate(chain_tables(b.pair, b.n_pair, b.context, b.follows, state, model, sweep)):
-        sent[:, chain] += np.bincount(b.context, tables, len(sent)).astype(np.uint32)
-        sent[:, CHAINS + chain] += np.bincount(b.follows, tables, len(sent)).astype(np.uint32)
+        sent[chain] += np.bincount(b.context, tables, sent.shape[1]).astype(np.uint32)
+        sent[CHAINS + chain] += np.bincount(b.follows, tables, sent.shape[1]).astype(np.uint32)
     kind, begin = f"seated{sweep}", np.array([BEGIN])
-    out = send(block, kind, bucket_of(b.word, n_buckets), b.word, sent[:-1], pack=planes)
-    return out + send(block, kind, bucket_of(begin, n_buckets), begin, sent[-1:], pack=planes)
+    out = send(block, kind, bucket_of(b.word, n_buckets), b.word, sent[:, :-1].T, pack=by_column)
+    return out + send(block, kind, bucket_of(begin, n_buckets), begin, sent[:, -1:].T, pack=by_column)
 
 
 def reseat_parent(kind: str, pdf: pd.DataFrame, model: dict, sweep: int) -> list[tuple]:
     """Sum the tables by context and by dish over all blocks, and seat the parent's customers."""
     bucket = int(pdf["bucket"].iloc[0])
     keys, distinct, number, sums = add_up(pdf, 2 * CHAINS)
-    tables, customers = sums[:, :CHAINS], sums[:, CHAINS:].astype(np.int64)
+    tables, customers = sums[:CHAINS], sums[CHAINS:].astype(np.int64)
     d = model["parent_discount"]
     # The parent's tables before the sweep: those that so many customers lead to, or the last sweep's.
     if sweep:
@@ -317,15 +323,15 @@ def reseat_parent(kind: str, pdf: pd.DataFrame, model: dict, sweep: int) -> list
     out = []
     for chain in range(CHAINS):
         weight = np.full(len(distinct), (THETA + d * opened[chain]) / (model["words"] + 1))
-        seated = seat(distinct, customers[:, chain], weight, d, chain, 1000 + sweep)
-        parent[:, chain] = seated
-        facts = {"customers": customers[:, chain].sum(), "tables": seated.sum(), "begin": tables[distinct == BEGIN, chain].sum()}
+        seated = seat(distinct, customers[chain], weight, d, chain, 1000 + sweep)
+        parent[chain] = seated
+        facts = {"customers": customers[chain].sum(), "tables": seated.sum(), "begin": tables[chain, distinct == BEGIN].sum()}
         out += [(NOBODY, f"{name} {chain}", bucket, int(x), None, None, None) for name, x in facts.items()]
     told, at = [by_chain(x) for x in (tables, customers, parent)], 0
     for block, own in zip(pdf["block"], keys):
         here = number[at : at + len(own)][own != BEGIN]
         at += len(own)
-        out.append((int(block), kind, bucket, None, *(planes(x.take(here, axis=0).T) for x in told)))
+        out.append((int(block), kind, bucket, None, *(planes(x.take(here, axis=1)) for x in told)))
     return out
 
 
