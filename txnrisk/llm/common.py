@@ -243,6 +243,7 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     Works through segments of bounded size; a longer text is cut at white space.
     """
     hashes, counts = [], np.zeros(len(texts), dtype=np.int64)
+    most = min(SEGMENT_BYTES, CHUNK_BYTES)
     group: list[bytes] = []
     owner: list[int] = []
     held = 0
@@ -264,9 +265,9 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         at = 0
         while at < len(text):
             end = len(text)
-            if end - at > SEGMENT_BYTES:
-                end = next((j + 1 for j in range(at + SEGMENT_BYTES, len(text)) if text[j] in SPACES), len(text))
-            if held + end - at > SEGMENT_BYTES:
+            if end - at > most:
+                end = next((j + 1 for j in range(at + most, len(text)) if text[j] in SPACES), len(text))
+            if held + end - at > most:
                 flush()
             group.append(text[at:end])
             owner.append(i)
