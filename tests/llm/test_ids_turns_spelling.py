@@ -12,7 +12,7 @@ from compare import connect, differences
 from llm.rows import documents, empty, plain
 from pyspark.sql import functions as F
 
-from txnrisk.llm import catalog, conversations, spelling, tokenids
+from txnrisk.llm import catalog, common, conversations, spelling, tokenids
 from txnrisk.llm.wavelet import BLOCK, Wavelet, build
 
 SF = "/root/testdata/sf0.001"
@@ -286,6 +286,34 @@ def test_variants(spark, tile):
     assert got["chainaa"][1] == "chainbbb" and got["tieaaa"][0] == "tieaab"
 
 
+def test_many_roots_are_not_broadcast_on_a_guessed_size(spark, monkeypatch):
+    plans, staged = [], spelling.stage
+
+    def seen(df, label):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return staged(df, label)
+
+    monkeypatch.setattr(common, "small", lambda facts: False)  # as beyond BROADCAST_ROWS
+    monkeypatch.setattr(spelling, "stage", seen)
+    words = "abcdefghij"
+    counts = {f"common{a}": 1000 for a in words} | {f"common{a}{b}": 10 for a in words for b in words} | {"commnaa": 1}
+    df = spelling.variants(spark.createDataFrame(list(counts.items()), "word string, n long"))
+    plans.append(df._jdf.queryExecution().executedPlan().toString())
+    assert sum("SortMergeJoin" in p for p in plans) >= 4 and not any("Broadcast" in p for p in plans)
+    got = {r["word"]: (r["form"], r["root"], r["n"], r["n_near"], r["form_n"]) for r in plain(df)}
+    assert got == by_hand(counts) and got["commnaa"][1] == "commona"
+
+
+def test_copies_of_facts_are_not_broadcast_on_a_guessed_size(spark):
+    facts = spark.range(common.BROADCAST_ROWS + 1).selectExpr("if(id = 0, null, id) as k", "id as fact")
+    rows = spark.createDataFrame([(None, "n"), (7, "a"), (7, "b"), (-1, "c")], "k long, word string")
+    joined = common.join_facts(rows, facts, "k", F.col("word"))
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    got = {(r["k"], r["word"], r["fact"]) for r in plain(joined)}
+    assert got == {(None, "n", 0), (7, "a", 7), (7, "b", 7), (-1, "c", None)}
+
+
 def test_words_of_odd_texts(spark):
     rows = plain(spelling.misspelt(documents(spark)))
     want = []

@@ -106,14 +106,15 @@ def join_facts(rows: DataFrame, facts: DataFrame, key: str, spread_by: Column, s
     """Left join with facts that are unique per key, for keys that may hold a third of the rows.
 
     Null keys match each other. Few facts are broadcast after counting them; beyond that the facts
-    are copied once per salt and the rows of one key are spread over the salts.
+    are copied once per salt and the rows of one key are spread over the salts. Both sides are shuffled
+    then, whatever sizes the planner guesses: it goes by the size of files and does not see the copies.
     """
     facts = facts.withColumnRenamed(key, "_fact_key")
     same = rows[key].eqNullSafe(F.col("_fact_key"))
     if small(facts):
         return rows.join(F.broadcast(facts), same, "left").drop("_fact_key")
     salted = rows.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"))
-    copies = facts.withColumn("_fact_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    copies = facts.withColumn("_fact_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).hint("merge")
     both = salted[key].eqNullSafe(F.col("_fact_key")) & (F.col("_salt") == F.col("_fact_salt"))
     return salted.join(copies, both, "left").drop("_fact_key", "_salt", "_fact_salt")
 

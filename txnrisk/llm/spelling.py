@@ -210,7 +210,8 @@ def variants(words: DataFrame, ratio: int = 5, tile: int = TILE) -> DataFrame:
 
     A word's form is its near word of the largest count, if that is ``ratio`` times its own or more, else
     null. The root is where the forms lead, the word itself without one. Counts grow along forms, so the
-    chains end; they are followed by doubling steps.
+    chains end; they are followed by doubling steps. The driver holds no table of words: roots are as many as
+    a good part of the words, though their files are small, so they are joined by a shuffle.
     """
     if ratio < 2:
         raise ValueError("counts must grow along forms")
@@ -227,7 +228,7 @@ def variants(words: DataFrame, ratio: int = 5, tile: int = TILE) -> DataFrame:
         if not moved:
             break
     roots = leads.withColumnRenamed("word", "_word")
-    joined = formed.join(roots, F.col("word") == F.col("_word"), "left")
+    joined = formed.join(roots.hint("merge"), F.col("word") == F.col("_word"), "left")
     return joined.select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
 
 
